@@ -27,5 +27,6 @@ def load_all():
     """Import every query module so that the registry is filled."""
     from tessera.plans import (  # noqa: F401
         q_online,
+        q_sources,
     )
     return QUERIES, ORACLE
