@@ -28,5 +28,6 @@ def load_all():
     from tessera.plans import (  # noqa: F401
         q_online,
         q_sources,
+        q_features,
     )
     return QUERIES, ORACLE
