@@ -120,3 +120,29 @@ def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0)
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
     ranked = prefix_sums(distinct, col, ["_one"])
     return ranked.select(col, (F.col("_one_before") + F.lit(start)).cast("int").alias(code_col))
+
+
+def interpolated_quantiles(df: DataFrame, value_col: str, qs: dict[str, float],
+                           group_cols: Sequence[str] = ()) -> DataFrame:
+    """Linear-interpolated quantiles (pandas ``quantile`` / ``percentile_cont``),
+    exact, without holding a group's values in one buffer: position h = (n-1)q,
+    values at floor(h) and floor(h)+1 are found through ``prefix_sums``."""
+    groups = list(group_cols)
+    counts = df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col).cast("double"))) \
+        .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sums(counts, value_col, ["_c"], groups)
+    totals = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
+    ranked = attach_totals(ranked, totals, groups)
+    aggs = []
+    for name, q in qs.items():
+        h = (F.col("_n") - 1) * F.lit(q)
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("_n") - 1)
+        at = lambda k: (F.col("_c_before") <= k) & (F.col("_c_upto") > k)
+        aggs += [F.min(F.when(at(lo), F.col(value_col))).alias(f"_{name}_lo"),
+                 F.min(F.when(at(hi), F.col(value_col))).alias(f"_{name}_hi"),
+                 F.first(h - lo).alias(f"_{name}_f")]
+    res = ranked.groupBy(*groups).agg(*aggs)
+    return res.select(*groups, *[
+        (F.col(f"_{n}_lo") + F.col(f"_{n}_f") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))).alias(n)
+        for n in qs])

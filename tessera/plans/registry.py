@@ -29,5 +29,6 @@ def load_all():
         q_online,
         q_sources,
         q_features,
+        q_aggregates,
     )
     return QUERIES, ORACLE
