@@ -30,5 +30,6 @@ def load_all():
         q_sources,
         q_features,
         q_aggregates,
+        q_latency,
     )
     return QUERIES, ORACLE
