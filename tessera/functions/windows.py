@@ -46,3 +46,20 @@ def trailing(df: DataFrame, keys: Sequence[str], ts_col: str, window_seconds: in
     cols = [fn(frame).alias(name) for name, fn in aggs.items()]
     out = both.select("*", *cols).where(F.col("_own"))
     return out.drop("_us", "_bk", "_own")
+
+
+def trailing_multi(df: DataFrame, keys: Sequence[str], ts_col: str,
+                   aggs: dict[str, tuple[int, callable]], include_current: bool = False) -> DataFrame:
+    """Several trailing windows of different widths in one pass: the bucket is
+    the widest window, and every frame shares the same (key, bucket) partitioning
+    and time order, so Spark evaluates them in one Window operator."""
+    widest = max(s for s, _ in aggs.values())
+    b_us = int(widest * US_PER_SECOND)
+    base = (df.withColumn("_us", epoch_us(ts_col))
+              .withColumn("_bk", F.floor(F.col("_us") / F.lit(b_us))))
+    both = base.withColumn("_own", F.lit(True)).unionByName(
+        base.withColumn("_bk", F.col("_bk") + 1).withColumn("_own", F.lit(False)))
+    spec = Window.partitionBy(*keys, "_bk").orderBy("_us")
+    cols = [fn(spec.rangeBetween(-int(s * US_PER_SECOND), 0 if include_current else -1)).alias(name)
+            for name, (s, fn) in aggs.items()]
+    return both.select("*", *cols).where(F.col("_own")).drop("_us", "_bk", "_own")

@@ -31,5 +31,6 @@ def load_all():
         q_features,
         q_aggregates,
         q_latency,
+        q_windows,
     )
     return QUERIES, ORACLE
