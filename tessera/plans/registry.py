@@ -32,5 +32,6 @@ def load_all():
         q_aggregates,
         q_latency,
         q_windows,
+        q_metrics,
     )
     return QUERIES, ORACLE
