@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast on our own; beyond it the join shuffles.
+# Largest row count we broadcast on our own; beyond it the join shuffles (and
+# AQE may still pick a broadcast from measured stage sizes).
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      bound: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows (a ``limit`` count), so it is
-    cheap for small sides and bounded for large ones.
+    ``bound``: a row bound the caller can prove from the plan (a ``limit``, a
+    fixed label set); then no counting is needed.  Otherwise the side is
+    persisted (memory, spilling to disk) and counted, so the check does not
+    compute it twice.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    return F.broadcast(kept) if n <= max_rows else kept

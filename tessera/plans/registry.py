@@ -33,5 +33,6 @@ def load_all():
         q_latency,
         q_windows,
         q_metrics,
+        q_text,
     )
     return QUERIES, ORACLE

@@ -28,3 +28,17 @@ class Tables:
         if name in TABLE_SCHEMAS:
             return read_table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row work enough tasks: when the scan yields fewer
+    partitions than the session's parallelism (one large row group, say),
+    hash-partition by ``key`` (deterministic under retries, and later
+    aggregations/windows on that key reuse it).  A scan that is already split
+    into many partitions, as on a cluster, is left alone."""
+    spark = df.sparkSession
+    target = min_partitions or max(spark.sparkContext.defaultParallelism,
+                                   int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
