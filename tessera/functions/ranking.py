@@ -112,13 +112,21 @@ def attach_totals(df: DataFrame, totals: DataFrame, groups: Sequence[str]) -> Da
             .drop("_all"))
 
 
-def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0) -> DataFrame:
+def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0,
+                small: int = 100_000) -> DataFrame:
     """Distinct values of ``col`` with their alphabetical dense rank (``start``-based).
 
-    Exact and distributed: ranks come from ``prefix_sums`` over the distinct set.
+    The distinct set is persisted and counted: up to ``small`` values it is
+    ranked by one window over that bounded set; beyond, ranks come from the
+    distributed ``prefix_sums``.
     """
-    distinct = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ranked = prefix_sums(distinct, col, ["_one"])
+    from pyspark import StorageLevel
+    distinct = df.select(col).where(F.col(col).isNotNull()).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    n = distinct.limit(small + 1).count()
+    if n <= small:
+        rank = F.dense_rank().over(Window.orderBy(col)) - 1 + F.lit(start)
+        return distinct.select(col, rank.cast("int").alias(code_col))
+    ranked = prefix_sums(distinct.withColumn("_one", F.lit(1)), col, ["_one"])
     return ranked.select(col, (F.col("_one_before") + F.lit(start)).cast("int").alias(code_col))
 
 
