@@ -103,13 +103,14 @@ def positional_quantiles(df: DataFrame, value_col: str, qs: dict[str, float],
 
 
 def attach_totals(df: DataFrame, totals: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Join per-group totals back; with no groups the one-row total is broadcast
-    on a constant key (an equi-join, bounded to one row)."""
+    """Join per-group totals back.  With no groups the one-row total becomes a
+    scalar subquery (computed once, shipped as a value — no join at all)."""
     if groups:
         return df.join(totals, on=list(groups), how="inner")
-    return (df.withColumn("_all", F.lit(0))
-            .join(F.broadcast(totals.withColumn("_all", F.lit(0))), on="_all", how="inner")
-            .drop("_all"))
+    cols = totals.columns
+    packed = totals.select(F.struct(*cols).alias("__totals")).scalar()
+    return (df.withColumn("__totals", packed)
+            .select(*df.columns, *[F.col(f"__totals.{c}").alias(c) for c in cols]))
 
 
 def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0,
