@@ -34,5 +34,6 @@ def load_all():
         q_windows,
         q_metrics,
         q_text,
+        q_quality,
     )
     return QUERIES, ORACLE
