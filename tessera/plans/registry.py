@@ -35,5 +35,6 @@ def load_all():
         q_metrics,
         q_text,
         q_quality,
+        q_models,
     )
     return QUERIES, ORACLE
