@@ -36,5 +36,6 @@ def load_all():
         q_text,
         q_quality,
         q_models,
+        q_streams,
     )
     return QUERIES, ORACLE

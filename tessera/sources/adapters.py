@@ -21,7 +21,11 @@ def trust_score(props: str = "props"):
 
 def transactions(t: Tables, with_velocity: bool = True) -> DataFrame:
     """Fraud transactions from events (one row per event)."""
-    e = t.events
+    return transactions_from(t.events, with_velocity)
+
+
+def transactions_from(e: DataFrame, with_velocity: bool = True) -> DataFrame:
+    """The transaction projection of an events frame (batch or stream)."""
     trust = trust_score()
     foreign = F.when(F.col("event_id") % 20 < 3, 1).otherwise(0).cast("long")
     mismatch = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0).cast("long")
