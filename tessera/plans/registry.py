@@ -37,5 +37,6 @@ def load_all():
         q_quality,
         q_models,
         q_streams,
+        q_similar,
     )
     return QUERIES, ORACLE
