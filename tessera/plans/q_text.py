@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
@@ -62,9 +63,13 @@ BOOK_CTES = [S.BOOKS, WEIGHTED_SQL,
 def book_index(t):
     """The recommendation index: weighted catalog text -> vocabulary -> weights."""
     wb = ft.weighted_text(ad.books(t)).select("book_id", "combined_features")
-    terms = tt.doc_terms(wb, "book_id", "combined_features", stop_words=RECO["stop_words"])
+    # the (id, term, tf) table feeds both the vocabulary and the weights: kept
+    # (memory, spilling to disk) so the text is tokenised once per index build
+    terms = tt.doc_terms(wb, "book_id", "combined_features", stop_words=RECO["stop_words"]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     vocab = tt.fit_vocabulary(wb, terms, "book_id", RECO["min_df"], RECO["max_df"], RECO["max_features"])
-    return wb, terms, vocab, tt.tfidf(terms, vocab, "book_id", vocab_bound=RECO["max_features"])
+    weights = tt.tfidf(terms, vocab, "book_id", vocab_bound=RECO["max_features"]).persist(StorageLevel.MEMORY_AND_DISK)
+    return wb, terms, vocab, weights
 
 
 @query("tokenize", sql=f"SELECT doc_id, len({tok_sql('text')}) AS n_tokens FROM documents")
@@ -127,7 +132,7 @@ SENT_CTES = [S.SENTIMENT, terms_sql("sterms", "sentiment", "doc_id", "clean_text
 
 def sentiment_vocab(t):
     s = ad.sentiment_texts(t)
-    terms = tt.doc_terms(s, "doc_id", "clean_text", stop_words=False)
+    terms = tt.doc_terms(s, "doc_id", "clean_text", stop_words=False).persist(StorageLevel.MEMORY_AND_DISK)
     return s, terms, tt.fit_vocabulary(s, terms, "doc_id", SENT["min_df"], SENT["max_df"], SENT["max_features"])
 
 
