@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +61,9 @@ def prefix_sums(df: DataFrame, order_col: str, weights: Sequence[str],
     if n_ranges is None:
         n_ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     groups = list(group_cols)
+    # the (group, value) rows are read three times (count, sample, ranking):
+    # keep them (memory, spilling to disk) rather than recompute the aggregation
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     bounds = _range_bounds(df, order_col, n_ranges)
     staged = df.withColumn("_rng", range_index(F.col(order_col), bounds))
 
