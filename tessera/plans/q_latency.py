@@ -144,7 +144,7 @@ g AS (SELECT DISTINCT {groups} FROM request_log),
 full_ AS (SELECT g.*, i.bi FROM g, range(0, {len(les) + 1}) i(bi)),
 c AS (SELECT {groups}, bi, count(*) AS c FROM b GROUP BY ALL)
 SELECT f.{groups}, {arr}[f.bi + 1] AS le,
-       sum(coalesce(c.c, 0)) OVER (PARTITION BY f.{groups} ORDER BY f.bi) AS cumulative_count
+       CAST(sum(coalesce(c.c, 0)) OVER (PARTITION BY f.{groups} ORDER BY f.bi) AS BIGINT) AS cumulative_count
 FROM full_ f LEFT JOIN c ON f.{groups} = c.{groups} AND f.bi = c.bi"""
 
 

@@ -94,10 +94,10 @@ def macro_metrics(spark, sf_dir):
 REPORT_SQL = SENT_SQL + PC_SQL + """
 SELECT CASE label WHEN -1 THEN 'Negative' WHEN 0 THEN 'Neutral' ELSE 'Positive' END AS "row",
        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, support FROM pcf
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), sum(support) FROM pcf
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6), sum(support) FROM pcf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcf
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6), CAST(sum(support) AS BIGINT) FROM pcf
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-                 round(sum(f1_score * support) / sum(support), 6), sum(support) FROM pcf"""
+                 round(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcf"""
 
 
 @query("classification_report", sql=REPORT_SQL)
@@ -137,7 +137,7 @@ AUC_SQL = """
 , per AS (SELECT {g} score, count(*) FILTER (WHERE is_fraud = 1) AS pos, count(*) FILTER (WHERE is_fraud <> 1) AS neg
           FROM scored GROUP BY ALL),
 cum AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {p} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM per)
-SELECT {g} sum(pos) AS n_pos, sum(neg) AS n_neg,
+SELECT {g} CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
        CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (neg_below + neg * 0.5)) / (sum(pos) * sum(neg)) END AS auc
 FROM cum {gb}"""
 

@@ -289,7 +289,8 @@ SELECT period, total, lag(total) OVER (ORDER BY period) AS prev_total,
 FROM m""")
 def period_change_alert(spark, sf_dir):
     """Monthly order value against the month before; alert on a change above 20 %."""
-    o = Tables(spark, sf_dir).orders.select(F.date_trunc("month", "o_orderdate").alias("period"), "o_totalprice")
+    o = Tables(spark, sf_dir).orders.select(
+        F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("period"), "o_totalprice")
     per = o.groupBy("period").agg(F.round(F.sum("o_totalprice"), 2).alias("amount"))
     p = qa.period_change(per, "period", "amount", 0.2)
     return p.select("period", "total", "prev_total", r6("change").alias("change"), "alert")

@@ -41,7 +41,7 @@ def terms_sql(name: str, src: str, id_col: str, text_col: str, stop: bool) -> st
 def vocab_sql(name: str, terms: str, src: str, min_df: int, max_df: float, max_features: int) -> str:
     return f"""
 {name} AS (SELECT term, df, tf_total, ln((1 + n_docs) / (1 + df)) + 1 AS idf, n_docs FROM (
-    SELECT term, count(*) AS df, sum(tf) AS tf_total, (SELECT count(*) FROM {src}) AS n_docs
+    SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf_total, (SELECT count(*) FROM {src}) AS n_docs
     FROM {terms} GROUP BY term)
   WHERE df >= {min_df} AND df <= {max_df} * n_docs
   ORDER BY tf_total DESC, term LIMIT {max_features})"""
@@ -184,7 +184,7 @@ def similar_items_df(t):
 
 
 @query("similar_items", sql=SIMILAR_SQL + """
-SELECT request_id, rank, book_id, round(sim, 6) AS similarity FROM ranked WHERE rank <= n""")
+SELECT request_id, CAST(rank AS INTEGER) AS rank, book_id, round(sim, 6) AS similarity FROM ranked WHERE rank <= n""")
 def similar_items(spark, sf_dir):
     """Cosine top-n per request over the whole catalog, the query item excluded by id."""
     s = similar_items_df(Tables(spark, sf_dir))

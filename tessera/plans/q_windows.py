@@ -159,7 +159,7 @@ def behavioral_features(spark, sf_dir):
 
 @query("merchant_risk", sql=S.with_(S.TRANSACTIONS) + """
 SELECT transaction_id, merchant_category,
-       count(*) OVER w AS prior_n, coalesce(sum(is_fraud) OVER w, 0) AS prior_fraud,
+       count(*) OVER w AS prior_n, CAST(coalesce(sum(is_fraud) OVER w, 0) AS BIGINT) AS prior_fraud,
        round((coalesce(sum(is_fraud) OVER w, 0) + 1.0) / (count(*) OVER w + 2.0), 6) AS merchant_risk
 FROM transactions
 WINDOW w AS (PARTITION BY merchant_category ORDER BY "timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
