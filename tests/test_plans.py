@@ -23,3 +23,8 @@ def test_no_cartesian_products(spark, sf_dir):
         assert "CartesianProduct" not in p, name
         # only the size-checked short-title fallback of item resolution may use one
         assert "BroadcastNestedLoopJoin" not in p or name in ("resolve_query_item", "similar_items"), name
+
+
+def test_top_k_limited_per_task(spark, sf_dir):
+    p = plan(E.queries()["similar_items"](spark, sf_dir))
+    assert "WindowGroupLimit" in p and "Partial" in p
