@@ -267,5 +267,6 @@ def score_distinct(spark, sf_dir):
     uniq = tx.groupBy(*feats).agg(F.count(F.lit(1)).alias("vector_copies"))
     scored = uniq.withColumn("score", F.round(F.col("amount") / (F.col("amount") + 100.0)
                                               * (1 + F.col("foreign_transaction") * 0.1), 6))
-    return tx.join(scored, [F.col(f).eqNullSafe(scored[f]) for f in feats] and feats, "inner") \
-        .select("transaction_id", "score", "vector_copies")
+    s = scored.select(*[F.col(f).alias("_s_" + f) for f in feats], "score", "vector_copies")
+    on_vec = [F.col(f).eqNullSafe(F.col("_s_" + f)) for f in feats]  # null-safe: a missing value is a value
+    return tx.join(s, on_vec, "inner").select("transaction_id", "score", "vector_copies")
