@@ -308,3 +308,33 @@ def weekly_report(spark, sf_dir):
         r6(F.avg("latency_ms")).alias("avg_latency_ms"),
         r6(F.avg((F.col("latency_ms") / (F.col("latency_ms") + 100.0) > 0.5).cast("double"))).alias("fraud_share"))
     return g
+
+
+def _lineage_sql() -> str:
+    from tessera.plans.q_text import BOOK_CTES, SENT_CTES
+    fraud = " UNION ALL ".join(f"SELECT '{f}' AS feature, 'fraud' AS model" for f in S.FEATURES)
+    return S.with_(*BOOK_CTES, *SENT_CTES[1:]).replace("WITH ", "WITH " + S.SENTIMENT.strip() + ",", 1) + f"""
+, uses AS (SELECT term AS feature, 'recommendation' AS model FROM bvocab
+           UNION ALL SELECT term, 'sentiment' FROM svocab
+           UNION ALL {fraud})
+SELECT feature, list(DISTINCT model ORDER BY model) AS models, count(DISTINCT model) AS n_models
+FROM uses GROUP BY feature"""
+
+
+@query("feature_lineage", sql=_lineage_sql())
+def feature_lineage(spark, sf_dir):
+    """Feature -> models that read it: each model's inputs (the fraud model's
+    eight columns, the fitted vocabularies of the two text models) as
+    (model, feature) rows, grouped by feature."""
+    from tessera.plans.q_text import book_index, sentiment_vocab
+    t = Tables(spark, sf_dir)
+    _, _, bv, _ = book_index(t)
+    _, _, sv, _ = (*sentiment_vocab(t), None)
+    # the fraud model's inputs are its eight typed columns (one row carries them)
+    fraud = bv.limit(1).select(F.lit("fraud").alias("model"),
+                               F.explode(F.array(*[F.lit(f) for f in S.FEATURES])).alias("feature"))
+    uses = (bv.select(F.lit("recommendation").alias("model"), F.col("term").alias("feature"))
+            .unionByName(sv.select(F.lit("sentiment").alias("model"), F.col("term").alias("feature")))
+            .unionByName(fraud))
+    return uses.groupBy("feature").agg(F.sort_array(F.collect_set("model")).alias("models"),
+                                       F.countDistinct("model").alias("n_models"))
