@@ -156,3 +156,27 @@ def test_union_missing_column(spark):
     b = spark.createDataFrame([("t1", 2.0, "scenario")], "user_id string, amount double, description string")
     got = {r["user_id"]: r["description"] for r in a.unionByName(b, allowMissingColumns=True).collect()}
     assert got == {"u1": None, "t1": "scenario"}
+
+
+def test_trailing_hot_key_matches_brute_force(spark):
+    rnd = random.Random(17)
+    rows = [("hot" if rnd.random() < 0.7 else "cold", ts(seconds=rnd.randint(0, 5 * 86_400)), float(i))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    w = 86_400
+    out = trailing(df, ["k"], "t", w, {"n": lambda f: F.count(F.lit(1)).over(f),
+                                       "s": lambda f: F.sum("v").over(f)})
+    got = {(r["k"], r["t"], r["v"]): (r["n"], r["s"]) for r in out.collect()}
+    for k, t, v in rows:
+        prior = [vv for kk, tt, vv in rows if kk == k and t - dt.timedelta(seconds=w) <= tt < t]
+        n, s = got[(k, t, v)]
+        assert n == len(prior)
+        assert (s or 0.0) == sum(prior) or abs((s or 0.0) - sum(prior)) < 1e-9
+
+
+def test_spread_leaves_split_scans_alone(spark):
+    from tessera.sources.tables import spread
+    many = spark.range(0, 1000, numPartitions=64)
+    assert spread(many).rdd.getNumPartitions() == 64
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one, "id").rdd.getNumPartitions() > 1
