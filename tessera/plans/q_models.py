@@ -39,7 +39,7 @@ def _fraud_split(t):
 
 def _fit_fraud(t):
     split, codes = _fraud_split(t)
-    model = md.fraud_pipeline(FEATURES, max_iter=GBT_ROUNDS).fit(split.where(F.col("split") == "train"))
+    model = md.fraud_estimator(FEATURES, max_iter=GBT_ROUNDS).fit(split.where(F.col("split") == "train"))
     return model, split, codes
 
 
@@ -93,7 +93,7 @@ def score_requests(spark, sf_dir):
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
-    """Persist the fitted pipeline, load it back, score again: predictions must agree."""
+    """Persist the fitted model, load it back, score again: predictions must agree."""
     model, split, _ = _fit_fraud(Tables(spark, sf_dir))
     loaded = md.save_and_load(model, scratch_path(spark, "fraud-model"))
     a = _scored(model, split).select("transaction_id", F.col("score").alias("before"))
