@@ -55,3 +55,21 @@ def test_stream_upsert_two_batches_and_restart(spark):
     snap = {r["k"]: r["v"] for r in st.read_latest(spark, root, spark.createDataFrame([], schema).schema).collect()}
     assert snap == {"a": 3.0, "b": 2.0}
     assert len(st.versions(spark, root)) == 2
+
+
+def test_approx_quantiles_close_to_exact(spark, sf_dir):
+    q = E.queries()
+    exact = {r["endpoint"]: r for r in q["latency_quantiles"](spark, sf_dir).collect()}
+    approx = {r["endpoint"]: r for r in q["latency_quantiles_approx"](spark, sf_dir).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        for p in ("p50", "p95", "p99"):
+            assert abs(exact[k][p] - approx[k][p]) <= 0.05 * max(1.0, exact[k][p])
+
+
+def test_csv_file_report_rows_match_tables(spark, sf_dir):
+    rep = {r["file"]: r for r in E.queries()["csv_file_report"](spark, sf_dir).collect()}
+    for t in ("events", "orders", "customer", "part"):
+        n = spark.read.parquet(f"{sf_dir}/{t}.parquet").count()
+        assert rep[t]["rows"] == n
+        assert rep[t]["parquet_bytes"] > 0 and rep[t]["csv_bytes"] > 0
