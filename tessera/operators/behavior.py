@@ -33,16 +33,18 @@ def trailing_spend(tx: DataFrame, key: str = "user_id", ts: str = "timestamp", a
 
 
 def prior_stats(df: DataFrame, groups: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:
-    """For each row, count and sums of ``values`` over strictly earlier rows of
-    its group (cumulative, exact; hot groups split by ``prefix_sums``).
-    Requires (group, ts) to be unique."""
-    staged = df.withColumn("_t", epoch_us(ts)).withColumn("_one", F.lit(1))
-    ranked = prefix_sums(staged, "_t", ["_one", *values], groups)
-    out = ranked.withColumnRenamed("_one_before", "prior_count")
-    for v in values:
-        out = out.withColumnRenamed(f"{v}_before", f"prior_sum_{v}")
-    drop = ["_t", "_one", "_one_upto", *[f"{v}_upto" for v in values]]
-    return out.drop(*drop)
+    """For each row, the count and the sums of ``values`` over the rows of its
+    group with a strictly earlier time (rows at the same time see each other as
+    neither earlier nor later).  Exact: rows are reduced to one per (group,
+    time), prefix-summed by ``prefix_sums`` (a hot group is split across value
+    ranges), and the prior totals are joined back."""
+    staged = df.withColumn("_t", epoch_us(ts))
+    per = staged.groupBy(*groups, "_t").agg(F.count(F.lit(1)).alias("_one"),
+                                            *[F.sum(v).alias(v) for v in values])
+    ranked = prefix_sums(per, "_t", ["_one", *values], groups)
+    prior = ranked.select(*groups, "_t", F.col("_one_before").alias("prior_count"),
+                          *[F.col(f"{v}_before").alias(f"prior_sum_{v}") for v in values])
+    return staged.join(prior, [*groups, "_t"], "inner").drop("_t")
 
 
 def account_age(tx: DataFrame, key: str = "user_id", ts: str = "timestamp") -> DataFrame:

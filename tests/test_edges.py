@@ -180,3 +180,11 @@ def test_spread_leaves_split_scans_alone(spark):
     assert spread(many).rdd.getNumPartitions() == 64
     one = spark.range(0, 1000, numPartitions=1)
     assert spread(one, "id").rdd.getNumPartitions() > 1
+
+
+def test_prior_stats_ties_are_not_prior(spark):
+    from tessera.operators.behavior import prior_stats
+    df = spark.createDataFrame([("m", 1, ts(), 1), ("m", 2, ts(), 0), ("m", 3, ts(hours=1), 1)],
+                               "g string, id long, t timestamp_ntz, y long")
+    got = {r["id"]: (r["prior_count"], r["prior_sum_y"]) for r in prior_stats(df, ["g"], "t", ["y"]).collect()}
+    assert got == {1: (0, 0), 2: (0, 0), 3: (2, 1)}
