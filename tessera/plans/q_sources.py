@@ -52,9 +52,9 @@ def csv_file_report(spark, sf_dir):
     conv = []
     for t in ("events", "orders", "customer", "part"):
         src = read_table(spark, sf_dir, t)
-        csv_path = fs.write_csv(src.coalesce(1), scratch_path(spark, f"{t}-csv"))
-        pq_path = fs.write_parquet(fs.read_csv_inferred(spark, csv_path).coalesce(1),
-                                   scratch_path(spark, f"{t}-pq"))
+        # written in parallel (one part file per task); the report sums the parts
+        csv_path = fs.write_csv(src, scratch_path(spark, f"{t}-csv"))
+        pq_path = fs.write_parquet(fs.read_csv_inferred(spark, csv_path), scratch_path(spark, f"{t}-pq"))
         c = fs.file_listing(spark, csv_path, "csv").agg(
             F.sum("rows").alias("rows"), F.sum("file_size").alias("csv_bytes"))
         p = fs.file_listing(spark, pq_path, "parquet").agg(F.sum("file_size").alias("parquet_bytes"))

@@ -17,6 +17,7 @@ from tessera.sources.tables import Tables
 from tessera.streaming import streams as st
 
 N_FILES = 6
+ROWS_PER_FILE = 1_000_000
 MID = "2024-01-10 00:00:00"
 
 SNAP_SCHEMA = T.StructType([T.StructField("user_id", T.StringType()),
@@ -43,11 +44,13 @@ def event_files(spark, sf_dir, where=None, path=None):
         e = e.where(where)
     path = path or scratch_path(spark, "event-files")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo, hi = e.agg(F.min(us), F.max(us)).first()
+    lo, hi, n = e.agg(F.min(us), F.max(us), F.count(F.lit(1))).first()
     if lo is None:
         return path
-    step = (hi - lo) // N_FILES + 1
-    for i in range(N_FILES):
+    # one file per time slice; slices stay bounded (about a million rows) as data grows
+    files = max(N_FILES, -(-n // ROWS_PER_FILE))
+    step = (hi - lo) // files + 1
+    for i in range(files):
         part = e.where((us >= lo + i * step) & (us < lo + (i + 1) * step))
         part.coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(path)
     return path
