@@ -34,16 +34,19 @@ SYMBOLS = "#*$%&|<>"
 @dataclass(frozen=True)
 class QualityRules:
     """Limits.  Base: fewer than ``min_words`` words, or over ``max_repeat_pct``
-    percent of them in repeated 3-word windows.  Divergence: over ``max_chars``
-    for texts of ``min_chars`` code points, over ``max_common`` (nearest
-    language) for texts of ``min_common_words`` words."""
+    percent of them in repeated 3-word windows.  Divergence, for texts of
+    ``min_chars`` code points: character classes further than ``max_chars``; or
+    further than ``max_chars_odd`` in a text of ``min_common_words`` words whose
+    common words are further than ``max_common`` from every language (lists and
+    tables have few common words, so this alone is no fault)."""
 
     min_words: int = 50
     max_repeat_pct: int = 50
     min_chars: int = 400
-    max_chars: float = 0.45
+    max_chars: float = 0.30
+    max_chars_odd: float = 0.22
     min_common_words: int = 200
-    max_common: float = 0.60
+    max_common: float = 0.25
     chars: dict = field(default_factory=lambda: CHAR_REFERENCE)
     common: dict = field(default_factory=lambda: WORD_REFERENCES)
 
@@ -177,7 +180,8 @@ def measure(df: DataFrame, text_col: str = "text", rules: QualityRules | None =
                                      word_distance(F.col("_q_ws"), r.common, common))))
     failed = (n < r.min_words) | (100 * F.col("_q_rep") > r.max_repeat_pct * n)
     far = (F.coalesce(F.col("_q_cd") > r.max_chars, F.lit(False))
-           | F.coalesce(F.col("_q_wd") > r.max_common, F.lit(False)))
+           | F.coalesce((F.col("_q_wd") > r.max_common) & (F.col("_q_cd") > r.max_chars_odd),
+                        F.lit(False)))
     out = F.struct(
         n.alias("n_words"),
         F.col("_q_n").cast("long").alias("word_chars"),

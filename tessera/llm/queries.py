@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, quality, secrets, urls
+from tessera.llm import bpe, licenses, quality, secrets, tokens, urls
 from tessera.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,13 @@ def register(fn):
     return fn
 
 
+@register
+def op1_byte_bpe(spark, sf_dir):
+    coded = bpe.decode_ids(bpe.encode_texts(read(spark, sf_dir, "documents")))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 @register
 def op3_license_scan(spark, sf_dir):
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
@@ -37,6 +44,12 @@ def op4_secret_scan(spark, sf_dir):
                         told(F.col("spans")).alias("spans"))
 
 
+@register
+def op7_token_counts(spark, sf_dir):
+    counted = tokens.count_tokens(read(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 @register
 def op9_quality_rules(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
