@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def groups_of_bytes(batches: Iterator[pa.RecordBatch], column: str,
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        lens = [x or 0 for x in pa.compute.binary_length(batch.column(column)).to_pylist()]
+        lens = [x or 0 for x in pc.binary_length(batch.column(column)).to_pylist()]
         start = 0
         for i, n in enumerate(lens):
             if size and size + n > limit:

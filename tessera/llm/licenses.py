@@ -41,17 +41,16 @@ MAX_GRAMS = 100_000
 
 def _bigrams(phrases, templates) -> list[tuple]:
     rows = []
-    for kind, group in ((True, phrases), (False, templates)):
-        for label, text in group:
-            ws = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text)
-            if len(ws) < 2:
-                raise ValueError(f"a template needs two words: {text!r}")
-            rows += [(len(rows), label, kind, len(ws) - 1, i, a, b)
-                     for i, (a, b) in enumerate(zip(ws, ws[1:], strict=False))]
+    texts = [(True, *p) for p in phrases] + [(False, *t) for t in templates]
+    for tid, (is_phrase, label, text) in enumerate(texts):
+        ws = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text)
+        if len(ws) < 2:
+            raise ValueError(f"a template needs two words: {text!r}")
+        rows += [(tid, label, is_phrase, len(ws) - 1, i, a, b)
+                 for i, (a, b) in enumerate(zip(ws, ws[1:], strict=False))]
     if len(rows) > MAX_GRAMS:
         raise ValueError(f"{len(rows)} bigrams of templates; at most {MAX_GRAMS} are broadcast")
-    first = {}
-    return [(first.setdefault((r[1], r[2], r[0] - r[4]), r[0] - r[4]), *r[1:]) for r in rows]
+    return rows
 
 
 def license_spans(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, licenses, quality, secrets, tokens, urls
+from tessera.llm import bpe, decontam, licenses, quality, secrets, simhash, tokens, urls, warc
 from tessera.llm.common import read
+from tessera.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,12 +45,39 @@ def op4_secret_scan(spark, sf_dir):
                         told(F.col("spans")).alias("spans"))
 
 
+@register
+def op5_simhash_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+@register
+def op6_decontamination(spark, sf_dir):
+    found = decontam.contaminated(decontam.match_benchmark(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        "contaminated")
+
+
 @register
 def op7_token_counts(spark, sf_dir):
     counted = tokens.count_tokens(read(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@register
+def op8_warc_archives(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    raw, own = scratch_path(spark, "warc-raw"), scratch_path(spark, "warc")
+    warc.write_archives(warc.records(pages), raw)
+    warc.normalise(spark, raw, own)
+    kind = dict(pages.dtypes)["page_id"]
+    return warc.read_archives(spark, own).withColumns(
+        {c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
+
+
 @register
 def op9_quality_rules(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,8 +92,8 @@ def count_tokens(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                 n = counter.counts([t or "" for t in b.column("_text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([
                     b.column("_id"),
-                    pa.compute.fill_null(pa.compute.cast(
-                        pa.compute.binary_length(b.column("_text")), pa.int64()), 0),
+                    pc.fill_null(pc.cast(
+                        pc.binary_length(b.column("_text")), pa.int64()), 0),
                     pa.array(n)], ["_id", "n_bytes", "n_tokens"])
 
     kind = dict(rows.dtypes)["_id"]
