@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, licenses, quality, secrets, simhash, tokens, urls, warc
+from tessera.llm import (
+    bpe, decontam, exactdup, licenses, quality, secrets, simhash, tokens, urls, warc,
+)
 from tessera.llm.common import read
 from tessera.session import scratch_path
 
@@ -28,6 +30,15 @@ def op1_byte_bpe(spark, sf_dir):
                         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+@register
+def op2_suffix_dedup(spark, sf_dir):
+    found = exactdup.remove_repeats(read(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op3_license_scan(spark, sf_dir):
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
