@@ -1,6 +1,63 @@
-STAGES = []
+"""The corpus pipeline: raw documents to token ids.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
+returns a DataFrame, which ``run`` writes as Parquet below the shared folder and
+reads again as the next stage's ``docs``.  All stages but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, decontam, quality, secrets, simhash
+from tessera.llm.common import read, save
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a quality rule go."""
+    return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that of the least id."""
+    return simhash.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the benchmark go."""
+    return decontam.remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; ``n_chars`` follows the text."""
+    return secrets.redact(docs).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian 32-bit integers) and the digest of
+    the text that the ids decode to."""
+    coded = bpe.decode_ids(bpe.encode_texts(docs))
+    return coded.select("doc_id", "n_tokens", "ids",
+                        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", mask_secrets),
+    ("byte-level BPE", encode),
+]
+
+#: Token ids and XXH64 have no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
