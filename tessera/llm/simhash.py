@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import groups_of_bytes, save
 from tessera.llm.components import connected
@@ -48,18 +49,22 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  shingle: int = 3, seed: int = 42, group_bytes: int = 4 << 20) -> DataFrame:
-    """(``_id``, fp) per row of ``df``; null and empty texts have fingerprint 0."""
-    rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    """(``_id``, ``_th``, fp) per row of ``df`` (``_th``: hash of the text); null and
+    empty texts have fingerprint 0."""
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"),
+                     F.xxhash64(F.col(f"`{text_col}`")).alias("_th"),
+                     F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of_bytes(batches, "_text", group_bytes):
             for b in group:
                 fp = np.array([fingerprint(t or "", shingle, seed)
                                for t in b.column("_text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(fp.view(np.int64))],
-                                                 ["_id", "fp"])
+                yield pa.RecordBatch.from_arrays([
+                    b.column("_id"), b.column("_th"), pa.array(fp.view(np.int64))],
+                    ["_id", "_th", "fp"])
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, fp bigint")
+    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, _th bigint, fp bigint")
 
 
 def _chain_keys(fp: Column) -> list[tuple[int, Column, list[int]]]:
@@ -95,7 +100,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(``id_col``, fp long, component_id) per row of ``df``.
+    """(``id_col``, ``_th`` hash of the text, fp long, component_id) per row of ``df``.
 
     ``component_id`` is the least id reachable over links (fingerprints at two
     bits or fewer), itself included; null ids count for nothing in it.  Texts
@@ -112,14 +117,21 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
         .select("fp", label.alias("label"), "least")
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_fp = named.select("fp", "label").join(least, "label").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
+    return fps.join(of_fp, "fp").select(F.col("_id").alias(id_col), "_th", "fp", "component_id")
 
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` that have the least id of their group, one row per id
-    and text; rows without an id stay (nothing names one of them)."""
+    """The rows of ``df`` with the least id of their group, with its own columns.
+
+    Rows without an id stay (nothing names one of them).  Of rows that share the
+    least id one stays, chosen by a hash of all its columns.
+    """
+    cols = df.columns
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
+                     F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"))
     found = near_duplicates(df, text_col, id_col, **options)
     kept = found.filter(F.col(id_col) == F.col("component_id")) \
-        .select(F.col(id_col).alias("_kept")).distinct()
-    rows = df.join(kept, df[id_col] == kept["_kept"], "left_semi")
-    return rows.dropDuplicates([id_col]).unionByName(df.filter(df[id_col].isNull()))
+        .select(F.col(id_col).alias("_id"), "_th").distinct()
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_row")))
+    one = rows.join(kept, ["_id", "_th"], "left_semi").withColumn("_k", first).filter("_k = 1")
+    return one.select("_row.*").unionByName(rows.filter("_id IS NULL").select("_row.*"))

@@ -229,6 +229,7 @@ def read_archives(spark: SparkSession, target: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to), ids as
     strings: one row per record of the normalised archives.  The digest and size
     of a response are taken of the payload as read."""
-    files = spark.read.format("binaryFile").load(f"{target}/kind=warc").select("content")
+    files = spark.read.format("binaryFile").load(target) \
+        .filter(F.col("path").contains("/kind=warc/")).select("content")
     return files.mapInArrow(_read, "page_id string, payload_bytes bigint, payload_digest string, "
                                    "record_type string, refers_to string")
