@@ -39,7 +39,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian 32-bit integers) and the digest of
     the text that the ids decode to."""
-    coded = bpe.decode_ids(bpe.encode_texts(docs))
+    coded = bpe.encode_texts(docs, decoded=True)
     return coded.select("doc_id", "n_tokens", "ids",
                         F.sha2("bytes", 256).alias("decoded_sha256"))
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import groups_of_bytes
 
 _WORD = 256
+_MERGED = 1 << 18
 #: A space is a safe place to cut unless white space follows it.
 _BOTH = re.compile(r" [\s\x85]")
 
@@ -72,7 +73,7 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
         self.size = max(self.ranks.values()) + 1
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         get = self.ranks.get
         pairs = sorted((a * self.size + b, r) for t, r in self.ranks.items()
                        for k in range(1, len(t))
@@ -88,7 +89,7 @@ class Vocabulary:
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank that each pair of ids forms, -1 for none."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         at = np.searchsorted(self.pair_keys, key)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
 
@@ -97,20 +98,21 @@ class Vocabulary:
         lens = np.array([len(t) for t in tokens], np.int64)
         ids = self.byte_ids[np.frombuffer(b"".join(tokens), np.uint8)]
         n = len(ids)
-        owner = np.repeat(np.arange(len(tokens)), lens)
+        owner = np.repeat(np.arange(len(tokens), dtype=np.int32), lens)
         ends = np.cumsum(lens)
         # position n is a wall: the pair before it and those at ends have no rank
-        after = np.arange(1, n + 2)
-        before = np.arange(-1, n)
+        after = np.arange(1, n + 2, dtype=np.int32)
+        before = np.arange(-1, n, dtype=np.int32)
         after[ends - 1] = n
         before[(ends - lens)] = n
         after[n] = before[n] = n
-        ids = np.append(ids, -1)
-        pair = np.full(n + 1, -1, np.int64)
-        inner = np.flatnonzero(after[:n] != n)
-        pair[inner] = self.pair_rank(ids[inner], ids[inner + 1])
+        ids = np.append(ids, np.int32(-1))
+        pair = np.full(n + 1, -1, np.int32)
+        for at in range(0, n, _MERGED):
+            inner = np.flatnonzero(after[at:min(n, at + _MERGED)] != n) + at
+            pair[inner] = self.pair_rank(ids[inner], ids[inner + 1])
         queue = RankQueue(self.size)
-        live = inner[pair[inner] >= 0]
+        live = np.flatnonzero(pair >= 0).astype(np.int32)
         queue.push(pair[live], live)
         alive = np.ones(n + 1, bool)
         while (got := queue.pop()) is not None:
@@ -164,7 +166,7 @@ class Encoder:
     """Texts to ids.  Parts of texts that a space begins are remembered; ``held``
     bounds their characters and only decides when they are forgotten."""
 
-    def __init__(self, vocabulary: Vocabulary, held: int = 24 << 20):
+    def __init__(self, vocabulary: Vocabulary, held: int = 12 << 20):
         self.v, self.held = vocabulary, held
         self.clear()
 
@@ -220,8 +222,8 @@ class Encoder:
         if self.size > self.held:
             self.clear()
         code = self.codes.__getitem__
-        rows = [np.fromiter(map(code, self._parts(t)), np.int64) if t else
-                np.zeros(0, np.int64) for t in texts]
+        rows = [np.fromiter(map(code, self._parts(t)), np.int32) if t else
+                np.zeros(0, np.int32) for t in texts]
         self._learn()
         return [_gather(self.starts[r], self.lens[r], self.flat) for r in rows]
 
@@ -241,9 +243,11 @@ def default_vocabulary() -> str:
 
 def encode_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  path: str | None = None, pattern: str = public_tokenizers.PATTERN,
-                 group_bytes: int = 12 << 20) -> DataFrame:
+                 decoded: bool = False, group_bytes: int = 8 << 20) -> DataFrame:
     """(``id_col``, n_tokens, ids) per row of ``df``: the ids of the whole text as
     binary, little-endian unsigned 32-bit integers, without special tokens.
+    ``decoded`` adds ``bytes``, the bytes that these ids decode to, in the same
+    worker (a second one beside it would double the Python memory of a task).
 
     A null or empty text has no ids (empty binary).  Rows are encoded one by
     one: repeated rows repeat, and an empty table gives an empty result.
@@ -253,22 +257,26 @@ def encode_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(path, pattern))
+        v = Vocabulary(path, pattern)
+        encoder = Encoder(v)
         for group in groups_of_bytes(batches, "_text", group_bytes):
             b = pa.Table.from_batches(group).combine_chunks()
             ids = encoder.encode([t or "" for t in b.column("_text").to_pylist()])
-            yield from pa.table({
+            out = {
                 "_id": b.column("_id"), "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                 "ids": pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-            }).to_batches()
+            }
+            if decoded:
+                out["bytes"] = pa.array([decode(v, x) for x in ids], pa.binary())
+            yield from pa.table(out).to_batches()
 
-    kind = dict(rows.dtypes)["_id"]
-    return rows.mapInArrow(run, f"_id {kind}, n_tokens bigint, ids binary") \
+    schema = f"_id {dict(rows.dtypes)['_id']}, n_tokens bigint, ids binary"
+    return rows.mapInArrow(run, schema + ", bytes binary" * decoded) \
         .withColumnRenamed("_id", id_col)
 
 
 def decode_ids(df: DataFrame, ids_col: str = "ids", out_col: str = "bytes",
-               path: str | None = None, group_bytes: int = 12 << 20) -> DataFrame:
+               path: str | None = None, group_bytes: int = 4 << 20) -> DataFrame:
     """``df`` with ``out_col``: the bytes of the ids in ``ids_col`` (as written by
     ``encode_texts``).  Null ids decode to empty bytes."""
     path = path or default_vocabulary()

@@ -25,7 +25,7 @@ def register(fn):
 
 @register
 def op1_byte_bpe(spark, sf_dir):
-    coded = bpe.decode_ids(bpe.encode_texts(read(spark, sf_dir, "documents")))
+    coded = bpe.encode_texts(read(spark, sf_dir, "documents"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("bytes", 256).alias("decoded_sha256"))
 
