@@ -76,7 +76,7 @@ def prefix_sums(df: DataFrame, order_col: str, weights: Sequence[str],
 
     if not groups:
         offsets = F.broadcast(offsets)  # at most len(bounds)+1 rows
-    joined = staged.join(offsets, on=[*groups, "_rng"], how="inner")
+    joined = _join_groups(staged, offsets, [*groups, "_rng"])
     iw = Window.partitionBy(*groups, "_rng").orderBy(order_col)
     run = iw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined
@@ -106,11 +106,20 @@ def positional_quantiles(df: DataFrame, value_col: str, qs: dict[str, float],
     return ranked.groupBy(*groups).agg(*aggs)
 
 
+def _join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Inner join on ``groups`` in which null equals null."""
+    other = per_group.withColumnsRenamed({g: f"__{g}" for g in groups})
+    cond = F.lit(True)
+    for g in groups:
+        cond = cond & df[g].eqNullSafe(other[f"__{g}"])
+    return df.join(other, cond).drop(*[f"__{g}" for g in groups])
+
+
 def attach_totals(df: DataFrame, totals: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Join per-group totals back.  With no groups the one-row total becomes a
+    """Join per-group totals back, null groups included.  With no groups the one-row total becomes a
     scalar subquery (computed once, shipped as a value — no join at all)."""
     if groups:
-        return df.join(totals, on=list(groups), how="inner")
+        return _join_groups(df, totals, groups)
     cols = totals.columns
     packed = totals.select(F.struct(*cols).alias("__totals")).scalar()
     return (df.withColumn("__totals", packed)

@@ -1,11 +1,10 @@
-"""Trailing event-time windows that survive hot keys.
+"""Trailing event-time sums that survive hot keys, in linear work.
 
 ``Window.partitionBy(user).orderBy(ts).rangeBetween(-w, -1)`` sends every event
-of one user to one task.  Here each key is cut into time buckets at least ``w``
-wide; every row is placed in its own bucket and copied once into the next
-bucket as look-back context.  The frame of a row then lies entirely inside its
-(key, bucket) partition, so a hot key is spread over its buckets while results
-stay exact.
+of one user to one task, and Spark evaluates a sliding frame from scratch for
+each row.  Here an event adds its value at its time and takes it off when it
+leaves the window, so that a trailing sum is a running sum; each key is cut into
+time buckets, and the sum of earlier buckets enters a bucket as one more row.
 """
 
 from __future__ import annotations
@@ -23,43 +22,44 @@ def epoch_us(col: str | Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def trailing(df: DataFrame, keys: Sequence[str], ts_col: str, window_seconds: int,
-             aggs: dict[str, callable], include_current: bool = False,
-             bucket_seconds: int | None = None) -> DataFrame:
-    """Add one column per ``aggs`` entry computed over each row's trailing frame.
+def trailing_sums(df: DataFrame, keys: Sequence[str], ts_col: str,
+                  sums: dict[str, tuple[int, Column]], include_current: bool = False,
+                  bucket_seconds: int = 86_400) -> DataFrame:
+    """``df`` with one column per ``sums`` entry (name: window in seconds, value):
+    the sum of the value over events of the same key with ``ts - w <= t < ts``
+    (``include_current``: ``t <= ts``), 0 for none; null values count as 0.
 
-    Frame: events of the same key with ``ts - w <= t < ts`` (``include_current``
-    makes the upper end ``t <= ts``).  ``aggs`` maps output name to a function
-    ``frame_window -> Column`` (e.g. ``lambda w: F.count("*").over(w)``).
+    Values are longs or decimals: they are added and taken off again, which in
+    floating point would leave a rest.  A null key is a key like any other; a row
+    without a time has sums 0.  The bucket width only sets how a hot key is split.
     """
-    w_us = int(window_seconds * US_PER_SECOND)
-    b_us = int((bucket_seconds or window_seconds) * US_PER_SECOND)
-    if b_us < w_us:
-        raise ValueError("bucket must be at least as wide as the window")
-    base = (df.withColumn("_us", epoch_us(ts_col))
-              .withColumn("_bk", F.floor(F.col("_us") / F.lit(b_us))))
-    own = base.withColumn("_own", F.lit(True))
-    look = base.withColumn("_bk", F.col("_bk") + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(look)
-    frame = (Window.partitionBy(*keys, "_bk").orderBy("_us")
-             .rangeBetween(-w_us, 0 if include_current else -1))
-    cols = [fn(frame).alias(name) for name, fn in aggs.items()]
-    out = both.select("*", *cols).where(F.col("_own"))
-    return out.drop("_us", "_bk", "_own")
-
-
-def trailing_multi(df: DataFrame, keys: Sequence[str], ts_col: str,
-                   aggs: dict[str, tuple[int, callable]], include_current: bool = False) -> DataFrame:
-    """Several trailing windows of different widths in one pass: the bucket is
-    the widest window, and every frame shares the same (key, bucket) partitioning
-    and time order, so Spark evaluates them in one Window operator."""
-    widest = max(s for s, _ in aggs.values())
-    b_us = int(widest * US_PER_SECOND)
-    base = (df.withColumn("_us", epoch_us(ts_col))
-              .withColumn("_bk", F.floor(F.col("_us") / F.lit(b_us))))
-    both = base.withColumn("_own", F.lit(True)).unionByName(
-        base.withColumn("_bk", F.col("_bk") + 1).withColumn("_own", F.lit(False)))
-    spec = Window.partitionBy(*keys, "_bk").orderBy("_us")
-    cols = [fn(spec.rangeBetween(-int(s * US_PER_SECOND), 0 if include_current else -1)).alias(name)
-            for name, (s, fn) in aggs.items()]
-    return both.select("*", *cols).where(F.col("_own")).drop("_us", "_bk", "_own")
+    keys, b_us = list(keys), int(bucket_seconds * US_PER_SECOND)
+    widths = sorted({s for s, _ in sums.values()})
+    rows = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     epoch_us(ts_col).alias("_us"), F.struct(*df.columns).alias("_row"),
+                     *[F.coalesce(v, F.lit(0)).alias(f"_v{j}")
+                       for j, (_, v) in enumerate(sums.values())])
+    # copy 0 adds at the event's time, copy i takes off at the end of window i
+    ends = [F.lit(0).cast("long")] + [
+        F.lit(int(w * US_PER_SECOND) + int(include_current)) for w in widths]
+    moved = rows.withColumn("_m", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), e.alias("by")) for i, e in enumerate(ends)])))
+    ks = [f"_k{i}" for i in range(len(keys))]
+    vs = [f"_v{j}" for j in range(len(sums))]
+    change = [F.when(F.col("_m.i") == 0, F.col(v))
+              .when(F.col("_m.i") == 1 + widths.index(s), -F.col(v)).otherwise(F.col(v) * 0).alias(v)
+              for v, (s, _) in zip(vs, sums.values(), strict=True)]
+    at = F.col("_us") + F.col("_m.by")
+    moved = moved.select(*ks, at.alias("_at"), F.floor(at / b_us).alias("_bk"),
+                         F.when(F.col("_m.i") == 0, F.col("_row")).alias("_row"), *change)
+    totals = moved.groupBy(*ks, "_bk").agg(*[F.sum(v).alias(v) for v in vs])
+    earlier = Window.partitionBy(*ks).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*ks, (F.col("_bk") * b_us - 1).alias("_at"), "_bk",
+                            F.lit(None).cast(moved.schema["_row"].dataType).alias("_row"),
+                            *[F.sum(v).over(earlier).alias(v) for v in vs]).filter("_bk IS NOT NULL")
+    frame = (Window.partitionBy(*ks, "_bk").orderBy("_at")
+             .rangeBetween(Window.unboundedPreceding, 0 if include_current else -1))
+    out = moved.unionByName(carried).select("_row", F.col("_at"), *[
+        F.sum(v).over(frame).alias(v) for v in vs]).filter("_row IS NOT NULL")
+    zero = [F.when(F.col("_at").isNull(), F.lit(0)).otherwise(F.coalesce(v, F.lit(0))) for v in vs]
+    return out.select("_row.*", *[z.alias(name) for z, name in zip(zero, sums, strict=True)])

@@ -32,7 +32,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
 
     ``strict=True`` uses only strictly earlier right rows (training sets that
     must not see the current event).  Ties on right time go to the larger
-    ``created_col``.  Feature columns are named ``prefix + name``; the matched
+    ``created_col``, then to the larger feature row, for every bucket width.  Feature columns are named ``prefix + name``; the matched
     right time is ``ts_alias`` (default ``prefix + 'feature_ts'``).
     """
     keys = list(keys)
@@ -45,6 +45,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     r = right.select(*[F.col(k) for k in keys], epoch_us(right_ts).alias("_us"),
                      F.coalesce(epoch_us(created), F.lit(0)).alias("_c"), feat.alias("_r")) \
         .where(F.col("_us").isNotNull())
+    for k in keys:  # a null key matches nothing
+        r = r.where(F.col(k).isNotNull())
     r = r.withColumn("_bk", F.floor(F.col("_us") / b_us)).withColumn("_side", F.lit(0 if not strict else 1))
     l_ = left.select(*[F.col(k) for k in keys], epoch_us(left_ts).alias("_us"), F.lit(0).cast("long").alias("_c"),
                      F.struct(*[F.col(c) for c in lcols]).alias("_l"))
@@ -52,7 +54,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
 
     both = (r.withColumn("_l", F.lit(None).cast(l_.schema["_l"].dataType))
             .unionByName(l_.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType))))
-    w = (Window.partitionBy(*keys, "_bk").orderBy("_us", "_side", "_c")
+    w = (Window.partitionBy(*keys, "_bk").orderBy("_us", "_side", "_c", "_r")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = both.withColumn("_loc", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
 

@@ -9,27 +9,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import prefix_sums
-from tessera.functions.windows import epoch_us, trailing, trailing_multi
+from tessera.functions.windows import epoch_us, trailing_sums
 
 HOUR, DAY = 3_600, 86_400
 
 
 def velocity_windows(tx: DataFrame, key: str = "user_id", ts: str = "timestamp") -> DataFrame:
     """Counts of the key's events in [ts-1h, ts), [ts-24h, ts), [ts-7d, ts),
-    computed in one bucketed pass (bucket = the widest window)."""
-    one = lambda w: F.count(F.lit(1)).over(w)
-    return trailing_multi(tx, [key], ts, {
+    computed in one pass of running sums."""
+    one = F.lit(1).cast("long")
+    return trailing_sums(tx, [key], ts, {
         "velocity_1h": (HOUR, one), "velocity_24h": (DAY, one), "velocity_7d": (7 * DAY, one)})
 
 
 def trailing_spend(tx: DataFrame, key: str = "user_id", ts: str = "timestamp", amount: str = "amount",
                    days: int = 30) -> DataFrame:
-    return trailing(tx, [key], ts, days * DAY, {
-        f"txn_count_{days}d": lambda w: F.count(F.lit(1)).over(w),
-        f"total_amount_{days}d": lambda w: F.sum(amount).over(w),
-        f"avg_amount_{days}d": lambda w: F.avg(amount).over(w),
-        f"std_amount_{days}d": lambda w: F.stddev_samp(amount).over(w),
-    })
+    """Count, sum, mean and sample deviation of ``amount`` over the key's last
+    ``days`` days; sums are exact decimals (six places, squares twelve)."""
+    w, exact = days * DAY, F.col(amount).cast("decimal(18,6)")
+    out = trailing_sums(tx, [key], ts, {
+        "_n": (w, F.lit(1).cast("long")), "_v": (w, F.col(amount).isNotNull().cast("long")),
+        "_s": (w, exact), "_q": (w, (exact * exact).cast("decimal(28,12)"))})
+    n, s, q = F.col("_v"), F.col("_s").cast("double"), F.col("_q").cast("double")
+    return out.select(
+        *tx.columns, F.col("_n").alias(f"txn_count_{days}d"),
+        F.when(n > 0, s).alias(f"total_amount_{days}d"),
+        F.when(n > 0, s / n).alias(f"avg_amount_{days}d"),
+        F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (q - s * s / n) / (n - 1))))
+        .alias(f"std_amount_{days}d"))
 
 
 def prior_stats(df: DataFrame, groups: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:

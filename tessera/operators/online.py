@@ -84,15 +84,15 @@ def fill_missing(joined: DataFrame, features: Sequence[str] = FRAUD_FEATURES,
                  store_label: str = "store") -> DataFrame:
     """Request value wins; the store value fills a missing one.
 
-    The store is only consulted when at least one feature is missing and the key
-    was found (``feature_source`` tells which).  ``falsy_missing=True`` keeps the
-    reference's rule where 0 and '' also count as missing (a request value of 0
-    is then replaced by the store value, even a null one).
+    The store is only consulted when at least one feature is null and the key was
+    found (``feature_source`` tells which).  With ``falsy_missing=True`` a request
+    whose store is consulted also has its 0 and '' replaced (by the store value,
+    even a null one); a complete request keeps them.
     """
     flags = [_missing(F.col(f), falsy_missing, f in string_features) for f in features]
-    any_missing = flags[0]
-    for fl in flags[1:]:
-        any_missing = any_missing | fl
+    any_missing = F.lit(False)
+    for f in features:
+        any_missing = any_missing | F.col(f).isNull()
     use_store = any_missing & F.col(prefix + "hit")
     filled = {f: F.when(use_store & fl, F.col(prefix + f)).otherwise(F.col(f)).alias(f)
               for f, fl in zip(features, flags)}

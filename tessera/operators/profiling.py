@@ -54,7 +54,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def domain_check(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
-    vals = df.select(F.col(col).alias("value")).distinct()
+    vals = df.select(F.col(col).alias("value")).where("value IS NOT NULL").distinct()
     return vals.withColumn("in_domain", F.col("value").isin(list(allowed)))
 
 

@@ -39,15 +39,19 @@ def weighted_assign(rows: DataFrame, keys: DataFrame, u_col: str, key_col: str,
 def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Exact stratified split: inside each label, rows ordered by md5(id|seed);
-    the first ceil(test_size * n_label) rows go to test.  Ranks come from the
+    the first ceil(test_size * n_label) rows go to test (rows of one id together; a
+    null label is a label).  Ranks come from the
     distributed prefix sums, so a dominant label is not sorted in one task."""
     h = df.withColumn("_h", md5_key(id_col, seed=seed))
-    ones = h.select(label_col, "_h").withColumn("_one", F.lit(1))
+    # rows that share an id share its hash: one row per hash, with their number
+    ones = h.groupBy(label_col, "_h").agg(F.count(F.lit(1)).alias("_one"))
     ranked = prefix_sums(ones, "_h", ["_one"], [label_col])
-    totals = ones.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(totals, label_col).select(
-        label_col, "_h", (F.col("_one_upto") <= F.ceil(F.col("_n") * test_size)).alias("_test"))
-    out = h.join(ranked, [label_col, "_h"], "inner")
+    totals = ones.groupBy(label_col).agg(F.sum("_one").alias("_n"))
+    ranked = attach_totals(ranked, totals, [label_col]).select(
+        F.col(label_col).alias("_label"), F.col("_h").alias("_h2"),
+        (F.col("_one_upto") <= F.ceil(F.col("_n") * test_size)).alias("_test"))
+    out = h.join(ranked, (h["_h"] == ranked["_h2"]) & h[label_col].eqNullSafe(ranked["_label"])) \
+        .drop("_label", "_h2")
     return out.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_h", "_test")
 
 

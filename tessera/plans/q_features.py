@@ -275,12 +275,12 @@ def validate_requests(spark, sf_dir):
     return on.validate_requests(r).select("transaction_id", "status", "error_type")
 
 
-@query("validate_text_requests", sql="""
-SELECT conv_id, turn, CASE WHEN text IS NULL OR trim(text) = '' THEN 'rejected' ELSE 'ok' END AS status
+@query("validate_text_requests", sql=r"""
+SELECT conv_id, turn, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\x09-\x0D\x20]') THEN 'rejected' ELSE 'ok' END AS status
 FROM conversations""")
 def validate_text_requests(spark, sf_dir):
     c = Tables(spark, sf_dir).conversations
-    blank = F.col("text").isNull() | (F.trim("text") == "")
+    blank = F.col("text").isNull() | ~F.rlike("text", F.lit(r"[^\x09-\x0D\x20]"))
     return c.select("conv_id", "turn", F.when(blank, "rejected").otherwise("ok").alias("status"))
 
 

@@ -28,7 +28,7 @@ def _feature_case(falsy: bool) -> str:
             return f"{c} IS NULL"
         zero = "''" if f == "merchant_category" else "0"
         return f"({c} IS NULL OR {c} = {zero})"
-    any_missing = " OR ".join(miss(f) for f in S.FEATURES)
+    any_missing = " OR ".join(f"r.{f} IS NULL" for f in S.FEATURES)
     use = f"(({any_missing}) AND s.user_id IS NOT NULL)"
     cols = ",\n         ".join(
         f"CASE WHEN {use} AND {miss(f)} THEN s.{f} ELSE r.{f} END AS {f}" for f in S.FEATURES)

@@ -272,13 +272,12 @@ SELECT user_id, amount, CAST(transaction_hour AS INTEGER) AS transaction_hour, m
        CAST(device_trust_score AS DOUBLE) AS device_trust_score,
        CAST(velocity_last_24h AS INTEGER) AS velocity_last_24h,
        CAST(cardholder_age AS INTEGER) AS cardholder_age, event_timestamp
-FROM snapshot ORDER BY user_id LIMIT 1000""")
+FROM snapshot""")
 def project_online_schema(spark, sf_dir):
-    """Fallback write path: first 1000 rows by key, projected onto the online schema
+    """Fallback write path: the whole snapshot projected onto the online schema
     (absent columns get defaults, present ones are cast)."""
     snap = snapshot(Tables(spark, sf_dir)).drop("created_timestamp")
-    head = snap.orderBy("user_id").limit(1000)
-    return fs.conform(head, ONLINE_USER_SCHEMA, defaults={"velocity_last_24h": 0})
+    return fs.conform(snap, ONLINE_USER_SCHEMA, defaults={"velocity_last_24h": 0})
 
 
 @query("online_rows_typed", sql=S.with_(S.TRANSACTIONS) + """

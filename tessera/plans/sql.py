@@ -54,7 +54,7 @@ comments AS (
 BOOKS = """
 books AS (
   SELECT doc_id AS book_id,
-         substr(split_part(text, chr(10), 1), 1, 60) AS title,
+         split_part(text, chr(10), 1) AS title,
          CAST(NULL AS VARCHAR) AS subtitle,
          source AS authors, text AS description, lang AS categories,
          CAST(NULL AS VARCHAR) AS publisher, source AS search_category,

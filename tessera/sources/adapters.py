@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.windows import trailing
+from tessera.functions.windows import trailing_sums
 from tessera.sources.tables import Tables
 
 DAY = 86_400
@@ -43,8 +43,8 @@ def transactions_from(e: DataFrame, with_velocity: bool = True) -> DataFrame:
         (F.lit(18) + F.col("user_id") % 62).cast("long").alias("cardholder_age"),
     )
     if with_velocity:
-        df = trailing(df, ["user_id"], "timestamp", DAY,
-                      {"velocity_last_24h": lambda w: F.count(F.lit(1)).over(w)})
+        df = trailing_sums(df, ["user_id"], "timestamp",
+                           {"velocity_last_24h": (DAY, F.lit(1).cast("long"))})
     else:
         df = df.withColumn("velocity_last_24h", F.lit(None).cast("long"))
     fraud = (((F.col("device_trust_score") < 40) & (F.col("amount") > 60))
@@ -68,7 +68,7 @@ def second_corpus(t: Tables) -> DataFrame:
 
 def books(t: Tables) -> DataFrame:
     """Book catalog from documents."""
-    title = F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 60)
+    title = F.substring_index(F.col("text"), "\n", 1)
     return t.documents.select(
         F.col("doc_id").alias("book_id"),
         title.alias("title"),

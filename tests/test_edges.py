@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import interpolated_quantiles, positional_quantiles, prefix_sums
-from tessera.functions.windows import trailing
+from tessera.functions.windows import trailing_sums
 from tessera.operators import metrics as mt
 from tessera.operators.asof import asof_join
 from tessera.operators.online import fill_missing, latest_per_key, online_lookup
@@ -127,7 +127,7 @@ def test_prefix_sums_hot_group_matches_brute_force(spark):
 def test_trailing_window_bounds(spark):
     df = spark.createDataFrame([("u", ts(hours=-24)), ("u", ts()), ("u", ts(hours=-24, microseconds=-1)),
                                 ("u", ts(hours=-5)), ("v", ts())], "k string, t timestamp_ntz")
-    out = trailing(df, ["k"], "t", 86_400, {"n": lambda w: F.count(F.lit(1)).over(w)})
+    out = trailing_sums(df, ["k"], "t", {"n": (86_400, F.lit(1).cast("long"))})
     got = {(r["k"], r["t"]): r["n"] for r in out.collect()}
     assert got[("u", ts())] == 2          # exactly w earlier counts, 1 us more does not
     assert got[("v", ts())] == 0
@@ -164,14 +164,27 @@ def test_trailing_hot_key_matches_brute_force(spark):
             for i in range(400)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
     w = 86_400
-    out = trailing(df, ["k"], "t", w, {"n": lambda f: F.count(F.lit(1)).over(f),
-                                       "s": lambda f: F.sum("v").over(f)})
+    out = trailing_sums(df, ["k"], "t", {"n": (w, F.lit(1).cast("long")),
+                                         "s": (w, F.col("v").cast("decimal(18,6)"))},
+                        bucket_seconds=7_200)
     got = {(r["k"], r["t"], r["v"]): (r["n"], r["s"]) for r in out.collect()}
     for k, t, v in rows:
         prior = [vv for kk, tt, vv in rows if kk == k and t - dt.timedelta(seconds=w) <= tt < t]
         n, s = got[(k, t, v)]
         assert n == len(prior)
-        assert (s or 0.0) == sum(prior) or abs((s or 0.0) - sum(prior)) < 1e-9
+        assert float(s) == sum(prior)
+
+
+def test_trailing_null_key_time_and_no_sliding_frame(spark):
+    df = spark.createDataFrame([(None, ts()), (None, ts(hours=1)), ("a", None), ("a", ts())],
+                               "k string, t timestamp_ntz")
+    out = trailing_sums(df, ["k"], "t", {"n": (86_400, F.lit(1).cast("long")),
+                                         "h": (1_800, F.lit(1).cast("long"))})
+    assert sorted(((r["k"], r["t"], r["n"], r["h"]) for r in out.collect()), key=repr) == sorted(
+        [(None, ts(), 0, 0), (None, ts(hours=1), 1, 0), ("a", None, 0, 0), ("a", ts(), 0, 0)], key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, unboundedpreceding" in plan
+    assert "RangeFrame, -" not in plan
 
 
 def test_spread_leaves_split_scans_alone(spark):
@@ -188,3 +201,27 @@ def test_prior_stats_ties_are_not_prior(spark):
                                "g string, id long, t timestamp_ntz, y long")
     got = {r["id"]: (r["prior_count"], r["prior_sum_y"]) for r in prior_stats(df, ["g"], "t", ["y"]).collect()}
     assert got == {1: (0, 0), 2: (0, 0), 3: (2, 1)}
+
+
+def test_stratified_split_keeps_null_labels_and_duplicates(spark):
+    from tessera.operators.sampling import stratified_split
+    rows = [(1, "a"), (1, "a"), (2, "a"), (3, None), (4, None), (5, "b")]
+    out = stratified_split(spark.createDataFrame(rows, "id long, y string"), "id", "y", 0.5)
+    assert sorted(((r["id"], r["y"]) for r in out.collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_positional_quantiles_keep_null_group(spark):
+    from tessera.functions.ranking import positional_quantiles
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("g", 5.0)], "g string, v double")
+    got = {r["g"]: r["q"] for r in positional_quantiles(df, "v", {"q": 0.5}, ["g"]).collect()}
+    assert got == {None: 2.0, "g": 5.0}
+
+
+def test_asof_null_keys_and_ties_do_not_depend_on_buckets(spark):
+    left = spark.createDataFrame([("u", ts(hours=5)), (None, ts(hours=5))], "k string, t timestamp_ntz")
+    right = spark.createDataFrame([("u", ts(), 3.0), ("u", ts(), 9.0), (None, ts(), 1.0)],
+                                  "k string, f timestamp_ntz, v double")
+    for bucket in (3_600, 864_000):
+        got = {r["k"]: r["v"] for r in asof_join(left, right, ["k"], "t", "f", ["v"],
+                                                 bucket_seconds=bucket).collect()}
+        assert got == {"u": 9.0, None: None}
