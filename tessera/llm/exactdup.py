@@ -28,6 +28,8 @@ from tessera.llm.segments import segments
 _MARKS = (1 << 23) - 1
 _GROUP = 96 << 10  # bytes of text hashed at once: fits a core's cache
 _BLOCK = 2 << 20  # bytes of segments indexed at once, in whole minimizers
+_HOT = 1000  # keys with over one part in so many of all rows are salted
+_SALTS = 64
 
 
 def _documents(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -200,20 +202,34 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     ).withColumnRenamed("_id", id_col)
 
 
+def _semi(rows: DataFrame, counted: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``rows`` whose ``on`` stands in ``counted`` (on, n; the n add up to ``total``
+    or less).  A key with over a thousandth of ``total`` is dealt over many tasks;
+    there are under a thousand of these, whatever the input, so they are broadcast."""
+    hot = F.broadcast(counted.filter(F.col("n") * _HOT > total).select(*on, F.lit(True).alias("_hot")))
+    deal = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id", "at"), F.lit(_SALTS)).cast("int")).otherwise(0)
+    all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = counted.join(hot, on, "left").select(*on, F.explode(all_salts).alias("_salt"))
+    return rows.join(hot, on, "left").withColumn("_salt", deal) \
+        .join(keys, [*on, "_salt"], "left_semi").drop("_hot", "_salt")
+
+
 def repeated_windows(docs: DataFrame, window: int, gram: int, crowd: int) -> DataFrame:
     """(``_id``, ``_mark``, lo, hi): spans of repeated windows, by their first byte."""
     all_ = cut(docs, window, gram)
     # a segment may also repeat inside itself
-    often = all_.groupBy("key").agg(F.sum(1 + _again(F.col("at"))).alias("n")).filter("n > 1")
+    often = save(all_.groupBy("key").agg(F.sum(1 + _again(F.col("at"))).alias("n"))
+                 .filter("n > 1"), "often")
+    total = often.agg(F.sum("n")).first()[0] or 0
     # small beside the texts, and read three times
-    again = save(all_.join(often, "key", "left_semi"), "segments")
+    again = save(_semi(all_, often, ["key"], total), "segments")
     distinct = again.groupBy("key", "dig").agg(F.count("*").alias("n"),
                                                F.min(F.struct("_id", "at")).alias("rep"))
     state = save(distinct.groupBy("key").agg(F.count("*").alias("kinds"),
                                              F.sum(F.when(F.col("n") == 1, 1)).alias("single"),
                                              F.max(_again(F.col("rep.at"))).alias("again"))
                  .filter("single > 0 AND (kinds > 1 OR again = 1)"), "minimizers")
-    whole = again.join(distinct.filter("n > 1"), ["key", "dig"], "left_semi").select(
+    whole = _semi(again, distinct.filter("n > 1"), ["key", "dig"], total).select(
         "_id", _mark(F.col("at")).alias("_mark"), _start(F.col("at")).alias("lo"),
         (_start(F.col("at")) + _count(F.col("at"))).alias("hi"))
     few = distinct.join(state.filter(F.col("kinds") <= crowd), "key", "left_semi") \
