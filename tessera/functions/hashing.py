@@ -21,6 +21,11 @@ def hash_uniform(*cols, seed: int | str | None = None) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def hash_32(*cols, seed: int | str | None = None) -> Column:
+    """A uniform whole number in 0 .. 2^32 - 1 from the first 8 hex digits of md5."""
+    return F.conv(F.substring(md5_key(*cols, seed=seed), 1, 8), 16, 10).cast("long")
+
+
 def hash_bucket(*cols, buckets: int = 100, seed: int | str | None = None) -> Column:
     """md5 prefix as an integer modulo ``buckets``."""
     h = md5_key(*cols, seed=seed)

@@ -61,9 +61,17 @@ def upsert_snapshot(snapshot: DataFrame, batch: DataFrame, key: str, ts_col: str
     return latest_per_key(both, [key], [ts_col, "_src", *tie_cols], cols).select(*cols)
 
 
+def unexpired(snapshot: DataFrame, as_of, ttl_days: int, ts_col: str = "event_timestamp") -> DataFrame:
+    """Store rows whose age at ``as_of`` is within the view's time-to-live (a row
+    exactly ``ttl_days`` old still counts; a null time does not)."""
+    oldest = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(ttl_days))
+    return snapshot.where(F.col(ts_col) >= oldest)
+
+
 def online_lookup(requests: DataFrame, snapshot: DataFrame, key: str,
                   prefix: str = "store_") -> DataFrame:
-    """One output row per request row; store columns null when the key is absent.
+    """One output row per request row; store columns null when the key is absent
+    (or its row is past its time-to-live, if ``snapshot`` is ``unexpired``).
 
     A left join: AQE turns it into a broadcast join when the snapshot is small at
     run time; otherwise it is a shuffle join on the key."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_bucket, md5_key
@@ -14,26 +14,32 @@ from tessera.functions.ranking import attach_totals, prefix_sums
 
 def weighted_assign(rows: DataFrame, keys: DataFrame, u_col: str, key_col: str, w_col: str,
                     buckets: int = 4096) -> DataFrame:
-    """Give each row the key whose cumulative-weight interval [lo, hi) contains
-    the row's uniform number ``u`` (sampling keys with replacement, p ~ weight).
-
-    A range join made an equi-join: the unit interval is cut into ``buckets``
-    cells; each key interval is listed under every cell it overlaps, each row
-    looks up its own cell and keeps the one interval containing ``u``.
+    """Give each row the key whose interval of cumulative weight holds the row's
+    number (sampling keys with replacement, p ~ weight).
+
+    ``u_col`` is uniform in 0 .. 2^32 - 1 and weights are whole numbers, so the
+    intervals [before, upto) meet without gaps or overlaps: every row gets exactly
+    one key.  Null, zero and negative weights are never drawn.  A range join made
+    an equi-join: the weight axis is cut into ``buckets`` cells; each interval is
+    listed under every cell it overlaps, and each row looks into its own cell.
     """
-    k = keys.select(key_col, F.col(w_col).cast("double").alias("_w"))
-    ranked = prefix_sums(k, key_col, ["_w"])
+    k = keys.where(F.col(w_col) > 0).groupBy(key_col).agg(F.sum(F.col(w_col).cast("long")).alias("_w"))
     total = k.agg(F.sum("_w").alias("_tot"))
-    iv = attach_totals(ranked, total, [])
-    iv = iv.select(key_col, (F.col("_w_before") / F.col("_tot")).alias("_lo"),
-                   (F.col("_w_upto") / F.col("_tot")).alias("_hi"))
-    cells = iv.select(key_col, "_lo", "_hi", F.explode(F.sequence(
-        F.floor(F.col("_lo") * buckets).cast("int"),
-        F.least(F.floor(F.col("_hi") * buckets).cast("int"), F.lit(buckets - 1)))).alias("_cell"))
-    r = rows.withColumn("_cell", F.least(F.floor(F.col(u_col) * buckets).cast("int"), F.lit(buckets - 1)))
+    iv = attach_totals(prefix_sums(k, key_col, ["_w"]), total, [])
+
+    def cell(c: str) -> Column:
+        return F.expr(f"CAST(CAST({c} AS DECIMAL(28,0)) * {buckets} DIV _tot AS INT)")
+
+    cells = iv.withColumn("_last", F.col("_w_upto") - 1).select(
+        key_col, F.col("_w_before").alias("_lo"), F.col("_w_upto").alias("_hi"),
+        F.explode(F.sequence(cell("_w_before"), cell("_last"))).alias("_cell"))
+    r = attach_totals(rows, total, []) \
+        .withColumn("_at", F.expr(f"CAST(CAST({u_col} AS DECIMAL(19,0)) * CAST(_tot AS DECIMAL(19,0)) "
+                                  "DIV 4294967296 AS BIGINT)"))
+    r = r.withColumn("_cell", cell("_at")).drop("_tot")
     j = r.join(bounded_broadcast(cells), on="_cell", how="inner")
-    return j.where((F.col(u_col) >= F.col("_lo")) & (F.col(u_col) < F.col("_hi"))) \
-        .drop("_cell", "_lo", "_hi")
+    return j.where((F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi"))) \
+        .drop("_cell", "_lo", "_hi", "_at")
 
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: float = 0.2,

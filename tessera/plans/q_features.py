@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import hash_uniform
+from tessera.functions.hashing import hash_32
 from tessera.operators import features as ft
 from tessera.operators import online as on
 from tessera.plans import sql as S
@@ -196,24 +196,21 @@ def response_projection(spark, sf_dir):
 
 
 @query("assign_users", sql="""
-WITH users AS (
-  SELECT uid, pow(('0x' || substr(md5(CAST(uid AS VARCHAR) || '|42'), 1, 8))::BIGINT / 4294967296.0, 2) AS w
-  FROM range(1001, 2001) r(uid)),
-iv AS (SELECT uid, (sum(w) OVER (ORDER BY uid) - w) / sum(w) OVER () AS lo,
-              sum(w) OVER (ORDER BY uid) / sum(w) OVER () AS hi FROM users),
-tx AS (SELECT event_id, ('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|7'), 1, 8))::BIGINT / 4294967296.0 AS u
-       FROM events)
-SELECT CAST(tx.event_id AS VARCHAR) AS transaction_id, printf('user_%04d', iv.uid) AS user_id
-FROM tx JOIN iv ON tx.u >= iv.lo AND tx.u < iv.hi""")
+WITH w AS (SELECT o_custkey AS uid, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+iv AS (SELECT uid, sum(n) OVER (ORDER BY uid) - n AS lo, sum(n) OVER (ORDER BY uid) AS hi, sum(n) OVER () AS total FROM w),
+tx AS (SELECT event_id, ('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|7'), 1, 8))::BIGINT AS u FROM events),
+placed AS (SELECT event_id, CAST(u * (SELECT max(total) FROM iv) // 4294967296 AS BIGINT) AS place FROM tx)
+SELECT CAST(placed.event_id AS VARCHAR) AS transaction_id, printf('user_%04d', iv.uid) AS user_id
+FROM placed JOIN iv ON placed.place >= iv.lo AND placed.place < iv.hi""")
 def assign_users(spark, sf_dir):
-    """Weighted key assignment: each transaction gets user_1001..user_2000 with
-    probability proportional to power-law weights (u^2 of a hash-uniform u)."""
+    """Weighted key assignment: each transaction gets a customer, drawn with
+    replacement in proportion to the number of orders."""
     from tessera.operators.sampling import weighted_assign
     t = Tables(spark, sf_dir)
-    users = spark.range(1001, 2001).select(F.col("id").alias("uid"))
-    users = users.withColumn("w", F.pow(hash_uniform("uid", seed=42), 2))
+    users = t.orders.where(F.col("o_custkey").isNotNull()) \
+        .groupBy(F.col("o_custkey").alias("uid")).agg(F.count(F.lit(1)).alias("w"))
     tx = t.events.select(F.col("event_id").cast("string").alias("transaction_id"),
-                         hash_uniform("event_id", seed=7).alias("u"))
+                         hash_32("event_id", seed=7).alias("u"))
     out = weighted_assign(tx, users, "u", "uid", "w")
     out = out.withColumn("user_id", ft.zero_pad_id("uid")).drop("uid", "u")
     return ft.move_column(out, "user_id", after="transaction_id")

@@ -11,10 +11,11 @@ from tessera.operators import metrics as mt
 from tessera.operators import models as md
 from tessera.operators import online as on
 from tessera.operators import sampling as sm
+from tessera.operators import text as tt
 from tessera.operators.features import SENTIMENT_NAMES
 from tessera.plans import sql as S
-from tessera.plans.q_online import AS_OF, START
-from tessera.plans.q_text import SENT, sentiment_vocab
+from tessera.plans.q_online import live_snapshot
+from tessera.plans.q_text import SENT, terms_sql, vocab_sql
 from tessera.plans.registry import query
 from tessera.session import scratch_path
 from tessera.sources import adapters as ad
@@ -83,8 +84,7 @@ def score_requests(spark, sf_dir):
     threshold and verdict, with the feature source kept."""
     t = Tables(spark, sf_dir)
     model, _, codes = _fit_fraud(t)
-    snap = on.materialize_latest(ad.transactions(t), START, AS_OF)
-    j = on.online_lookup(ad.requests(t), snap, "user_id")
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     filled = on.default_fill(on.fill_missing(j, falsy_missing=True), falsy_missing=True)
     checked = on.validate_requests(filled)
     ok = checked.where(F.col("status") == "ok")
@@ -119,13 +119,30 @@ def class_weights(spark, sf_dir):
     return w.select("category", "n_c", "weight")
 
 
+def _sentiment_corpus(t):
+    """Both labelled corpora under one id, rows without text or label left out."""
+    a = ad.sentiment_texts(t).select(
+        F.concat_ws("-", F.lit("d"), "doc_id").alias("text_id"), F.col("clean_text").alias("text"), "category")
+    b = ad.second_corpus(t).select(
+        F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("text_id"),
+        F.col("clean_comment").alias("text"), "category")
+    return a.unionByName(b).na.drop("any", subset=["text", "category"])
+
+
+def _sentiment_train_vocab(train):
+    terms = tt.doc_terms(train, "text_id", "text", stop_words=SENT["stop_words"])
+    return tt.fit_vocabulary(train, terms, "text_id", SENT["min_df"], SENT["max_df"], SENT["max_features"])
+
+
 def _sentiment_fit(t):
-    s, _, vocab = sentiment_vocab(t)
-    weights = md.class_weights(s, "category").select("category", "weight")
-    data = s.join(weights, "category").withColumn("label", (F.col("category") + 1).cast("double"))
-    split = sm.stratified_split(data, "doc_id", "category", 0.2, 42)
-    vec, _ = md.tfidf_vectors(split, "doc_id", "clean_text", vocab, stop_words=SENT["stop_words"])
-    train = vec.where(F.col("split") == "train")
+    """Split first; vocabulary, idf and class weights come from the training rows only."""
+    split = sm.stratified_split(_sentiment_corpus(t), "text_id", "category", 0.2, 42) \
+        .withColumn("label", (F.col("category") + 1).cast("double"))
+    known = split.where(F.col("split") == "train")
+    vocab = _sentiment_train_vocab(known)
+    vec, _ = md.tfidf_vectors(split, "text_id", "text", vocab, stop_words=SENT["stop_words"])
+    weights = md.class_weights(known, "category").select("category", "weight")
+    train = vec.where(F.col("split") == "train").join(weights, "category")
 
     def fit():
         total_weight = train.agg(F.sum("weight")).first()[0]  # one scalar for the penalty scale
@@ -136,11 +153,35 @@ def _sentiment_fit(t):
 
 @query("train_sentiment")
 def train_sentiment(spark, sf_dir):
-    """TF-IDF + balanced multinomial logistic regression; report on the 20 % split."""
+    """TF-IDF + balanced multinomial logistic regression on both corpora; reports
+    on the 80 % it was fitted on and on the 20 % held out."""
     model, vec, _ = _sentiment_fit(Tables(spark, sf_dir))
-    test = model.transform(vec.where(F.col("split") == "test")) \
-        .withColumn("predicted", (F.col("prediction") - 1).cast("int"))
-    return mt.classification_report(test, "category", "predicted", [-1, 0, 1], SENTIMENT_NAMES)
+    done = model.transform(vec).withColumn("predicted", (F.col("prediction") - 1).cast("int"))
+    reports = [mt.classification_report(done.where(F.col("split") == part), "category", "predicted",
+                                        [-1, 0, 1], SENTIMENT_NAMES).withColumn("split", F.lit(part))
+               for part in ("train", "test")]
+    return reports[0].unionByName(reports[1])
+
+
+@query("sentiment_train_vocabulary", sql=S.with_(
+    S.SENTIMENT, S.SECOND_CORPUS, """
+corpus AS (
+  SELECT 'd-' || doc_id AS text_id, clean_text AS text, category FROM sentiment WHERE clean_text IS NOT NULL
+  UNION ALL
+  SELECT 'c-' || conv_id || '-' || turn, clean_comment, category FROM comments WHERE clean_comment IS NOT NULL)""", """
+ranked AS (
+  SELECT *, rank() OVER (PARTITION BY category ORDER BY md5(text_id || '|42')) AS k,
+         count(*) OVER (PARTITION BY category) AS n FROM corpus)""", """
+train AS (SELECT text_id, text FROM ranked WHERE k > ceil(n * 0.2))""",
+    terms_sql("trterms", "train", "text_id", "text", SENT["stop_words"]),
+    vocab_sql("trvocab", "trterms", "train", SENT["min_df"], SENT["max_df"], SENT["max_features"]))
+    + "SELECT term, df, tf_total, round(idf, 6) AS idf FROM trvocab")
+def sentiment_train_vocabulary(spark, sf_dir):
+    """The vocabulary and idf that the sentiment model is fitted with: from the
+    training rows of both corpora, never from the held-out ones."""
+    split = sm.stratified_split(_sentiment_corpus(Tables(spark, sf_dir)), "text_id", "category", 0.2, 42)
+    vocab = _sentiment_train_vocab(split.where(F.col("split") == "train"))
+    return vocab.select("term", "df", "tf_total", F.round("idf", 6).alias("idf"))
 
 
 @query("sentiment_response")

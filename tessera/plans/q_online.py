@@ -16,8 +16,25 @@ AS_OF = "2024-01-20 00:00:00"
 START = "2023-11-21 00:00:00"
 
 
+# Fixed value: time-to-live of the user feature view, in days.
+TTL_DAYS = 365
+
+
+def transactions_in_range(t: Tables):
+    """Transactions of the window and of the 24 h before it, which their velocity
+    looks back on: the time filter reaches the scan."""
+    lo = F.lit(START).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(24))
+    e = t.events.where((F.col("ts") >= lo) & (F.col("ts") <= F.lit(AS_OF).cast("timestamp_ntz")))
+    return ad.transactions_from(e)
+
+
 def snapshot(t: Tables):
-    return on.materialize_latest(ad.transactions(t), START, AS_OF)
+    return on.materialize_latest(transactions_in_range(t), START, AS_OF)
+
+
+def live_snapshot(t: Tables):
+    """The rows a lookup at ``AS_OF`` may return."""
+    return on.unexpired(snapshot(t), AS_OF, TTL_DAYS)
 
 
 def _feature_case(falsy: bool) -> str:
@@ -54,16 +71,44 @@ SELECT r.transaction_id, r.user_id, r.amount, s.amount AS store_amount,
 FROM requests r LEFT JOIN snapshot s ON r.user_id = s.user_id""")
 def online_lookup(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    j = on.online_lookup(ad.requests(t), snapshot(t), "user_id")
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     return j.select("transaction_id", "user_id", "amount", "store_amount", "store_velocity_last_24h",
                     "store_event_timestamp", "store_hit")
 
 
+@query("online_lookup_ttl", sql=S.with_(S.TRANSACTIONS, S.REQUESTS, S.snapshot_cte(START, AS_OF)) + f"""
+SELECT r.transaction_id, r.user_id, s.amount AS store_amount, s.event_timestamp AS store_event_timestamp,
+       s.user_id IS NOT NULL AS store_hit
+FROM requests r LEFT JOIN snapshot s
+  ON r.user_id = s.user_id AND s.event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY""")
+def online_lookup_ttl(spark, sf_dir):
+    """Lookup in a view that expires after one day: older rows answer as absent."""
+    t = Tables(spark, sf_dir)
+    j = on.online_lookup(ad.requests(t), on.unexpired(snapshot(t), AS_OF, 1), "user_id")
+    return j.select("transaction_id", "user_id", "store_amount", "store_event_timestamp", "store_hit")
+
+
+@query("online_lookup_transaction", sql=S.with_(S.TRANSACTIONS, S.REQUESTS) + f"""
+SELECT r.transaction_id, r.amount, t.amount AS store_amount, t.device_trust_score AS store_device_trust_score,
+       t.transaction_id IS NOT NULL AS store_hit
+FROM requests r LEFT JOIN (SELECT * FROM transactions
+  WHERE "timestamp" BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{AS_OF}') t USING (transaction_id)""")
+def online_lookup_transaction(spark, sf_dir):
+    """Lookup in the store table keyed by transaction id (one row per transaction
+    of the window)."""
+    t = Tables(spark, sf_dir)
+    tx = on.in_time_range(ad.transactions(t, with_velocity=False), "timestamp", START, AS_OF)
+    store = on.latest_per_key(tx, ["transaction_id"], ["timestamp", "created_timestamp"],
+                              ["amount", "device_trust_score"])
+    j = on.online_lookup(ad.requests(t), store, "transaction_id")
+    return j.select("transaction_id", "amount", "store_amount", "store_device_trust_score", "store_hit")
+
+
 @query("fill_missing_null", sql=S.with_(S.TRANSACTIONS, S.REQUESTS, S.snapshot_cte(START, AS_OF))
        + _feature_case(False))
 def fill_missing_null(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    j = on.online_lookup(ad.requests(t), snapshot(t), "user_id")
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     return on.fill_missing(j, falsy_missing=False)
 
 
@@ -71,7 +116,7 @@ def fill_missing_null(spark, sf_dir):
        + _feature_case(True))
 def fill_missing_falsy(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    j = on.online_lookup(ad.requests(t), snapshot(t), "user_id")
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     return on.fill_missing(j, falsy_missing=True)
 
 
@@ -90,7 +135,7 @@ FROM filled"""
        + _default_sql())
 def default_fill(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    j = on.online_lookup(ad.requests(t), snapshot(t), "user_id")
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     return on.default_fill(on.fill_missing(j, falsy_missing=True), falsy_missing=True)
 
 
@@ -107,9 +152,8 @@ def category_codes(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Requests -> latest-per-user snapshot -> left lookup -> fill -> defaults -> codes."""
     t = Tables(spark, sf_dir)
-    tx = ad.transactions(t)
-    snap = on.materialize_latest(tx, START, AS_OF)
-    j = on.online_lookup(ad.requests(t), snap, "user_id")
+    tx = ad.transactions(t, with_velocity=False)
+    j = on.online_lookup(ad.requests(t), live_snapshot(t), "user_id")
     filled = on.default_fill(on.fill_missing(j, falsy_missing=False), falsy_missing=False)
     codes = ft.fit_category_codes(tx, "merchant_category")
     return ft.apply_category_codes(filled, "merchant_category", codes, out_col="merchant_category_code")

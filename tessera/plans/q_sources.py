@@ -221,19 +221,20 @@ def sql_external_count(spark, sf_dir):
 
 
 @query("add_timestamps", sql="""
-SELECT c_custkey, c_name, TIMESTAMP '2024-01-01 00:00:00' + to_hours(c_custkey % 720) AS "timestamp",
-       TIMESTAMP '2024-01-31 00:00:00' AS created_timestamp
-FROM customer""")
+WITH o AS (SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey)
+SELECT c_custkey, c_name, CAST(o.last_order AS TIMESTAMP) AS "timestamp",
+       CAST((SELECT max(o_orderdate) FROM orders) AS TIMESTAMP) AS created_timestamp
+FROM customer LEFT JOIN o ON c_custkey = o_custkey""")
 def add_timestamps(spark, sf_dir):
-    """Add event time base + (key mod 720) h and a constant created time when the
-    columns are missing; write to a new path (never over the input) and read back."""
+    """Customers have no times: their latest order gives the event time (null
+    without one), the latest of all orders the created time; written to a new path
+    (never over the input) and read back."""
+    orders = read_table(spark, sf_dir, "orders")
+    last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").cast("timestamp_ntz").alias("timestamp"))
+    newest = orders.agg(F.max("o_orderdate").cast("timestamp_ntz")).scalar()
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    out = cust
-    if "timestamp" not in out.columns:
-        out = out.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-                             + F.make_dt_interval(hours=(F.col("c_custkey") % 720).cast("int")))
-    if "created_timestamp" not in out.columns:
-        out = out.withColumn("created_timestamp", F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
+    out = cust.join(last, F.col("c_custkey") == F.col("o_custkey"), "left") \
+        .select("c_custkey", "c_name", "timestamp", newest.alias("created_timestamp"))
     path = fs.write_parquet(out, scratch_path(spark, "customer-ts"))
     return spark.read.parquet(path)
 

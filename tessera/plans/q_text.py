@@ -170,17 +170,21 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY round(s
 """
 
 
+# Fixed value: the most recommendations a request may ask for.
+MAX_RECOMMENDATIONS = 20
+
+
 def resolved_requests(t):
     req = reco_requests(t)
     res = resolve_items(req, ad.books(t))
     n = F.coalesce(F.col("num_recommendations"), F.lit(5))
     return (res.where(F.col("status") == 200).join(req.select("request_id", n.alias("n")), "request_id")
-            .where(F.col("n").between(1, 20)).select("request_id", "query_book_id", "n"))
+            .where(F.col("n").between(1, MAX_RECOMMENDATIONS)).select("request_id", "query_book_id", "n"))
 
 
 def similar_items_df(t):
     _, _, _, w = book_index(t)
-    return similar_to(resolved_requests(t), w, "book_id")
+    return similar_to(resolved_requests(t), w, "book_id", MAX_RECOMMENDATIONS)
 
 
 @query("similar_items", sql=SIMILAR_SQL + """

@@ -225,3 +225,32 @@ def test_asof_null_keys_and_ties_do_not_depend_on_buckets(spark):
         got = {r["k"]: r["v"] for r in asof_join(left, right, ["k"], "t", "f", ["v"],
                                                  bucket_seconds=bucket).collect()}
         assert got == {"u": 9.0, None: None}
+
+
+def test_weighted_assign_gives_every_row_one_key(spark):
+    import bisect
+    from itertools import accumulate
+    from tessera.operators.sampling import weighted_assign
+    weights = {1: 3, 2: 0, 3: None, 4: 7, 5: 1, 6: 89}
+    keys = spark.createDataFrame(list(weights.items()), "k long, w long")
+    kept = [(k, w) for k, w in weights.items() if w]
+    ends = list(accumulate(w for _, w in kept))
+    borders = {-(-e * 2 ** 32 // ends[-1]) + d for e in ends for d in (-1, 0, 1)} | {0, 2 ** 32 - 1}
+    us = sorted(u for u in borders if 0 <= u < 2 ** 32)
+    rows = spark.createDataFrame([(u,) for u in us], "u long")
+    got = {(r["u"], r["k"]) for r in weighted_assign(rows, keys, "u", "k", "w").collect()}
+    assert got == {(u, kept[bisect.bisect_right(ends, u * ends[-1] >> 32)][0]) for u in us}
+
+
+def test_expired_store_row_answers_as_absent(spark):
+    import datetime as dt
+    from tessera.operators.online import online_lookup, unexpired
+    now = dt.datetime(2024, 1, 20)
+    store = spark.createDataFrame(
+        [("new", 1.0, now), ("edge", 2.0, now - dt.timedelta(days=2)),
+         ("old", 3.0, now - dt.timedelta(days=2, seconds=1)), ("none", 4.0, None)],
+        "user_id string, amount double, event_timestamp timestamp_ntz")
+    asked = spark.createDataFrame([("new",), ("edge",), ("old",), ("none",), (None,)], "user_id string")
+    got = online_lookup(asked, unexpired(store, "2024-01-20 00:00:00", 2), "user_id").collect()
+    assert {(r["user_id"], r["store_hit"], r["store_amount"]) for r in got} == {
+        ("new", True, 1.0), ("edge", True, 2.0), ("old", False, None), ("none", False, None), (None, False, None)}

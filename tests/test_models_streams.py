@@ -21,18 +21,30 @@ def test_model_roundtrip_same_scores(spark, sf_dir):
     assert df.where(~F.col("same")).count() == 0
 
 
-def test_ann_recall_against_brute_force(spark, sf_dir):
-    from tessera.operators.similar import ann_top_k, dense_top_k
+def test_nearest_in_blocks_against_brute_force(spark, sf_dir):
+    import numpy as np
+    from tessera.operators.similar import nearest
     emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id < 150")
-    approx = {(r["vec_id"], r["neighbor"]) for r in
-              ann_top_k(emb, "vec_id", "embedding", 3, threshold=1.4).collect()}
-    exact = dense_top_k(emb, emb.withColumnRenamed("vec_id", "q"), "vec_id", "q", "embedding", 4, max_queries=200)
-    truth = {(r["q"], r["vec_id"]) for r in exact.where("vec_id <> q").collect()}
-    truth_top3 = {}
-    for q, v in sorted(truth):
-        truth_top3.setdefault(q, set()).add(v)
-    hits = sum(1 for (q, v) in approx if v in truth_top3.get(q, set()))
-    assert hits / max(1, len(approx)) > 0.5
+    rows = emb.orderBy("vec_id").collect()
+    v = np.array([r["embedding"] for r in rows], float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    s = v @ v.T
+    ids = [r["vec_id"] for r in rows]
+    truth = {(ids[i], ids[j]) for i in range(len(ids)) if ids[i] % 7 == 0
+             for j in [j for j in np.argsort(-s[i], kind="stable") if j != i][:3]}
+    for block in (4, 4096):  # several blocks and one
+        got = nearest(emb, emb.where("vec_id % 7 = 0"), "vec_id", "embedding", 3, block=block).collect()
+        assert {(r["vec_id"], r["neighbor"]) for r in got} == truth
+        assert len(got) == len(truth)
+
+
+def test_request_over_the_limit_fails_loudly(spark):
+    import pytest
+    from tessera.operators.similar import first_n
+    df = spark.createDataFrame([(1, 30), (2, 30)], "rank int, n int")
+    with pytest.raises(Exception, match="at most 20"):
+        first_n(df, "n", 20).collect()
+    assert first_n(df, "n", 30).count() == 2
 
 
 def test_stream_upsert_two_batches_and_restart(spark):

@@ -28,3 +28,14 @@ def test_no_cartesian_products(spark, sf_dir):
 def test_top_k_limited_per_task(spark, sf_dir):
     p = plan(E.queries()["similar_items"](spark, sf_dir))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_snapshot_time_filter_reaches_the_scan(spark, sf_dir):
+    p = plan(E.queries()["materialize_latest"](spark, sf_dir))
+    assert "GreaterThanOrEqual(ts," in p and "LessThanOrEqual(ts," in p
+
+
+def test_neighbour_search_is_no_cartesian_product(spark, sf_dir):
+    for name in ("ann_top_k", "all_items_top_n"):
+        p = plan(E.queries()[name](spark, sf_dir))
+        assert "CartesianProduct" not in p and "NestedLoop" not in p, name
