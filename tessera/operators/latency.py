@@ -150,6 +150,39 @@ def windowed_rates(log: DataFrame, ts: str, width: str, groups: Sequence[str] =
     return g.select(F.col("w.start").alias("window_start"), *groups, *[a for a in g.columns if a not in ("w", *groups)])
 
 
+# Alert rules as (name, minutes it must hold, limit of the 99th
+# percentile in ms or None, limit of the error ratio or None).
+ALERT_RULES = (("p99_over_10ms_for_5m", 5, 10, None), ("p99_over_7ms_for_15m", 15, 7, None),
+               ("errors_over_5pct_for_1m", 1, None, 0.05))
+
+
+def alert_rules(log: DataFrame, ts: str, latency_ms: str, ok: str = "success", rules=ALERT_RULES) -> DataFrame:
+    """(rule, window_start, requests, holds, firing) per rule and minute with
+    requests: ``holds`` in this minute, ``firing`` if in each of the rule's last
+    minutes (a minute without requests breaks the run).
+
+    The positional 99th percentile, sorted[floor(0.99 n)], exceeds a limit exactly
+    if no more than floor(0.99 n) requests are within it: a count, so no minute's
+    latencies are gathered.  The runs are over minutes, not requests.
+    """
+    n = F.count(F.lit(1))
+    holds = []
+    for name, _, p99, errors in rules:
+        if p99 is not None:
+            within = F.count(F.when(F.col(latency_ms) <= p99, 1))
+            holds.append((within <= F.floor(n * 0.99)).alias(name))
+        else:
+            holds.append((F.count(F.when(~F.col(ok), 1)) / n > errors).alias(name))
+    minutes = log.groupBy(F.window(ts, "1 minute").alias("_w")).agg(n.alias("requests"), *holds)
+    out = None
+    for name, periods, _, _ in rules:
+        one = minutes.select(F.lit(name).alias("rule"), F.col("_w.start").alias("window_start"), "requests",
+                             F.col(name).alias("holds"))
+        one = sustained(one, ["rule"], "window_start", "holds", periods).withColumnRenamed("sustained", "firing")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def sustained(series: DataFrame, keys: Sequence[str], start_col: str, cond_col: str,
               periods: int, unit_seconds: int = 60) -> DataFrame:
     """Rows where ``cond_col`` held in each of the last ``periods`` windows (a

@@ -288,7 +288,11 @@ SELECT request_id, COALESCE(num_recommendations, 5) AS n,
             ELSE 'ok' END AS status
 FROM reco_requests""")
 def validate_reco_requests(spark, sf_dir):
-    r = reco_requests(Tables(spark, sf_dir))
+    return validated_requests(reco_requests(Tables(spark, sf_dir)))
+
+
+def validated_requests(r):
+    """(request_id, n, status) per request: ok, missing_input or invalid_n."""
     n = F.coalesce(F.col("num_recommendations"), F.lit(5))
     missing = F.col("book_id").isNull() & (F.col("title").isNull() | (F.col("title") == ""))
     status = (F.when(missing, "missing_input").when(~n.between(1, 20), "invalid_n").otherwise("ok"))

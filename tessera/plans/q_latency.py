@@ -203,3 +203,37 @@ def sustained_alerts(spark, sf_dir):
     flagged = rates.withColumn("_hot", F.col("error_ratio") > 0.05)
     return lt.sustained(flagged, [], "window_start", "_hot", 3, 3600) \
         .select("window_start", "requests", "error_ratio", "sustained")
+
+
+def _alert_sql() -> str:
+    parts = []
+    for name, periods, p99, errors in lt.ALERT_RULES:
+        test = (f"count(*) FILTER (latency_ms <= {p99}) <= floor(count(*) * 0.99)" if p99 is not None
+                else f"count(*) FILTER (NOT success) / count(*) > {errors}")
+        parts.append(f"""
+SELECT '{name}' AS rule, window_start, requests, holds,
+       sum(CASE WHEN holds THEN 1 ELSE 0 END) OVER (ORDER BY epoch(window_start) // 60
+           RANGE BETWEEN {periods - 1} PRECEDING AND CURRENT ROW) = {periods} AS firing
+FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, count(*) AS requests, {test} AS holds
+      FROM request_log GROUP BY 1)""")
+    return LOG + " UNION ALL ".join(parts)
+
+
+@query("alert_rules", sql=_alert_sql())
+def alert_rules(spark, sf_dir):
+    """The stated alerts on minute windows: slow for 5 and 15 minutes, failing for one."""
+    return lt.alert_rules(log(spark, sf_dir), "ts", "latency_ms")
+
+
+@query("minute_rates", sql=LOG + f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, r.ts) AS window_start, count(*) AS requests, round(count(*) / 300.0, 6) AS rps,
+       round(avg(CASE WHEN success THEN 0.0 ELSE 1.0 END), 6) AS error_ratio,
+       round(avg(CASE WHEN (({S.TRUST} < 40 AND value > 60) OR (event_id % 20 < 3 AND event_id % 10 = 0))
+                      THEN 1.0 ELSE 0.0 END), 6) AS fraud_ratio
+FROM request_log r JOIN events ON event_id = request_id GROUP BY 1""")
+def minute_rates(spark, sf_dir):
+    """Requests per second, error and fraud ratio in 5-minute windows."""
+    t = Tables(spark, sf_dir)
+    fraud = ad.transactions(t, with_velocity=False).select(
+        F.col("transaction_id").cast("long").alias("request_id"), (F.col("is_fraud") == 1).alias("fraud"))
+    return lt.windowed_rates(log(spark, sf_dir).join(fraud, "request_id"), "ts", "5 minutes", flag="fraud")

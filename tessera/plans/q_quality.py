@@ -330,9 +330,8 @@ def feature_lineage(spark, sf_dir):
     t = Tables(spark, sf_dir)
     _, _, bv, _ = book_index(t)
     _, _, sv, _ = (*sentiment_vocab(t), None)
-    # the fraud model's inputs are its eight typed columns (one row carries them)
-    fraud = bv.limit(1).select(F.lit("fraud").alias("model"),
-                               F.explode(F.array(*[F.lit(f) for f in S.FEATURES])).alias("feature"))
+    # the fraud model's inputs are its eight typed columns, whatever the vocabularies hold
+    fraud = spark.createDataFrame([("fraud", f) for f in S.FEATURES], "model string, feature string")
     uses = (bv.select(F.lit("recommendation").alias("model"), F.col("term").alias("feature"))
             .unionByName(sv.select(F.lit("sentiment").alias("model"), F.col("term").alias("feature")))
             .unionByName(fraud))

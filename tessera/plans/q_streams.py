@@ -76,7 +76,7 @@ def stream_upsert(spark, sf_dir):
     src = event_files(spark, sf_dir)
     root, ck = scratch_path(spark, "stream-snapshot"), scratch_path(spark, "stream-ck")
     st.run_available_now(_snapshot_stream(spark, src), st.upsert_sink(root, ["user_id"], ORDER, SNAP_SCHEMA), ck)
-    snap = st.read_latest(spark, root, SNAP_SCHEMA)
+    snap = st.read_snapshot(spark, root, ["user_id"], ORDER, SNAP_SCHEMA)
     return snap.select("user_id", "amount", "merchant_category", F.col("timestamp").alias("event_timestamp"))
 
 
@@ -91,7 +91,7 @@ def incremental_materialize(spark, sf_dir):
     st.run_available_now(_snapshot_stream(spark, src), sink, ck)
     event_files(spark, sf_dir, F.col("ts") >= F.lit(MID).cast("timestamp_ntz"), src)
     st.run_available_now(_snapshot_stream(spark, src), sink, ck)
-    snap = st.read_latest(spark, root, SNAP_SCHEMA)
+    snap = st.read_snapshot(spark, root, ["user_id"], ORDER, SNAP_SCHEMA)
     return snap.select("user_id", "amount", "merchant_category", F.col("timestamp").alias("event_timestamp"))
 
 
@@ -118,7 +118,7 @@ def stream_velocity(spark, sf_dir):
         upsert(batch.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
 
     st.run_available_now(counts, sink, ck, output_mode="update")
-    return st.read_latest(spark, root, schema).drop("_batch")
+    return st.read_snapshot(spark, root, ["user_id", "window_start"], ["_batch"], schema).drop("_batch")
 
 
 @query("stream_velocity_exact", sql="""

@@ -10,7 +10,7 @@ from tessera.operators import features as ft
 from tessera.operators import text as tt
 from tessera.operators.similar import resolve_items, similar_to
 from tessera.plans import sql as S
-from tessera.plans.q_features import RECO_REQ_SQL, WEIGHTED_SQL, reco_requests
+from tessera.plans.q_features import RECO_REQ_SQL, WEIGHTED_SQL, reco_requests, validated_requests
 from tessera.plans.registry import query
 from tessera.sources import adapters as ad
 from tessera.sources.tables import Tables
@@ -195,18 +195,49 @@ def similar_items(spark, sf_dir):
     return s.select("request_id", "rank", "book_id", F.round("similarity", 6).alias("similarity"))
 
 
+def reco_answers(t):
+    """One row per request: status_code 200, 400 (invalid) or 404 (no such book),
+    error, the query book (score 1.0) and the ranked recommendations (maybe none)."""
+    req = reco_requests(t)
+    asked = validated_requests(req).join(
+        resolve_items(req, ad.books(t)).select("request_id", "query_book_id"), "request_id")
+    code = (F.when(F.col("status") != "ok", 400).when(F.col("query_book_id").isNull(), 404).otherwise(200))
+    asked = asked.withColumn("status_code", code).select(
+        "request_id", "status_code", F.when(code == 400, F.col("status")).when(code == 404, "not_found").alias("error"),
+        F.when(code == 200, F.col("query_book_id")).alias("query_book_id"))
+    books = ad.books(t).select("book_id", "title", "authors", "categories", "average_rating", "ratings_count",
+                               ft.truncate_text("description").alias("description"),
+                               F.lit(None).cast("string").alias("thumbnail"))
+    fields = books.columns
+    recs = similar_items_df(t).join(books, "book_id").groupBy("request_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", *fields, F.round("similarity", 6).alias("similarity_score")))) \
+        .alias("recommendations"))
+    own = books.select(F.col("book_id").alias("query_book_id"),
+                       F.struct(*fields, F.lit(1.0).alias("similarity_score")).alias("query_book"))
+    found = asked.join(own, "query_book_id", "left").join(recs, "request_id", "left")
+    none = F.array().cast(recs.schema["recommendations"].dataType)
+    return found.withColumn("recommendations", F.coalesce("recommendations", none)) \
+        .withColumn("num_results", F.size("recommendations"))
+
+
 @query("reco_response")
 def reco_response(spark, sf_dir):
-    """One JSON document per request: the query book, the ranked recommendations
-    (id, title, authors, categories, description[:200], similarity) and their count."""
-    t = Tables(spark, sf_dir)
-    books = ad.books(t).select("book_id", "title", "authors", "categories",
-                               ft.truncate_text("description").alias("description"))
-    s = similar_items_df(t).join(books, "book_id")
-    recs = s.groupBy("request_id", "query_book_id").agg(F.sort_array(F.collect_list(F.struct(
-        "rank", "book_id", "title", "authors", "categories", "description",
-        F.round("similarity", 6).alias("similarity_score")))).alias("recommendations"))
-    q = books.select(F.col("book_id").alias("query_book_id"), F.struct(*books.columns).alias("query_book"))
-    out = recs.join(q, "query_book_id").select(
-        "request_id", "query_book", "recommendations", F.size("recommendations").alias("num_results"))
-    return out.select("request_id", F.to_json(F.struct("*")).alias("response"))
+    """One JSON document per request, whatever its status."""
+    a = reco_answers(Tables(spark, sf_dir))
+    return a.select("request_id", F.to_json(F.struct(
+        "status_code", "error", "query_book", "recommendations", "num_results")).alias("response"))
+
+
+@query("reco_status", sql=S.with_(*BOOK_CTES, RECO_REQ_SQL)[:-1] + SIMILAR_SQL[SIMILAR_SQL.index(RESOLVED_SQL):] + """,
+got AS (SELECT request_id, count(*) AS c FROM ranked WHERE rank <= n GROUP BY request_id),
+hit AS (SELECT r.request_id, COALESCE(bi.book_id, bt.book_id) AS book_id
+        FROM reco_requests r LEFT JOIN books bi ON r.book_id = bi.book_id LEFT JOIN by_title bt USING (request_id))
+SELECT r.request_id,
+       CAST(CASE WHEN r.book_id IS NULL AND (r.title IS NULL OR r.title = '') THEN 400
+                 WHEN COALESCE(r.num_recommendations, 5) NOT BETWEEN 1 AND 20 THEN 400
+                 WHEN hit.book_id IS NULL THEN 404 ELSE 200 END AS INTEGER) AS status_code,
+       CAST(COALESCE(got.c, 0) AS INTEGER) AS num_results
+FROM reco_requests r LEFT JOIN hit USING (request_id) LEFT JOIN got USING (request_id)""")
+def reco_status(spark, sf_dir):
+    """Status code and number of recommendations of every request's answer."""
+    return reco_answers(Tables(spark, sf_dir)).select("request_id", "status_code", "num_results")

@@ -2,9 +2,10 @@
 velocities, exact trailing velocity with keyed state, incremental
 materialisation with a checkpoint.
 
-Sinks write one snapshot version per micro-batch under a shared folder
-(``v=<batch id>``); a batch re-run after a failure overwrites its own version,
-so the sink is idempotent, and readers take the newest complete version.
+Sinks write one delta per micro-batch under a shared folder (``v=<batch id>``):
+the newest row of each key the batch touched, so a batch costs what it brings and
+not the size of the snapshot.  A batch re-run after a failure overwrites its own
+delta, so the sink is idempotent; readers merge the complete ones, last write wins.
 """
 
 from __future__ import annotations
@@ -39,25 +40,23 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def read_snapshot(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str],
+                  schema: T.StructType) -> DataFrame:
+    """The newest row per key over all complete deltas (a combinable aggregate)."""
     vs = versions(spark, root)
     if not vs:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/v={vs[-1]}")
+    deltas = spark.read.schema(schema).parquet(*[f"{root}/v={v}" for v in vs])
+    return latest_per_key(deltas, keys, order, schema.fieldNames()).select(*schema.fieldNames())
 
 
 def upsert_sink(root: str, keys: Sequence[str], order: Sequence[str], schema: T.StructType):
-    """foreachBatch function: newest row per key over (previous version, batch)."""
-    cols = [f.name for f in schema.fields]
+    """foreachBatch function: the batch's newest row per key, as the delta of its id."""
+    cols = schema.fieldNames()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = [v for v in versions(spark, root) if v < batch_id]
-        cur = batch.select(*cols)
-        if prev:
-            cur = spark.read.schema(schema).parquet(f"{root}/v={prev[-1]}").unionByName(cur)
-        latest = latest_per_key(cur, keys, order, cols).select(*cols)
-        latest.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+        latest_per_key(batch.select(*cols), keys, order, cols).select(*cols) \
+            .write.mode("overwrite").parquet(f"{root}/v={batch_id}")
 
     return run
 
@@ -85,11 +84,15 @@ EXACT_STATE = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))])
 
 
 def exact_velocity(stream: DataFrame, key: str = "user_id", ts: str = "ts", id_col: str = "event_id",
-                   window_seconds: int = 86_400) -> DataFrame:
-    """Per event, the number of the key's earlier events in [ts - w, ts), kept
-    exact across micro-batches with keyed state (the key's event times of the
-    last ``w``; older times are pruned as newer ones arrive)."""
+                   window_seconds: int = 86_400, lateness_seconds: int = 7_200) -> DataFrame:
+    """Per event, the number of the key's earlier events in [ts - w, ts), exact
+    across micro-batches with keyed state: the key's event times of the last ``w``
+    plus ``lateness``, so an event up to that late still counts all before it (rows
+    that went out earlier are not corrected for it).  Idle keys keep their state:
+    a processing-time timeout would keep an available-now run going for ever, and
+    an event-time one would drop late rows."""
     w_us = window_seconds * 1_000_000
+    held_us = w_us + lateness_seconds * 1_000_000
 
     def step(k, frames, state):
         import numpy as np
@@ -103,7 +106,7 @@ def exact_velocity(stream: DataFrame, key: str = "user_id", ts: str = "ts", id_c
         hi = np.searchsorted(allt, t, side="left")
         lo = np.searchsorted(allt, t - w_us, side="left")
         newest = allt[-1] if len(allt) else 0
-        state.update((allt[allt >= newest - w_us].tolist(),))
+        state.update((allt[allt >= newest - held_us].tolist(),))
         yield pd.DataFrame({"event_id": ids.astype("int64"), "user_id": np.full(len(ids), k[0], dtype="int64"),
                             "velocity_24h": (hi - lo).astype("int64")})
 
