@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +12,11 @@ BROADCAST_MAX_ROWS = 200_000
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       bound: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+    """``F.broadcast(df)`` where ``bound``, a number of rows that the caller can
+    prove from the plan (a ``limit``, a fixed label set), is at most ``max_rows``.
 
-    ``bound``: a row bound the caller can prove from the plan (a ``limit``, a
-    fixed label set); then no counting is needed.  Otherwise the side is
-    persisted (memory, spilling to disk) and counted, so the check does not
-    compute it twice.
+    Without a bound ``df`` stays as it is: AQE measures the side as it is
+    shuffled and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``
+    bytes.  Nothing is counted or kept while the plan is built.
     """
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    return F.broadcast(kept) if n <= max_rows else kept
+    return F.broadcast(df) if bound is not None and bound <= max_rows else df

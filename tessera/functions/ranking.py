@@ -6,48 +6,52 @@ row per (group, value); the value axis is then cut into ranges by bounds taken
 from a small sample, per-range totals (groups x ranges rows) are prefix-summed,
 and the running sum inside each (group, range) adds its offset.  A hot group is
 split across ranges, so no task holds a whole group.
+
+Nothing runs and nothing is kept while a plan is built: the bounds are a scalar
+subquery of the same plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SAMPLE_PER_RANGE = 32
 
 
-def _range_bounds(df: DataFrame, col: str, n_ranges: int) -> list:
-    """Sorted cut points for ``col`` from a seeded sample (a bounded driver read).
+def _range_bounds(df: DataFrame, col: str, n_ranges: int) -> Column:
+    """Sorted array of ``n_ranges - 1`` cut points for ``col`` (nulls if ``df`` is empty):
+    quantiles of the rows with the smallest hashes, a sample of fixed size that each
+    task cuts before the merge.
 
     Bounds only steer balance, never correctness: any bounds give exact results.
+    The hash covers all columns, so that the aggregation below is the one the
+    ranking reads and its shuffle can be reused.
     """
-    if n_ranges <= 1:
-        return []
-    n = df.count()
-    if n == 0:
-        return []
-    want = n_ranges * _SAMPLE_PER_RANGE
-    frac = min(1.0, want / n)
-    sample = (df.select(col).where(F.col(col).isNotNull())
-              .sample(withReplacement=False, fraction=frac, seed=17)
-              .orderBy(col).limit(want * 2).collect())
-    vals = [r[0] for r in sample]
-    if not vals:
-        return []
-    step = max(1, len(vals) // n_ranges)
-    bounds = sorted(set(vals[step::step]))
-    return bounds
-
-
-def range_index(value: Column, bounds: list) -> Column:
-    """Number of bounds <= value (0 .. len(bounds)); nulls go to range 0."""
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.coalesce(F.size(F.filter(arr, lambda b: b <= value)), F.lit(0))
+    sample = (df.where(F.col(col).isNotNull())
+              .select(F.col(col).alias("_v"), F.xxhash64(*df.columns).alias("_h"))
+              .orderBy("_h").limit(n_ranges * _SAMPLE_PER_RANGE))
+    ordered = sample.agg(F.array_sort(F.collect_list("_v")).alias("_v"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(n_ranges - 1)),
+                       lambda i: F.get("_v", (i * F.size("_v") / n_ranges).cast("int")))
+    return ordered.select(cuts).scalar()
+
+
+def with_range(df: DataFrame, col: str, bounds: Column, n_ranges: int, name: str) -> DataFrame:
+    """Add ``name``: the number of ``bounds`` <= ``col`` (0 .. n_ranges - 1; nulls 0), by a
+    binary search of one step per projection."""
+    out = df.withColumn("_bounds", bounds).withColumn(name, F.lit(0))
+    step = 1
+    while step * 2 <= n_ranges - 1:
+        step *= 2
+    while step:
+        out = out.withColumn(name, F.when(
+            F.get("_bounds", F.col(name) + (step - 1)) <= F.col(col), F.col(name) + step)
+            .otherwise(F.col(name)))
+        step //= 2
+    return out.drop("_bounds")
 
 
 def prefix_sums(df: DataFrame, order_col: str, weights: Sequence[str],
@@ -61,11 +65,7 @@ def prefix_sums(df: DataFrame, order_col: str, weights: Sequence[str],
     if n_ranges is None:
         n_ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     groups = list(group_cols)
-    # the (group, value) rows are read three times (count, sample, ranking):
-    # keep them (memory, spilling to disk) rather than recompute the aggregation
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    bounds = _range_bounds(df, order_col, n_ranges)
-    staged = df.withColumn("_rng", range_index(F.col(order_col), bounds))
+    staged = with_range(df, order_col, _range_bounds(df, order_col, n_ranges), n_ranges, "_rng")
 
     totals = staged.groupBy(*groups, "_rng").agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
     tw = Window.partitionBy(*groups).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1) \
@@ -75,8 +75,8 @@ def prefix_sums(df: DataFrame, order_col: str, weights: Sequence[str],
         F.coalesce(F.sum(f"_t_{w}").over(tw), F.lit(0)).alias(f"_o_{w}") for w in weights])
 
     if not groups:
-        offsets = F.broadcast(offsets)  # at most len(bounds)+1 rows
-    joined = _join_groups(staged, offsets, [*groups, "_rng"])
+        offsets = F.broadcast(offsets)  # at most n_ranges rows
+    joined = join_groups(staged, offsets, [*groups, "_rng"])
     iw = Window.partitionBy(*groups, "_rng").orderBy(order_col)
     run = iw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined
@@ -106,7 +106,7 @@ def positional_quantiles(df: DataFrame, value_col: str, qs: dict[str, float],
     return ranked.groupBy(*groups).agg(*aggs)
 
 
-def _join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
+def join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Inner join on ``groups`` in which null equals null."""
     other = per_group.withColumnsRenamed({g: f"__{g}" for g in groups})
     cond = F.lit(True)
@@ -119,27 +119,17 @@ def attach_totals(df: DataFrame, totals: DataFrame, groups: Sequence[str]) -> Da
     """Join per-group totals back, null groups included.  With no groups the one-row total becomes a
     scalar subquery (computed once, shipped as a value — no join at all)."""
     if groups:
-        return _join_groups(df, totals, groups)
+        return join_groups(df, totals, groups)
     cols = totals.columns
     packed = totals.select(F.struct(*cols).alias("__totals")).scalar()
     return (df.withColumn("__totals", packed)
             .select(*df.columns, *[F.col(f"__totals.{c}").alias(c) for c in cols]))
 
 
-def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0,
-                small: int = 100_000) -> DataFrame:
-    """Distinct values of ``col`` with their alphabetical dense rank (``start``-based).
-
-    The distinct set is persisted and counted: up to ``small`` values it is
-    ranked by one window over that bounded set; beyond, ranks come from the
-    distributed ``prefix_sums``.
-    """
-    from pyspark import StorageLevel
-    distinct = df.select(col).where(F.col(col).isNotNull()).distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    n = distinct.limit(small + 1).count()
-    if n <= small:
-        rank = F.dense_rank().over(Window.orderBy(col)) - 1 + F.lit(start)
-        return distinct.select(col, rank.cast("int").alias(code_col))
+def dense_codes(df: DataFrame, col: str, code_col: str = "code", start: int = 0) -> DataFrame:
+    """Distinct values of ``col`` with their alphabetical dense rank (``start``-based),
+    ranked by ``prefix_sums``, however many there are."""
+    distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
     ranked = prefix_sums(distinct.withColumn("_one", F.lit(1)), col, ["_one"])
     return ranked.select(col, (F.col("_one_before") + F.lit(start)).cast("int").alias(code_col))
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ranking import prefix_sums
+from tessera.functions.ranking import join_groups, prefix_sums
 from tessera.functions.windows import epoch_us, trailing_sums
 
 HOUR, DAY = 3_600, 86_400
@@ -51,11 +51,12 @@ def prior_stats(df: DataFrame, groups: Sequence[str], ts: str, values: Sequence[
     ranked = prefix_sums(per, "_t", ["_one", *values], groups)
     prior = ranked.select(*groups, "_t", F.col("_one_before").alias("prior_count"),
                           *[F.col(f"{v}_before").alias(f"prior_sum_{v}") for v in values])
-    return staged.join(prior, [*groups, "_t"], "inner").drop("_t")
+    return join_groups(staged, prior, [*groups, "_t"]).drop("_t")
 
 
 def account_age(tx: DataFrame, key: str = "user_id", ts: str = "timestamp") -> DataFrame:
-    """Days since the key's first event (first event via an aggregate + join)."""
+    """Days since the key's first event (first event via an aggregate + join;
+    events without a key are one group)."""
     first = tx.groupBy(key).agg(F.min(ts).alias("_first"))
-    return tx.join(first, key).withColumn(
+    return join_groups(tx, first, [key]).withColumn(
         "account_age_days", F.datediff(F.to_date(ts), F.to_date("_first"))).drop("_first")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.joins import bounded_broadcast
 from tessera.functions.ranking import dense_codes
-from tessera.sources.schemas import FRAUD_FEATURES, FRAUD_MODEL_SCHEMA
+from tessera.sources.schemas import FRAUD_MODEL_SCHEMA
 
 # Merchant category maps of the two scoring services, default code 4.
 CATEGORY_MAP_SERVICE = {"Electronics": 0, "Travel": 1, "Grocery": 2, "Dining": 3, "Other": 4}
@@ -26,11 +26,17 @@ def fit_category_codes(df: DataFrame, col: str) -> DataFrame:
 
 
 def apply_category_codes(df: DataFrame, col: str, codes: DataFrame, out_col: str | None = None,
-                         missing_code: int = -1) -> DataFrame:
-    """Replace ``col`` by its code; null and unseen values get ``missing_code``."""
+                         missing_code: int = -1, max_codes: int | None = 100_000) -> DataFrame:
+    """Replace ``col`` by its code; null and unseen values get ``missing_code``.
+
+    The code table is broadcast, so the rows are not shuffled by a few values; a code
+    of ``max_codes`` or more fails the query.  None lifts the limit: the join shuffles."""
     out_col = out_col or col
-    table = codes.withColumnRenamed("code", "_code")
-    joined = df.join(bounded_broadcast(table), on=col, how="left")
+    code = F.col("code")
+    if max_codes is not None:
+        code = F.when(code >= max_codes, F.raise_error(F.lit(f"more than {max_codes} codes"))).otherwise(code)
+    table = codes.select(col, code.alias("_code"))
+    joined = df.join(bounded_broadcast(table, bound=max_codes), on=col, how="left")
     return joined.withColumn(out_col, F.coalesce(F.col("_code"), F.lit(missing_code))).drop("_code")
 
 
@@ -128,4 +134,15 @@ def label_name(col: str | Column) -> Column:
         F.create_map(*[x for k, v in SENTIMENT_NAMES.items() for x in (F.lit(k), F.lit(v))]), c)
 
 
-FEATURE_ORDER = FRAUD_FEATURES
+def override_by_class(df: DataFrame, classes: DataFrame, key: str, class_col: str,
+                      overrides: dict[str, dict]) -> DataFrame:
+    """Set features of the keys listed in ``classes`` (one row per key) to the values
+    of their class; other rows keep theirs."""
+    out = df.join(classes.select(key, F.col(class_col).alias("_class")), key, "left")
+    for c in sorted({c for values in overrides.values() for c in values}):
+        new = F.col(c)
+        for name, values in overrides.items():
+            if c in values:
+                new = F.when(F.col("_class") == name, F.lit(values[c])).otherwise(new)
+        out = out.withColumn(c, new)
+    return out.drop("_class")

@@ -216,35 +216,35 @@ def assign_users(spark, sf_dir):
     return ft.move_column(out, "user_id", after="transaction_id")
 
 
-def _scenario(col, high, low, keep):
-    num = F.substring(F.col("user_id"), 6, 4).cast("int")
-    return (F.when(num.between(0, 4), F.lit(high)).when(num.between(5, 9), F.lit(low))
-            .otherwise(F.col(keep)))
-
-
-@query("risk_scenarios", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte(START, AS_OF)) + """
-SELECT user_id,
-       CASE WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 0 AND 4 THEN 25
-            WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 5 AND 9 THEN 85 ELSE device_trust_score END AS device_trust_score,
-       CASE WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 0 AND 4 THEN 11
-            WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 5 AND 9 THEN 1 ELSE velocity_last_24h END AS velocity_last_24h,
-       CASE WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 0 AND 4 THEN 1
-            WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 5 AND 9 THEN 0 ELSE foreign_transaction END AS foreign_transaction,
-       CASE WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 0 AND 4 THEN 1
-            WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 5 AND 9 THEN 0 ELSE location_mismatch END AS location_mismatch,
-       CASE WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 0 AND 4 THEN 3500.0
-            WHEN CAST(substr(user_id, 6, 4) AS INTEGER) BETWEEN 5 AND 9 THEN 55.0 ELSE amount END AS amount
-FROM snapshot""")
+# The features set for keys of each class.
+RISK_OVERRIDES = {
+    "high": {"device_trust_score": 25, "velocity_last_24h": 11, "foreign_transaction": 1,
+             "location_mismatch": 1, "amount": 3500.0},
+    "low": {"device_trust_score": 85, "velocity_last_24h": 1, "foreign_transaction": 0,
+            "location_mismatch": 0, "amount": 55.0},
+}
+RISK_TYPES = {"amount": "double"}
+
+
+def _override_sql(feature: str) -> str:
+    high, low = RISK_OVERRIDES["high"][feature], RISK_OVERRIDES["low"][feature]
+    return (f"CASE WHEN c_acctbal < 0 THEN {high} WHEN c_acctbal > 9000 THEN {low} "
+            f"ELSE s.{feature} END AS {feature}")
+
+
+@query("risk_scenarios", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte(START, AS_OF)) + f"""
+SELECT s.user_id, {", ".join(map(_override_sql, RISK_OVERRIDES["high"]))}
+FROM snapshot s LEFT JOIN customer ON s.user_id = printf('user_%04d', c_custkey)""")
 def risk_scenarios(spark, sf_dir):
-    """Override features of fixed key sets: users 0-4 high risk, 5-9 low risk."""
-    snap = snapshot(Tables(spark, sf_dir))
-    return snap.select(
-        "user_id",
-        _scenario("device_trust_score", 25, 85, "device_trust_score").cast("long").alias("device_trust_score"),
-        _scenario("velocity_last_24h", 11, 1, "velocity_last_24h").cast("long").alias("velocity_last_24h"),
-        _scenario("foreign_transaction", 1, 0, "foreign_transaction").cast("long").alias("foreign_transaction"),
-        _scenario("location_mismatch", 1, 0, "location_mismatch").cast("long").alias("location_mismatch"),
-        _scenario("amount", 3500.0, 55.0, "amount").cast("double").alias("amount"))
+    """Override features for two sets of keys: customers in debt are high risk, those
+    with a balance over 9,000 low risk; other users keep their features."""
+    t = Tables(spark, sf_dir)
+    classes = t.customer.select(
+        ft.zero_pad_id("c_custkey").alias("user_id"),
+        F.when(F.col("c_acctbal") < 0, "high").when(F.col("c_acctbal") > 9000, "low").alias("_class")) \
+        .where(F.col("_class").isNotNull())
+    return ft.override_by_class(snapshot(t), classes, "user_id", "_class", RISK_OVERRIDES) \
+        .select("user_id", *[F.col(c).cast(RISK_TYPES.get(c, "long")).alias(c) for c in RISK_OVERRIDES["high"]])
 
 
 RISK_SQL = "round(amount / (amount + 100.0), 6)"

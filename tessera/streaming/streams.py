@@ -10,6 +10,7 @@ delta, so the sink is idempotent; readers merge the complete ones, last write wi
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 import pandas as pd
@@ -27,6 +28,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def data_files(spark: SparkSession, path: str) -> set[str]:
+    """The part files below ``path``; their names sort by the task that wrote them."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return set()
+    names = (str(x.getPath()) for x in fs.listStatus(p))
+    return {x for x in names if x.rsplit("/", 1)[-1].startswith("part-")}
+
+
+def set_arrival_order(spark: SparkSession, files: Sequence[str]) -> None:
+    """Give ``files`` rising modification times, a second apart: a file source reads
+    the oldest first.  Needs a file system that keeps such times (local, HDFS)."""
+    now = int(time.time() * 1000)
+    for i, f in enumerate(files):
+        fs, p = _fs(spark, f)
+        fs.setTimes(p, now + 1000 * (i - len(files)), -1)
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed versions under ``root`` (directories ``v=<n>`` holding _SUCCESS)."""
     fs, p = _fs(spark, root)

@@ -254,3 +254,59 @@ def test_expired_store_row_answers_as_absent(spark):
     got = online_lookup(asked, unexpired(store, "2024-01-20 00:00:00", 2), "user_id").collect()
     assert {(r["user_id"], r["store_hit"], r["store_amount"]) for r in got} == {
         ("new", True, 1.0), ("edge", True, 2.0), ("old", False, None), ("none", False, None), (None, False, None)}
+
+
+def test_prior_stats_and_account_age_keep_null_groups(spark):
+    from tessera.operators.behavior import account_age, prior_stats
+    df = spark.createDataFrame([(None, ts(), 1), (None, ts(days=2), 5), ("m", ts(), 7)],
+                               "g string, timestamp timestamp_ntz, y long")
+    got = {(r["g"], r["timestamp"]): (r["prior_count"], r["prior_sum_y"])
+           for r in prior_stats(df, ["g"], "timestamp", ["y"]).collect()}
+    assert got == {(None, ts()): (0, 0), (None, ts(days=2)): (1, 1), ("m", ts()): (0, 0)}
+    ages = {(r["g"], r["timestamp"]): r["account_age_days"] for r in account_age(df, "g").collect()}
+    assert ages == {(None, ts()): 0, (None, ts(days=2)): 2, ("m", ts()): 0}
+
+
+def test_dense_codes_over_many_values_and_none(spark):
+    from tessera.functions.ranking import dense_codes
+    words = [f"w{i:05d}" for i in range(3000)]
+    df = spark.createDataFrame([(w,) for w in [*words, *words[:50], None]], "c string")
+    got = {r["c"]: r["code"] for r in dense_codes(df, "c").collect()}
+    assert got == {w: i for i, w in enumerate(words)}
+    assert dense_codes(df.where("c = ''"), "c").count() == 0
+
+
+def test_category_codes_over_the_limit_fail_loudly(spark):
+    import pytest
+    from tessera.operators.features import apply_category_codes, fit_category_codes
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "c string")
+    codes = fit_category_codes(df, "c")
+    for limit in (3, None):
+        got = {r["c"]: r["k"] for r in apply_category_codes(df, "c", codes, "k", max_codes=limit).collect()}
+        assert got == {"a": 0, "b": 1, "c": 2, None: -1}
+    with pytest.raises(Exception, match="more than 2 codes"):
+        apply_category_codes(df, "c", codes, "k", max_codes=2).collect()
+
+
+def test_title_resolution_against_brute_force(spark):
+    from tessera.operators.similar import resolve_items
+    rng = random.Random(5)
+    titles = {i: "".join(rng.choice("abAB _%") for _ in range(rng.randint(0, 9))) for i in range(60)}
+    titles[60] = None
+    asked = {i: "".join(rng.choice("abB _%") for _ in range(rng.randint(0, 6))) for i in range(80)}
+    asked[80] = None
+    cat = spark.createDataFrame(list(titles.items()), "book_id long, title string")
+    req = spark.createDataFrame([(i, None, q) for i, q in asked.items()] + [(900, 7, "zzz"), (901, 999, "a")],
+                                "request_id long, book_id long, title string")
+    want = {i: min((b for b, t in titles.items() if t and q and q.lower() in t.lower()), default=None)
+            for i, q in asked.items()} | {900: 7, 901: None}
+    got = {r["request_id"]: r["query_book_id"] for r in resolve_items(req, cat).collect()}
+    assert got == want
+
+
+def test_override_by_class(spark):
+    from tessera.operators.features import override_by_class
+    df = spark.createDataFrame([("a", 1, 2), ("b", 1, 2), ("c", None, 2), (None, 1, 2)], "k string, x long, y long")
+    classes = spark.createDataFrame([("a", "high"), ("c", "low"), ("z", "low")], "k string, c string")
+    out = override_by_class(df, classes, "k", "c", {"high": {"x": 9}, "low": {"x": 0, "y": 5}})
+    assert {tuple(r) for r in out.collect()} == {("a", 9, 2), ("b", 1, 2), ("c", 0, 5), (None, 1, 2)}

@@ -86,3 +86,14 @@ def test_csv_file_report_rows_match_tables(spark, sf_dir):
         n = spark.read.parquet(f"{sf_dir}/{t}.parquet").count()
         assert rep[t]["rows"] == n
         assert rep[t]["parquet_bytes"] > 0 and rep[t]["csv_bytes"] > 0
+
+
+def test_event_files_replay_in_time_order(spark, sf_dir):
+    from tessera.plans.q_streams import event_files
+    path = event_files(spark, sf_dir)
+    files = sorted(st.data_files(spark, path), key=lambda f: st._fs(spark, f)[0].getFileStatus(
+        st._fs(spark, f)[1]).getModificationTime())
+    assert len(files) > 1
+    spans = [spark.read.parquet(f).agg(F.min("ts"), F.max("ts")).first() for f in files]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert spark.read.parquet(path).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()

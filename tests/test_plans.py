@@ -21,12 +21,31 @@ def test_no_cartesian_products(spark, sf_dir):
                  "resolve_query_item", "describe_features", "latency_quantiles"):
         p = plan(q[name](spark, sf_dir))
         assert "CartesianProduct" not in p, name
-        # only the size-checked short-title fallback of item resolution may use one
-        assert "BroadcastNestedLoopJoin" not in p or name in ("resolve_query_item", "similar_items"), name
+        assert "NestedLoop" not in p, name
+
+
+def test_plans_are_built_without_jobs_or_kept_frames(spark, sf_dir):
+    q = E.queries()
+    spark.catalog.clearCache()
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("roc_auc", "behavioral_features", "drift_report", "assign_users", "stratified_split",
+                 "describe_features", "category_codes", "resolve_query_item", "merchant_risk"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        df = q[name](spark, sf_dir)
+        assert not tracker.getJobIdsForGroup(f"build-{name}"), name
+        df.write.format("noop").mode("overwrite").save()
+        assert spark._jsparkSession.sharedState().cacheManager().isEmpty(), name
+    spark.sparkContext.setJobGroup("tests", "")
 
 
 def test_top_k_limited_per_task(spark, sf_dir):
-    p = plan(E.queries()["similar_items"](spark, sf_dir))
+    # as on large tables: below the threshold a request's rows already sit in one task
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()["similar_items"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
