@@ -21,8 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import save
+
 _END = "\r\n\r\n"
 _CHUNK = 1 << 20
+_SALTS = 64
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -44,9 +47,27 @@ def _record_id(id_: Column) -> Column:
         F.lit(">"))
 
 
+def _with_last(rows: DataFrame, min_bytes: int, hot_part: int) -> DataFrame:
+    """``rows`` with ``_last``, the largest id among equal payloads that stand twice or
+    more, else null.  A payload with over one part in ``hot_part`` of these rows is dealt
+    over many tasks; there are under ``hot_part`` such, whatever the input, so they
+    are broadcast."""
+    again = save(rows.filter(F.col("_n") >= min_bytes).groupBy("_sha", "_n")
+                 .agg(F.max("_id").alias("_last"), F.count("*").alias("_k")).filter("_k > 1"), "payloads")
+    total = again.agg(F.sum("_k")).first()[0] or 0
+    is_hot = F.col("_k") * hot_part > total
+    hot = F.broadcast(again.filter(is_hot).select("_sha", "_n", F.col("_last").alias("_hot_last"),
+                                                  F.lit(True).alias("_hot")))
+    rest = again.filter(~is_hot).select("_sha", "_n", "_last", F.lit(0).alias("_salt"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id", "_url"), F.lit(_SALTS)).cast("int") + 1).otherwise(0)
+    return (rows.join(hot, ["_sha", "_n"], "left").withColumn("_salt", salt)
+            .join(rest, ["_sha", "_n", "_salt"], "left")
+            .withColumn("_last", F.coalesce("_hot_last", "_last")).drop("_hot", "_hot_last", "_salt"))
+
+
 def records(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
             payload_col: str = "html", min_bytes: int = 0,
-            date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+            date: str = "1970-01-01T00:00:00Z", hot_part: int = 1000) -> DataFrame:
     """One WARC record per row of ``df`` as text (column ``value``), without the
     two line ends that follow a record.
 
@@ -54,14 +75,15 @@ def records(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     the largest id is a response and the others revisit it; smaller payloads are
     all responses.  A null payload is empty; a null id is never the largest
     unless all are null; rows that repeat the largest id are responses too.
+
+    Payloads that stand alone need no partner; the table of the others, without
+    bodies, is written to the shared folder first.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").alias("_url"),
                      F.coalesce(F.col(f"`{payload_col}`"), F.lit("")).alias("_body"))
     rows = rows.withColumn("_sha", F.sha1(F.col("_body").cast("binary"))) \
         .withColumn("_n", F.octet_length("_body"))
-    last = rows.filter(F.col("_n") >= min_bytes).groupBy("_sha", "_n") \
-        .agg(F.max("_id").alias("_last"))
-    r = rows.join(last, ["_sha", "_n"], "left")
+    r = _with_last(rows, min_bytes, hot_part)
     first = F.col("_last").isNull() | F.coalesce(F.col("_id") == F.col("_last"), F.lit(False))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                           "Content-Length: "), F.col("_n").cast("string"), F.lit(_END))

@@ -431,3 +431,16 @@ def test_pipeline_stages_take_edge_rows(spark, sf_dir):
             assert out.columns == docs(spark, []).columns
             out.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs(spark, rows), sf_dir).count() == len(rows)
+
+
+def test_warc_hot_payloads_are_dealt_out_with_the_same_result(spark):
+    rows = [(i, f"u{i % 7}", "same" if i % 3 else f"pair{i // 6}") for i in range(90)] + [(None, None, "same")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    dealt, plain = (sorted(r.value for r in warc.records(df, hot_part=n).collect()) for n in (1000, 1))
+    assert dealt == plain
+    last = {}
+    for i, _, h in rows:
+        last[h] = max(last.get(h, -1), -1 if i is None else i)
+    responses = {int(v.split("X-Page-ID: ")[1].split("\r\n")[0]) for v in dealt
+                 if "WARC-Type: response" in v and "X-Page-ID" in v}
+    assert responses == set(last.values())
