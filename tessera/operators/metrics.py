@@ -112,7 +112,3 @@ def scorer_agreement(a: DataFrame, b: DataFrame, key: str, score: str, cut: floa
     same = ((F.col("_a") > cut) == (F.col("_b") > cut)).cast("double")
     return j.agg(F.count(F.lit(1)).alias("n"), F.avg(same).alias("agreement_rate"),
                  F.avg(F.abs(F.col("_a") - F.col("_b"))).alias("mean_abs_diff"))
-
-
-def attach(df: DataFrame, other: DataFrame) -> DataFrame:
-    return attach_totals(df, other, [])

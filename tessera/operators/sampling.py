@@ -61,12 +61,6 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: floa
     return out.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_h", "_test")
 
 
-def hash_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Scale form: a row is in test when its hash falls below the cut (no ranking)."""
-    b = hash_bucket(id_col, buckets=1_000_000, seed=seed)
-    return df.withColumn("split", F.when(b < int(test_size * 1_000_000), "test").otherwise("train"))
-
-
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """Seeded sample of n rows: the n smallest md5(id|seed).  A top-n, so each
     task keeps n rows before the final merge (TakeOrderedAndProject)."""

@@ -12,6 +12,7 @@ from tessera.operators.similar import resolve_items, similar_to
 from tessera.plans import sql as S
 from tessera.plans.q_features import RECO_REQ_SQL, WEIGHTED_SQL, reco_requests, validated_requests
 from tessera.plans.registry import query
+from tessera.session import scratch_path
 from tessera.sources import adapters as ad
 from tessera.sources.tables import Tables
 
@@ -195,6 +196,18 @@ def similar_items(spark, sf_dir):
     return s.select("request_id", "rank", "book_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("index_roundtrip", sql=SIMILAR_SQL + """
+SELECT request_id, CAST(rank AS INTEGER) AS rank, book_id, round(sim, 6) AS similarity FROM ranked WHERE rank <= n""")
+def index_roundtrip(spark, sf_dir):
+    """The index (its weights) written as a table and read again answers as before."""
+    t = Tables(spark, sf_dir)
+    _, _, _, w = book_index(t)
+    path = scratch_path(spark, "book-index")
+    w.write.parquet(path)
+    s = similar_to(resolved_requests(t), spark.read.parquet(path), "book_id", MAX_RECOMMENDATIONS)
+    return s.select("request_id", "rank", "book_id", F.round("similarity", 6).alias("similarity"))
+
+
 def reco_answers(t):
     """One row per request: status_code 200, 400 (invalid) or 404 (no such book),
     error, the query book (score 1.0) and the ranked recommendations (maybe none)."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,17 +65,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("TESSERA_SF_DIR", default)

@@ -3,22 +3,30 @@ pluggable keyed-store sink, file discovery and conversion reports."""
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Quotes inside values are doubled, so that values with quotes and line ends survive.
+_CSV = {"header": True, "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("overwrite").options(**_CSV)
      .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
      .csv(path))
     return path
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and inferred types (the one place we infer)."""
-    return (spark.read.option("header", True).option("inferSchema", True)
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header and inferred types (the one place we infer).  ``multi_line``
+    is for values with line ends; such files are not split."""
+    return (spark.read.options(**_CSV).option("inferSchema", True).option("multiLine", multi_line)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .option("preferDate", False).csv(path))
 
@@ -45,17 +53,45 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
     return df.select(*cols)
 
 
-def file_listing(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """One row per data file under ``path`` with its size, via the hidden
-    ``_metadata`` column (no driver-side directory walk)."""
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    df = reader.load(path)
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-            .groupBy("file_path").agg(F.first("file_size").alias("file_size"),
-                                      F.count(F.lit(1)).alias("rows")))
+def find_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern, sorted, through the file system of Spark's inputs."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(str(x.getPath()) for x in found or [])
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+_REPORT = ("file string, status string, rows bigint, csv_bytes bigint, parquet_bytes bigint, "
+           "seconds double, error string")
+
+
+def convert_csv(spark: SparkSession, pattern: str, target: str, codec: str = "snappy") -> DataFrame:
+    """Convert every CSV folder that fits ``pattern`` to Parquet below ``target`` and
+    report one row each: rows, sizes, seconds, size saved %; a folder that fails is a row
+    with its error, and the others go on.  The last row, ``total``, sums the rest.
+
+    The conversions are Spark jobs; the driver holds one line per folder."""
+    lines = []
+    for path in find_folders(spark, pattern):
+        name, begun = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv"), time.time()
+        size = bytes_below(spark, path)
+        try:
+            out = write_parquet(read_csv_inferred(spark, path, multi_line=True), f"{target}/{name}", codec)
+            line = ("ok", spark.read.parquet(out).count(), size, bytes_below(spark, out), None)
+        except PySparkException as e:
+            line = ("failed", 0, size, 0, str(e).splitlines()[0][:200])
+        lines.append((name, *line[:4], round(time.time() - begun, 3), line[4]))
+    done = spark.createDataFrame(lines, _REPORT)
+    total = done.agg(F.lit("total").alias("file"), F.lit("ok").alias("status"), *[
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "csv_bytes", "parquet_bytes", "seconds")],
+        F.lit(None).cast("string").alias("error"))
+    saved = F.round((1 - F.try_divide(F.col("parquet_bytes"), F.col("csv_bytes"))) * 100, 1)
+    return done.unionByName(total).withColumn(
+        "saved_pct", F.when(F.col("status") == "ok", saved))
 
 
 def save_to_store(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",

@@ -97,3 +97,43 @@ def test_event_files_replay_in_time_order(spark, sf_dir):
     spans = [spark.read.parquet(f).agg(F.min("ts"), F.max("ts")).first() for f in files]
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert spark.read.parquet(path).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_conversion_keeps_failures_as_rows(spark):
+    from tessera.sources import files as fs
+    root = scratch_path(spark, "conv")
+    df = spark.createDataFrame([(1, 'a "quoted"\nline, x'), (2, None)], "id int, t string")
+    fs.write_csv(df, f"{root}/good.csv")
+    fs.write_csv(df.limit(0).coalesce(1), f"{root}/zero.csv")
+    spark._jvm.org.apache.hadoop.fs.Path(f"{root}/bad.csv").getFileSystem(
+        spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/bad.csv"))
+    out = scratch_path(spark, "conv-out")
+    rep = {r["file"]: r for r in fs.convert_csv(spark, f"{root}/*.csv", out).collect()}
+    assert rep["good"]["status"] == "ok" and rep["good"]["rows"] == 2
+    assert rep["bad"]["status"] == "failed" and rep["bad"]["error"] and rep["bad"]["saved_pct"] is None
+    assert rep["total"]["rows"] == sum(r["rows"] for f, r in rep.items() if f != "total")
+    assert spark.read.parquet(f"{out}/good").where("id = 1").first()["t"] == 'a "quoted"\nline, x'
+
+
+def test_ndcg_against_brute_force(spark):
+    import math
+    from tessera.operators.models import ndcg
+    rows = [(g, i, float((7 * i + g) % 5), float((3 * i + g) % 4)) for g in range(3) for i in range(12)]
+    df = spark.createDataFrame(rows, "g int, i int, s double, q double")
+    for r in ndcg(df, "g", "s", "q", "i", 10).collect():
+        own = [x for x in rows if x[0] == r["g"]]
+        dcg = lambda c: sum(x[3] / math.log2(k + 2) for k, x in enumerate(
+            sorted(own, key=lambda x: (-x[c], x[1]))[:10]))
+        assert abs(r["dcg"] - dcg(2)) < 1e-9 and abs(r["idcg"] - dcg(3)) < 1e-9
+
+
+def test_als_ranks_and_held_out_ndcg(spark, sf_dir):
+    q = E.queries()
+    recs = q["als_recommend"](spark, sf_dir)
+    per = recs.groupBy("customer_id").agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("d"),
+                                          F.max("rank").alias("r"))
+    assert per.where("n <> 10 OR d <> 10 OR r <> 10").count() == 0
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey").distinct().count()
+    assert per.count() <= orders and per.count() > 0
+    got = q["als_ndcg"](spark, sf_dir).first()
+    assert got["n_customers"] > 0 and 0.0 < got["ndcg_at_10"] <= 1.0
