@@ -17,7 +17,7 @@ from tessera.llm.common import read, save
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a quality rule go."""
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, rules=quality.RUNNING_TEXT)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

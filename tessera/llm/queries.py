@@ -92,7 +92,7 @@ def op8_warc_archives(spark, sf_dir):
 @register
 def op9_quality_rules(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    q = quality.measure(docs)
+    q = quality.measure(docs, rules=quality.RUNNING_TEXT)
     return q.select("doc_id", *[f"quality.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept")])

@@ -401,6 +401,51 @@ def test_quality_divergence(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 3}
 
 
+def test_quality_common_words_reject_alone(spark, sf_dir):
+    rng = random.Random(6)
+    ref = quality.WORD_REFERENCES["en"]
+    pick = lambda k: " ".join(rng.choices([*ref, "oak"], [*ref.values(), 1 - sum(ref.values())], k=k))
+    cells = [f"q{chr(97 + i // 26)}{chr(97 + i % 26)}zoemar" for i in range(300)]
+    rows = [(1, pick(400) + "."), (2, " | ".join(cells[:30])),  # 59 words: under min_common_words
+            (3, " | ".join(cells)),
+            (4, " ".join(f"word{i}" for i in range(49)))]
+    judged = quality.measure(docs(spark, rows), rules=quality.RUNNING_TEXT).collect()
+    far = {r.doc_id: r.quality.word_distance is not None
+           and r.quality.word_distance > quality.RUNNING_TEXT.max_common_alone for r in judged}
+    assert far == {1: False, 2: True, 3: True, 4: False}
+    kept = {r.doc_id: r.quality.kept for r in judged}
+    assert not kept[2] and not kept[3]
+    assert {r.quality.kept for r in quality.measure(docs(spark, rows[1:3])).collect()} == {True}
+    # the queries use these rules
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    own = {r.doc_id for r in quality.keep_good(whole, rules=quality.RUNNING_TEXT).collect()}
+    assert own == {r.doc_id for r in QUERIES["op9_quality_rules"](spark, sf_dir).collect() if r.kept}
+    assert own == {r.doc_id for r in corpus_pipeline.quality_rules(spark, whole, sf_dir).collect()}
+
+
+def test_quality_threshold_follows_from_the_guard_length():
+    """About one in a hundred texts of 50 words drawn from a reference lies beyond."""
+    rng = np.random.default_rng(0)
+    refs = quality.WORD_REFERENCES
+
+    def distance(shares, ref):
+        q = np.array([*ref.values(), 1 - sum(ref.values())])
+        p = np.stack([shares.get(w, 0 * next(iter(shares.values()))) for w in ref], 1)
+        p = np.column_stack([p, 1 - p.sum(1)])
+        m = (p + q) / 2
+        logs = np.where(p > 0, p * np.log2(np.where(p > 0, p, 1) / m), 0) + q * np.log2(q / m)
+        return np.sqrt(np.maximum(logs.sum(1) / 2, 0))
+
+    worst = []
+    for ref in refs.values():
+        n = quality.RUNNING_TEXT.min_alone_words
+        drawn = rng.multinomial(n, [*ref.values(), 1 - sum(ref.values())], 100_000) / n
+        shares = {w: drawn[:, k] for k, w in enumerate(ref)}
+        nearest = np.min([distance(shares, other) for other in refs.values()], axis=0)
+        worst.append(np.quantile(nearest, 0.99))
+    assert 0.265 < max(worst) <= quality.RUNNING_TEXT.max_common_alone < max(worst) + 0.003
+
+
 def test_edge_urls(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "HTTP://WWW.Example.COM/en/x?y#z"),
             (5, "http://example.com"), (6, "http://a.com?x://b.net/es/"), (7, "http://notexample.com/en/"),
