@@ -47,7 +47,8 @@ class HostRule:
 @dataclass(frozen=True)
 class PatternRule:
     """``block`` for addresses (in lower case) that fit an expression; ``tokens``
-    must stand in each of them as whole tokens."""
+    must stand in each of them as whole tokens (so not the last one of an
+    expression that may end inside a token)."""
 
     name: str
     regex: str
@@ -64,8 +65,8 @@ BASE_RULES = [
 ]
 
 PATTERN_RULES = [
-    PatternRule("login-form", r"/wp-login\.php", ("wp", "login", "php")),
-    PatternRule("script-login", r"/cgi-bin/login", ("cgi", "bin", "login")),
+    PatternRule("login-form", r"/wp-login\.php", ("wp", "login")),
+    PatternRule("script-login", r"/cgi-bin/login", ("cgi", "bin")),
     PatternRule("session-id", r"[?&;]phpsessid=[0-9a-z]+", ("phpsessid",)),
     PatternRule("redirect", r"[?&]redirect=https?://", ("redirect",)),
     PatternRule("casino", r"://([^/?#]*[.-])?online[.-]casino[.-]", ("online", "casino")),

@@ -469,6 +469,15 @@ def test_url_patterns_and_rarest_token(spark):
     assert index["login-form"] == "wp"  # three addresses; login and php are in four
 
 
+def test_url_patterns_may_end_inside_a_token(spark):
+    rows = [(1, "http://a.org/wp-login.php7"), (2, "http://a.org/cgi-bin/login2"),
+            (3, "http://a.org/wp/cgi/bin"), (4, "http://b.org/wp/cgi/bin"), (5, "http://b.org/wp/cgi/bin?login")]
+    for more in ([], [(i, "http://c.org/login/php") for i in range(6, 16)]):  # php and login: rare, common
+        df = spark.createDataFrame(rows + more, "page_id bigint, url string")
+        got = {r.page_id: r.pattern for r in urls.judge_urls(df).collect()}
+        assert {k: v for k, v in got.items() if v} == {1: "login-form", 2: "script-login"}
+
+
 def test_pipeline_stages_take_edge_rows(spark, sf_dir):
     for rows in (EDGE, []):
         for _, stage in corpus_pipeline.STAGES[:-1]:
