@@ -25,7 +25,6 @@ from tessera.llm.common import groups_of_bytes, save
 from tessera.llm.runindex import long_matches
 from tessera.llm.segments import segments
 
-_MARKS = (1 << 23) - 1
 _GROUP = 96 << 10  # bytes of text hashed at once: fits a core's cache
 _BLOCK = 2 << 20  # bytes of segments indexed at once, in whole minimizers
 _HOT = 1000  # keys with over one part in so many of all rows are salted
@@ -33,28 +32,22 @@ _SALTS = 64
 
 
 def _documents(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``_id``, ``_mark`` (23 bits of the text's hash, to tell rows with one id apart),
-    ``_text``."""
+    """``_id``, ``_mark`` (the text's hash, to tell rows with one id apart), ``_text``."""
     text = F.col(f"`{text_col}`")
     return df.select(F.col(f"`{id_col}`").alias("_id"),
-                     F.xxhash64(text).bitwiseAND(F.lit(_MARKS)).alias("_mark"),
+                     F.xxhash64(text).alias("_mark"),
                      F.coalesce(text, F.lit("")).alias("_text"))
 
 
-def _place(start: np.ndarray, mark: np.ndarray, again: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """First window, mark, ``again`` and number of windows in one long."""
-    return start.astype(np.int64) << 32 | mark.astype(np.int64) << 9 \
-        | again.astype(np.int64) << 8 | n.astype(np.int64)
+def _place(start: np.ndarray, again: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """First window, ``again`` and number of windows in one long."""
+    return start.astype(np.int64) << 32 | again.astype(np.int64) << 8 | n.astype(np.int64)
 
 
 def _start(at: Column) -> Column:
     return F.shiftright(at, 32)
 
 
-def _mark(at: Column) -> Column:
-    return F.shiftright(at, 9).bitwiseAND(F.lit(_MARKS))
-
-
 def _again(at: Column) -> Column:
     return F.shiftright(at, 8).bitwiseAND(F.lit(1))
 
@@ -64,7 +57,7 @@ def _count(at: Column) -> Column:
 
 
 def cut(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, dig, ``_id``, at): the segments of all texts; ``key`` is the least hash,
+    """(key, dig, ``_id``, ``_mark``, at): the segments of all texts; ``key`` is the least hash,
     ``dig`` a hash of the segment's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,14 +75,15 @@ def cut(docs: DataFrame, window: int, gram: int) -> DataFrame:
             dig = np.array([xxhash.xxh3_64_intdigest(data[s:e]) for s, e in
                             zip(first.tolist(), (first + n + window - 1).tolist(), strict=True)],
                            np.uint64)
-            mark = b.column("_mark").to_numpy()
+            doc_at = pa.array(doc)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key.view(np.int64)), pa.array(dig.view(np.int64)),
-                b.column("_id").combine_chunks().take(pa.array(doc)),
-                pa.array(_place(first - begins[doc], mark[doc], again, n))], ["key", "dig", "_id", "at"])
+                b.column("_id").combine_chunks().take(doc_at),
+                b.column("_mark").combine_chunks().take(doc_at),
+                pa.array(_place(first - begins[doc], again, n))], ["key", "dig", "_id", "_mark", "at"])
 
     kind = dict(docs.dtypes)["_id"]
-    return docs.mapInArrow(run, f"key bigint, dig bigint, _id {kind}, at bigint")
+    return docs.mapInArrow(run, f"key bigint, dig bigint, _id {kind}, _mark bigint, at bigint")
 
 
 def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -100,15 +94,15 @@ def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _contents(chosen: DataFrame, docs: DataFrame, window: int) -> DataFrame:
-    """``chosen`` segments (key, n, ``_id``, at) with their bytes: one row per
+    """``chosen`` segments (key, n, ``_id``, ``_mark``, at) with their bytes: one row per
     document meets its text, and the segments are cut out of it."""
-    per_doc = chosen.groupBy("_id", _mark(F.col("at")).alias("_mark")) \
+    per_doc = chosen.groupBy("_id", "_mark") \
         .agg(F.collect_list(F.struct("key", "n", "at")).alias("list"))
     cut_out = F.substring(F.col("_text").cast("binary"), (_start(F.col("at")) + 1).cast("int"),
                           (_count(F.col("at")) + (window - 1)).cast("int"))
     return (_with_text(per_doc, docs).filter("list IS NOT NULL")
-            .select("_id", "_text", F.inline("list"))
-            .select("key", "n", "_id", "at", cut_out.alias("bytes")))
+            .select("_id", "_mark", "_text", F.inline("list"))
+            .select("key", "n", "_id", "_mark", "at", cut_out.alias("bytes")))
 
 
 def _matched(batches: Iterator[pa.RecordBatch], window: int,
@@ -119,8 +113,8 @@ def _matched(batches: Iterator[pa.RecordBatch], window: int,
     size = 0
 
     def flush() -> pa.RecordBatch:
-        found = long_matches([r[4] for r in held], window)
-        rows = [(r[2], (r[3] >> 9) & _MARKS, (r[3] >> 32) + lo, (r[3] >> 32) + hi)
+        found = long_matches([r[5] for r in held], window)
+        rows = [(r[2], r[3], (r[4] >> 32) + lo, (r[4] >> 32) + hi)
                 for r, spans in zip(held, found, strict=True) if r[1] == 1 for lo, hi in spans]
         cols = list(zip(*rows, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays(
@@ -133,7 +127,7 @@ def _matched(batches: Iterator[pa.RecordBatch], window: int,
                 yield flush()
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
+            size += len(row[5])
     if held:
         yield flush()
 
@@ -143,10 +137,10 @@ def _crowded(rows: DataFrame, docs: DataFrame, window: int) -> DataFrame:
     different segments for one block: counted window by window, by two hashes
     of its bytes, so that no key gathers unequal rows."""
     spread = (_contents(rows.withColumn("n", F.lit(0)), docs, window)
-              .select("_id", "at", "bytes",
+              .select("_id", "_mark", "at", "bytes",
                       F.explode(F.sequence(F.lit(0), (_count(F.col("at")) - 1).cast("int"))).alias("w"))
               .withColumn("own", F.substring("bytes", F.col("w") + 1, F.lit(window)))
-              .select("_id", _mark(F.col("at")).alias("_mark"),
+              .select("_id", "_mark",
                       (_start(F.col("at")) + F.col("w")).alias("lo"),
                       F.xxhash64("own").alias("a"), F.xxhash64(F.lit(1), "own").alias("b")))
     many = spread.groupBy("a", "b").count().filter("count > 1")
@@ -207,7 +201,7 @@ def _semi(rows: DataFrame, counted: DataFrame, on: list[str], total: int) -> Dat
     or less).  A key with over a thousandth of ``total`` is dealt over many tasks;
     there are under a thousand of these, whatever the input, so they are broadcast."""
     hot = F.broadcast(counted.filter(F.col("n") * _HOT > total).select(*on, F.lit(True).alias("_hot")))
-    deal = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id", "at"), F.lit(_SALTS)).cast("int")).otherwise(0)
+    deal = F.when(F.col("_hot"), F.pmod(F.xxhash64("_id", "_mark", "at"), F.lit(_SALTS)).cast("int")).otherwise(0)
     all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
     keys = counted.join(hot, on, "left").select(*on, F.explode(all_salts).alias("_salt"))
     return rows.join(hot, on, "left").withColumn("_salt", deal) \
@@ -224,13 +218,13 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, crowd: int) -> Dat
     # small beside the texts, and read three times
     again = save(_semi(all_, often, ["key"], total), "segments")
     distinct = again.groupBy("key", "dig").agg(F.count("*").alias("n"),
-                                               F.min(F.struct("_id", "at")).alias("rep"))
+                                               F.min(F.struct("_id", "_mark", "at")).alias("rep"))
     state = save(distinct.groupBy("key").agg(F.count("*").alias("kinds"),
                                              F.sum(F.when(F.col("n") == 1, 1)).alias("single"),
                                              F.max(_again(F.col("rep.at"))).alias("again"))
                  .filter("single > 0 AND (kinds > 1 OR again = 1)"), "minimizers")
     whole = _semi(again, distinct.filter("n > 1"), ["key", "dig"], total).select(
-        "_id", _mark(F.col("at")).alias("_mark"), _start(F.col("at")).alias("lo"),
+        "_id", "_mark", _start(F.col("at")).alias("lo"),
         (_start(F.col("at")) + _count(F.col("at"))).alias("hi"))
     few = distinct.join(state.filter(F.col("kinds") <= crowd), "key", "left_semi") \
         .select("key", "n", "rep.*")
@@ -242,6 +236,6 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, crowd: int) -> Dat
     spans = whole.unionByName(differing)
     crowded = state.filter(F.col("kinds") > crowd)
     if not crowded.isEmpty():
-        rows = again.join(crowded, "key", "left_semi").select("key", "_id", "at")
+        rows = again.join(crowded, "key", "left_semi").select("key", "_id", "_mark", "at")
         spans = spans.unionByName(_crowded(rows, docs, window))
     return spans

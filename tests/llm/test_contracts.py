@@ -11,6 +11,7 @@ import pytest
 import public_tokenizers as P
 import sentencepiece
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -208,6 +209,20 @@ def test_edge_repeats(spark, crowd):
     assert have == sorted(((i, *w) for (i, _), w in zip(rows, want, strict=True)), key=repr)
 
 
+def test_repeats_of_texts_under_one_id(spark):
+    """Texts whose hashes agree in their low 23 bits, without an id."""
+    rng = random.Random(8)
+    passage, other = ("".join(rng.choice("abcdefgh ") for _ in range(500)) for _ in range(2))
+    low = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) & (1 << 23) - 1
+    first = {low(t): t for t in (f"{passage}{i}" for i in range(20_000))}
+    a, b = next((first[low(t)], t) for t in (f"{other}{i}" for i in range(20_000)) if low(t) in first)
+    rows = [(None, a), (None, b), (1, "z" + passage)]
+    for crowd in (50_000, 1):
+        found = exactdup.remove_repeats(docs(spark, rows), crowd=crowd).collect()
+        assert sorted((r.n_bytes - len(r.kept), bytes(r.kept)) for r in found) == sorted(
+            [(500, a[500:].encode()), (0, b.encode()), (500, b"z")])
+
+
 def test_edge_repeats_empty(spark):
     assert exactdup.remove_repeats(docs(spark, [])).count() == 0
 
