@@ -26,7 +26,7 @@ from tessera.llm.runindex import long_matches
 from tessera.llm.segments import segments
 
 _GROUP = 96 << 10  # bytes of text hashed at once: fits a core's cache
-_BLOCK = 2 << 20  # bytes of segments indexed at once, in whole minimizers
+_BLOCK = 2 << 20  # bytes of segments indexed at once, and one more minimizer of as many at most
 _HOT = 1000  # keys with over one part in so many of all rows are salted
 _SALTS = 64
 
@@ -172,7 +172,7 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                   window: int = 200, gram: int = 64, crowd: int = 50_000) -> DataFrame:
+                   window: int = 200, gram: int = 64, crowd: int | None = None) -> DataFrame:
     """(``id_col``, n_bytes, removed, kept) per row of ``df``: the byte spans covered
     by ``window``-byte strings that start at two places or more, and the bytes
     that are left.
@@ -180,11 +180,14 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     A null text is empty; texts shorter than ``window`` keep everything.  Repeated
     rows are copies of each other and lose all bytes that their windows cover.
     An empty table gives an empty result.  A minimizer with more than ``crowd``
-    different segments (a passage in very many settings) is not gathered in one
-    block: its windows are counted one by one, with the same result.
+    different segments (a passage in very many settings; by default what may
+    exceed ``_BLOCK``) is not gathered in one block: its windows are counted one
+    by one, with the same result.
     """
     if not 0 < window - gram + 1 < 256 or gram < 8:
         raise ValueError("a window must have 1 to 255 substrings of 8 bytes or more")
+    if crowd is None:  # the longest segment has window - gram + 1 windows
+        crowd = max(1, _BLOCK // (2 * window - gram))
     docs = _documents(df, text_col, id_col)
     spans = repeated_windows(docs, window, gram, crowd)
     per_doc = spans.groupBy("_id", "_mark").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))

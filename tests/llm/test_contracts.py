@@ -223,6 +223,23 @@ def test_repeats_of_texts_under_one_id(spark):
             [(500, a[500:].encode()), (0, b.encode()), (500, b"z")])
 
 
+def test_crowded_minimizers_fit_a_block(spark, monkeypatch):
+    """By default, what may exceed a block is counted window by window."""
+    called, limits = [], []
+    plain, repeated = exactdup._crowded, exactdup.repeated_windows
+    monkeypatch.setattr(exactdup, "_crowded", lambda *a: called.append(1) or plain(*a))
+    monkeypatch.setattr(exactdup, "repeated_windows", lambda *a: limits.append(a[-1]) or repeated(*a))
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    rows = [(i, f"{i:x}" * 50 + passage + f"{i:o}" * 90) for i in range(11, 51)]
+    want = [w[1] for w in B.repeats([t for _, t in rows])]
+    for block, crowded in ((exactdup._BLOCK, False), (336 * 5, True)):
+        monkeypatch.setattr(exactdup, "_BLOCK", block)
+        found = exactdup.remove_repeats(docs(spark, rows)).orderBy("doc_id").collect()
+        assert [r.n_bytes - len(r.kept) for r in found] == want
+        assert limits[-1] * 336 <= block and bool(called) == crowded
+
+
 def test_edge_repeats_empty(spark):
     assert exactdup.remove_repeats(docs(spark, [])).count() == 0
 
