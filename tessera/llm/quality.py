@@ -129,26 +129,20 @@ def window_hashes(ws: Column) -> Column:
 def repeated_words(h: Column) -> Column:
     """Words inside 3-word windows that occur twice or more, the first included.
 
-    Sorted by hash and place, packed into one long, windows with a neighbour of
-    their own hash repeat.  The sorted starts of these give the words covered:
+    Sorted by hash and place, windows with a neighbour of their own hash repeat; all
+    64 bits count at any length.  The sorted starts of these give the words covered:
     each adds the distance to the next one, three at most.
     """
-    bits = F.ceil(F.log2(F.size(h) + F.lit(1))).cast("int")
-
-    def starts(b: Column) -> Column:
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), b) - 1
-        packed = F.sort_array(F.transform(h, lambda x, i: F.call_function(
-            "shiftleft", x, b).bitwiseOR(i.cast("long"))))
+    def starts(a: Column) -> Column:
+        placed = F.sort_array(F.transform(a, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
         def repeats(s: Column) -> Column:
-            same = lambda e, o: F.coalesce(
-                F.call_function("shiftright", e, b) == F.call_function("shiftright", o, b),
-                F.lit(False))
+            same = lambda e, o: F.coalesce(e["h"] == o["h"], F.lit(False))
             return F.filter(s, lambda e, j: same(e, F.get(s, j + 1)) | same(e, F.get(s, j - 1)))
 
         return F.sort_array(F.transform(
-            F.get(F.transform(F.array(packed), repeats), F.lit(0)),
-            lambda e: e.bitwiseAND(low)))
+            F.get(F.transform(F.array(placed), repeats), F.lit(0)),
+            lambda e: e["i"].cast("long")))
 
     def total(p: Column) -> Column:
         steps = F.transform(p, lambda a, j: F.least(
@@ -156,7 +150,7 @@ def repeated_words(h: Column) -> Column:
         return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
     # one-element arrays bind a value once for all its uses
-    covered = F.get(F.transform(F.transform(F.array(bits), starts), total), F.lit(0))
+    covered = F.get(F.transform(F.transform(F.array(h), starts), total), F.lit(0))
     return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")) \
         .otherwise(covered)
 

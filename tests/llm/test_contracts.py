@@ -419,6 +419,13 @@ def test_edge_quality(spark):
     assert quality.keep_good(docs(spark, [])).count() == 0
 
 
+def test_repeated_windows_compare_whole_hashes(spark):
+    rows = [([5, 5 + (1 << 62), 9, 9],), ([7, 3, 7],), ([1, 2],), ([],), ([4, 4 - (1 << 63), 4],)]
+    df = spark.createDataFrame(rows, "h array<bigint>")
+    got = [r[0] for r in df.select(quality.repeated_words(F.col("h"))).collect()]
+    assert got == [4, 5, 0, 0, 5]
+
+
 def test_quality_divergence(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 9)))
