@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    bpe, decontam, exactdup, licenses, quality, secrets, simhash, tokens, urls, warc,
+    bpe, conversations, copies, decontam, exactdup, licenses, phrases, quality, secrets, simhash,
+    tokens, urls, warc,
 )
 from tessera.llm.common import read
 from tessera.session import scratch_path
@@ -101,3 +102,61 @@ def op9_quality_rules(spark, sf_dir):
 @register
 def op10_url_filter(spark, sf_dir):
     return urls.judge_urls(read(spark, sf_dir, "pages"))
+
+
+@register
+def op11_phrases(spark, sf_dir):
+    return phrases.top_collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+counted AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, k AS size, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+      AS phrase
+    FROM ws, range(1, 6) t(k) WHERE len(w) >= k) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+often AS (SELECT * FROM counted WHERE f >= 100),
+cand AS (
+  SELECT * FROM often c WHERE size > 1 AND NOT EXISTS (
+    SELECT 1 FROM often o WHERE o.lang = c.lang AND o.size > c.size AND 100 * o.f >= 100 * c.f
+      AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n,
+         CAST(CAST(1000 AS HUGEINT) * c.f * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cand c, range(1, 5) t(k), often l, often r, total
+  WHERE k < c.size AND l.lang = c.lang AND r.lang = c.lang AND total.lang = c.lang
+    AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:k], ' ')
+    AND r.phrase = array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ')),
+scored AS (
+  SELECT lang, phrase, a, l, r, n, score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 2000"""
+
+
+@register
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repair_conversations(conversations.damage(read(spark, sf_dir, "conversations")))
+
+
+@register
+def op13_exact_dedup(spark, sf_dir):
+    return copies.find_copies(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS s FROM documents),
+g AS (
+  SELECT doc_id, s, first_value(doc_id) OVER (PARTITION BY s ORDER BY n DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY s) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 FROM g"""
