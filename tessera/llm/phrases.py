@@ -1,13 +1,13 @@
 """Phrase collocations by a multikey three-way quicksort of suffix pointers.
 
-A phrase's occurrences are the suffixes (of pieces) that begin with it.  Two passes
-over the texts count words and, in a bitmap of fixed size, pairs of neighbouring
-words; a third gives every suffix up to the longest phrase, cut before the first word
-or pair that cannot be frequent, equal ones of a batch as one.  Suffixes are routed by
-their leading words (ranges of their order), each range is sorted word by word with
-three-way partitions, whose equal part is a phrase and its size the count; parts
-below the least count are abandoned.  Only phrases that begin a range's first or last
-suffix may go on in another range: these are always given out, and all counts summed.
+A phrase's occurrences are the suffixes (of pieces) that begin with it.  Passes over the
+texts count words and, in bitmaps of fixed size, pairs and triples of neighbouring
+words; the last gives every suffix up to the longest phrase, cut before the first word,
+pair or triple that cannot be frequent, equal ones of a task as one.  Suffixes are routed by
+their leading words (the first, and one of 16 buckets of the second, so that a very common
+word is dealt out): all occurrences of a phrase of two words or more meet in one part.  There
+pointers to them are sorted word by word with three-way partitions, whose equal part is
+a phrase and its size the count; parts below the least count are abandoned.
 """
 
 from __future__ import annotations
@@ -25,8 +25,12 @@ from pyspark.sql.window import Window
 from tessera.llm.common import groups_of_bytes, save
 
 _GROUP = 4 << 20  # bytes of text cut into words at once
-_ROWS = 2_000_000  # suffixes that one range should hold
+_WORDS = 32_000_000  # words of text whose frequent suffixes one part should hold
+_SECOND = 16  # buckets of the second word
 _BITS = (16, 27)  # of the bitmaps: at most 16 MB each, whatever the input
+_BLOCK = 16  # bits of a bucket's place in its block
+_DEALS = 32  # parts of a language whose best are found apart
+_HELD = 2_000_000  # rows that a task sums up before it gives them out
 _UND = "und"
 
 _BYTE = np.zeros(256, np.uint8)  # 0 letter, 1 blank, 2 end of a piece
@@ -96,120 +100,214 @@ def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
+def _summed(parts: Iterator[pa.Table], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """Tables with a count ``n``, as one row per ``by`` of a task; what is more than
+    ``_HELD`` rows even so goes out before."""
+    held: list[pa.Table] = []
+    fresh = 0
+
+    def merged() -> pa.Table:
+        t = pa.concat_tables(held).group_by(by).aggregate([("n", "sum")]).rename_columns([*by, "n"])
+        return t.combine_chunks()
+
+    for part in parts:
+        held.append(part)
+        fresh += len(part)
+        if fresh > _HELD:
+            held = [merged()]
+            fresh = 0
+            if len(held[0]) > _HELD:
+                yield from held.pop().to_batches()
+    if held:
+        yield from merged().to_batches()
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, f): occurrences of every word in every language."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for lang, texts in _groups(batches):
             ids, words, _, _ = cut_words(texts)
-            if len(words):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(words)), words.cast(pa.string()),
-                     pa.array(np.bincount(ids, minlength=len(words)).astype(np.int64))], ["lang", "word", "n"])
+            yield pa.table([pa.array([lang] * len(words), pa.string()), words.cast(pa.string()),
+                            pa.array(np.bincount(ids, minlength=len(words)).astype(np.int64))], ["lang", "word", "n"])
 
-    return docs.mapInArrow(run, "lang string, word string, n bigint") \
+    return docs.mapInArrow(lambda it: _summed(parts(it), ["lang", "word"]), "lang string, word string, n bigint") \
         .groupBy("lang", "word").agg(F.sum("n").alias("f"))
 
 
 class _Bits:
     """A bitmap over hashes: no false negative, of at most ``2**_BITS[1]`` bits."""
 
-    def __init__(self, rows: list, bits: int):
+    def __init__(self, blocks: list, bits: int):
         self.bits = bits
-        self.flags = np.zeros(max(1, (1 << bits) >> 3), np.uint8)
-        width = 4096  # bytes of a row of Spark's bitmap functions
-        for number, part in rows:
-            at = (number - 1) * width
-            own = np.frombuffer(part, np.uint8)[:len(self.flags) - at]
-            self.flags[at:at + len(own)] = own
+        self.flags = np.zeros((1 << bits) >> 3, np.uint8)
+        size = (1 << _BLOCK) >> 3
+        for block, part in blocks:
+            self.flags[block * size:(block + 1) * size] = np.frombuffer(part, np.uint8)
 
     def has(self, h: np.ndarray) -> np.ndarray:
         at = h >> np.uint64(64 - self.bits)
         return (self.flags[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(buckets: DataFrame, bits: int) -> _Bits:
-    """The bitmap of the long column ``b``: built by Spark, of a fixed size."""
-    rows = buckets.groupBy(F.bitmap_bucket_number("b").alias("number")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("part")).collect()
-    return _Bits([(r["number"], bytes(r["part"])) for r in rows], bits)
-
-
 def _bits_for(n: int) -> int:
     """About a bit for each of ``n`` hashes, within ``_BITS``."""
     return min(max(int(n).bit_length(), _BITS[0]), _BITS[1])
 
 
-def _bucket_rows(frequent: DataFrame, bits: int) -> DataFrame:
-    """(b): the bits of the words of ``frequent`` (lang, word)."""
+def _packed(buckets: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(block, low, n): the buckets hit by a task and how often, as 16-bit places and
+    32-bit counts of each block of 2**16 buckets."""
+
+    def told(b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        block = b >> _BLOCK
+        first = np.flatnonzero(np.diff(block, prepend=-1))
+        ends = np.append(first[1:], len(b))
+        low, n = (b & (1 << _BLOCK) - 1).astype("<u2"), n.astype("<u4")
+        return pa.RecordBatch.from_arrays([
+            pa.array(block[first], pa.int32()),
+            pa.array([low[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary()),
+            pa.array([n[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())], ["block", "low", "n"])
+
+    all_b, all_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for new in buckets:
+        both = np.concatenate([all_b, new])
+        weight = np.concatenate([all_n, np.ones(len(new), np.int64)])
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        first = np.flatnonzero(np.diff(both, prepend=-1))
+        all_b = both[first]
+        all_n = np.add.reduceat(weight[order], first) if len(first) else weight
+        if len(all_b) > _HELD:
+            yield told(all_b, all_n)
+            all_b, all_n = all_b[:0], all_n[:0]
+    if len(all_b):
+        yield told(all_b, all_n)
+
+
+def _bitmap(packed: DataFrame, bits: int, least: int) -> _Bits:
+    """The buckets that all tasks together hit ``least`` times or more: summed by block on
+    Spark, of which one fixed-size bitmap comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, None
+        for b in batches:
+            for block, low, n in zip(*[b.column(c).to_pylist() for c in ("block", "low", "n")], strict=True):
+                if block != now:
+                    if now is not None:
+                        yield flags(now, sums)
+                    now, sums = block, np.zeros(1 << _BLOCK, np.int64)
+                sums[np.frombuffer(low, "<u2")] += np.frombuffer(n, "<u4")
+        if now is not None:
+            yield flags(now, sums)
+
+    def flags(block: int, sums: np.ndarray) -> pa.RecordBatch:
+        part = np.packbits(sums >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part])], ["block", "part"])
+
+    rows = packed.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, part binary")
+    return _Bits([(r["block"], bytes(r["part"])) for r in rows.collect()], bits)
+
+
+_PACKED = "block int, low binary, n binary"
+
+
+def _word_bits(frequent: DataFrame, bits: int) -> _Bits:
+    """The bitmap of the words of ``frequent`` (lang, word)."""
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in batches:
             h = _hashes(b.column("word").cast(pa.large_string()))
             langs = b.column("lang").dictionary_encode()
             own = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)
-            full = _pair(own[langs.indices.to_numpy()], h) if len(h) else h
-            yield pa.RecordBatch.from_arrays([pa.array((full >> np.uint64(64 - bits)).astype(np.int64) + 1)], ["b"])
+            if len(h):
+                yield (_pair(own[langs.indices.to_numpy()], h) >> np.uint64(64 - bits)).astype(np.int64)
 
-    # the bitmap functions count positions from 1
-    return frequent.select("lang", "word").mapInArrow(run, "b bigint")
+    rows = frequent.select("lang", "word").mapInArrow(lambda it: _packed(buckets(it)), _PACKED)
+    return _bitmap(rows, bits, 1)
 
 
-def _linked(lang: str, texts: list[bytes], words: _Bits) -> tuple:
-    """Words with their hashes and whether a pair begins at each: two neighbours of
-    one piece that may both be frequent."""
+def _grams(lang: str, texts: list[bytes], maps: list[_Bits], longest: int) -> tuple:
+    """Word ids, the distinct words, and for k = 1 .. ``longest`` the hash of the k-gram at
+    each word and whether it may be frequent: inside a piece, of parts that may be, and in
+    the k-th of ``maps`` (as far as there are)."""
     ids, names, piece, _ = cut_words(texts)
     own = _pair(np.full(len(names), _lang_hash(lang)), _hashes(names))
-    may = words.has(own)[ids] if len(ids) else np.zeros(0, bool)
-    pair = may[:-1] & may[1:] & (piece[:-1] == piece[1:])
-    return ids, names, own, pair
-
-
-def pair_counts(docs: DataFrame, words: Broadcast, bits: int) -> DataFrame:
-    """(b, n): occurrences of pairs by the bit of their hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    h, may = own[ids], maps[0].has(own)[ids] if len(ids) else np.zeros(0, bool)
+    out = [(h, may)]
+    for k in range(1, longest):
+        n = max(0, len(ids) - k)
+        may = may[:n] & may[1:n + 1] & (piece[:n] == piece[k:])
+        if k <= len(maps):  # the last of these is what is counted or looked up
+            h = _pair(h[:n], own[ids[k:]])
+            if k < len(maps):
+                at = np.flatnonzero(may)
+                may[at] = maps[k].has(h[at])
+        out.append((h, may))
+    return ids, names, out
+
+
+def _gram_bits(docs: DataFrame, maps: list[Broadcast], bits: int, least: int) -> _Bits:
+    """The bitmap of grams of a word more than ``maps`` know, that may occur ``least`` times."""
+    size = len(maps) + 1
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        known = [m.value for m in maps]
         for lang, texts in _groups(batches):
-            ids, _, own, pair = _linked(lang, texts, words.value)
-            at = np.flatnonzero(pair)
-            h = _pair(own[ids[at]], own[ids[at + 1]])
-            b, n = np.unique(h >> np.uint64(64 - bits), return_counts=True)
-            if len(b):
-                yield pa.RecordBatch.from_arrays([pa.array(b.astype(np.int64) + 1), pa.array(n.astype(np.int64))],
-                                                 ["b", "n"])
+            h, may = _grams(lang, texts, known, size)[2][-1]
+            yield (h[may] >> np.uint64(64 - bits)).astype(np.int64)
 
-    return docs.mapInArrow(run, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
+    return _bitmap(docs.mapInArrow(lambda it: _packed(buckets(it)), _PACKED), bits, least)
 
 
-def suffixes(docs: DataFrame, words: Broadcast, pairs: Broadcast, longest: int) -> DataFrame:
-    """(lang, w1 .. w``longest``, n): suffixes of two words or more, cut before the
-    first pair that cannot be frequent; equal ones of a batch are one row."""
+def suffixes(docs: DataFrame, maps: list[Broadcast], longest: int) -> DataFrame:
+    """(lang, w1, bucket, rest): suffixes of two words or more, cut before the first gram of
+    ``maps`` that cannot be frequent, as their first word, the bucket of their second, and the
+    list of what follows (w2 .. w``longest``, n); equal ones of a task are one entry."""
     names_of = [f"w{k + 1}" for k in range(longest)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch], known: dict[str, int]) -> Iterator[pa.Table]:
+        bits = [m.value for m in maps]
         for lang, texts in _groups(batches):
-            ids, names, own, pair = _linked(lang, texts, words.value)
-            at = np.flatnonzero(pair)
-            pair[at] = pairs.value.has(_pair(own[ids[at]], own[ids[at + 1]]))
-            at = np.flatnonzero(pair)
+            ids, names, grams = _grams(lang, texts, bits, longest)
+            at = np.flatnonzero(grams[1][1])
             if not len(at):
                 continue
-            goes = np.concatenate([pair, np.zeros(longest, bool)])
-            padded = np.concatenate([ids, np.zeros(longest, ids.dtype)]).astype(np.int32)
-            alive, cols = np.ones(len(at), bool), {"w1": padded[at]}
+            padded = np.concatenate([ids, np.zeros(longest, ids.dtype)])
+            cols = [padded[at]]
             for k in range(1, longest):
-                alive &= goes[at + k - 1]
-                cols[names_of[k]] = np.where(alive, padded[at + k], -1)
-            t = pa.table({**cols, "n": np.ones(len(at), np.int64)}).group_by(names_of).aggregate([("n", "sum")])
-            plain = names.cast(pa.string())
-            out = [pa.array([lang] * len(t)).dictionary_encode().cast(pa.string())]
-            for k in names_of:
-                i = t.column(k).to_numpy()
-                out.append(plain.take(pa.array(i, pa.int32(), mask=i < 0)))
-            yield pa.RecordBatch.from_arrays([*out, t.column("n_sum").combine_chunks()], ["lang", *names_of, "n"])
+                may = np.concatenate([grams[k][1], np.zeros(k + longest, bool)])
+                cols.append(np.where(may[at], padded[at + k], -1))
+            # the task's numbers of the words instead of the batch's
+            used = np.unique(np.concatenate(cols))
+            used = used[used >= 0]
+            to = np.full(len(names) + 1, -1, np.int32)
+            to[used] = [known.setdefault(w, len(known)) for w in names.take(pa.array(used)).to_pylist()]
+            yield pa.table({"lang": pa.array([lang] * len(at), pa.string()),
+                            **{k: to[c] for k, c in zip(names_of, cols, strict=True)},
+                            "n": np.ones(len(at), np.int64)})
 
-    kinds = ", ".join(f"{k} string" for k in names_of)
-    return docs.mapInArrow(run, f"lang string, {kinds}, n bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for b in _summed(parts(batches, known), ["lang", *names_of]):
+            words = pa.array(list(known), pa.string())
+            bucket = (_hashes(words.cast(pa.large_string())) % np.uint64(_SECOND)).astype(np.int32)
+            lang = b.column("lang").dictionary_encode()
+            col = [b.column(k).to_numpy() for k in names_of]
+            second = bucket[col[1]]
+            order = np.lexsort([second, col[0], lang.indices.to_numpy()])
+            key = np.stack([lang.indices.to_numpy()[order], col[0][order], second[order]])
+            first = np.flatnonzero(np.append(True, (np.diff(key) != 0).any(axis=0)))
+            told = [words.take(pa.array(c[order], pa.int32(), mask=c[order] < 0)) for c in col[1:]]
+            rest = pa.StructArray.from_arrays([*told, b.column("n").take(pa.array(order))], [*names_of[1:], "n"])
+            yield pa.RecordBatch.from_arrays([
+                b.column("lang").take(pa.array(order[first])), words.take(pa.array(key[1][first])),
+                pa.array(key[2][first], pa.int32()),
+                pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), rest)],
+                ["lang", "w1", "bucket", "rest"])
+
+    kinds = ", ".join(f"{k}: string" for k in names_of[1:])
+    return docs.mapInArrow(run, f"lang string, w1 string, bucket int, rest array<struct<{kinds}, n: bigint>>")
 
 
 def quicksort_counts(keys: np.ndarray, weight: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -242,41 +340,30 @@ def quicksort_counts(keys: np.ndarray, weight: np.ndarray, least: int) -> list[t
     return found
 
 
-def _range_counts(batches: Iterator[pa.RecordBatch], longest: int, least: int,
-                  schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held = list(batches)
-    t = pa.Table.from_batches(held) if held else None
-    if t is None or not len(t):
+def _part_counts(batches: Iterator[pa.RecordBatch], longest: int, least: int,
+                 schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The frequent phrases of one part of the routed suffixes."""
+    held = [b for b in batches if len(b)]
+    if not held:
         return
-    names = [f"w{k + 1}" for k in range(longest)]
+    t = pa.Table.from_batches(held).combine_chunks()
+    lists = t.column("rest").combine_chunks()
+    at = pa.array(np.repeat(np.arange(len(t)), pc.list_value_length(lists).to_numpy()))
+    rest = lists.flatten()
+    cols = [t.column("lang").take(at), t.column("w1").take(at)]
+    cols = [c.combine_chunks() for c in cols] + [rest.field(f"w{k + 1}") for k in range(1, longest)]
     # ids in the order of the words' bytes, one numbering for all columns
-    every = pa.chunked_array([c for k in ["lang", *names] for c in t.column(k).chunks]).unique().drop_null()
+    every = pa.chunked_array(cols).unique().drop_null()
     every = every.take(pc.sort_indices(every))
-    keys = np.stack([pc.fill_null(pc.index_in(t.column(k), every), -1).to_numpy().astype(np.int32)
-                     for k in ["lang", *names]], axis=1)
-    weight = t.column("n").to_numpy()
-    found = {}
-    for at, depth, size in quicksort_counts(keys, weight, least):
-        found[tuple(keys[at, :depth].tolist())] = size
-    for worst in (False, True):  # the first and the last suffix of this range
-        rows = np.arange(len(keys))
-        for d in range(longest + 1):
-            k = keys[rows, d]
-            rows = rows[k == (k.max() if worst else k.min())]
-        edge = keys[rows[0]]
-        rows = np.arange(len(keys))
-        for d in range(longest + 1):
-            if edge[d] < 0:
-                break
-            rows = rows[keys[rows, d] == edge[d]]
-            found.setdefault(tuple(edge[:d + 1].tolist()), int(weight[rows].sum()))
-    found = {k: n for k, n in found.items() if len(k) > 2}
+    keys = np.stack([pc.fill_null(pc.index_in(c, every), -1).to_numpy().astype(np.int32) for c in cols], axis=1)
+    found = [(keys[i, :depth], n) for i, depth, n in
+             quicksort_counts(keys, rest.field("n").to_numpy(), least) if depth > 2]
     text = every.to_pylist()
     yield pa.RecordBatch.from_arrays([
-        pa.array([text[k[0]] for k in found], pa.string()),
-        pa.array([" ".join(text[i] for i in k[1:]) for k in found], pa.string()),
-        pa.array([len(k) - 1 for k in found], pa.int32()),
-        pa.array(list(found.values()), pa.int64())], schema=schema)
+        pa.array([text[k[0]] for k, _ in found], pa.string()),
+        pa.array([" ".join(text[i] for i in k[1:]) for k, _ in found], pa.string()),
+        pa.array([len(k) - 1 for k, _ in found], pa.int32()),
+        pa.array([n for _, n in found], pa.int64())], schema=schema)
 
 
 def frequent_phrases(docs: DataFrame, words: DataFrame, longest: int, least: int) -> DataFrame:
@@ -285,19 +372,15 @@ def frequent_phrases(docs: DataFrame, words: DataFrame, longest: int, least: int
     spark = docs.sparkSession
     frequent = words.filter(F.col("f") >= least)
     seen = words.agg(F.sum("f").alias("n")).first()["n"] or 0
-    bits = _bits_for(8 * frequent.count())
-    may = spark.sparkContext.broadcast(_bitmap(_bucket_rows(frequent, bits), bits))
-    bits = _bits_for(seen)
-    counted = pair_counts(docs, may, bits).filter(F.col("n") >= least)
-    both = spark.sparkContext.broadcast(_bitmap(counted, bits))
-    rows = save(suffixes(docs, may, both, longest), "suffixes")
-    names = ["lang", *[f"w{k + 1}" for k in range(longest)]]
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // _ROWS))
+    share = spark.sparkContext.broadcast
+    maps = [share(_word_bits(frequent, _bits_for(16 * frequent.count())))]
+    for _ in range(min(2, longest - 1)):
+        maps.append(share(_gram_bits(docs, maps, _bits_for(seen), least)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen // _WORDS))
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64())])
-    return rows.repartitionByRange(ranges, *names) \
-        .mapInArrow(lambda it: _range_counts(it, longest, least, schema),
-                    "lang string, phrase string, size int, f bigint") \
-        .groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    return suffixes(docs, maps, longest).repartition(parts, "lang", "w1", "bucket") \
+        .mapInArrow(lambda it: _part_counts(it, longest, least, schema),
+                    "lang string, phrase string, size int, f bigint")
 
 
 def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 5,
@@ -353,7 +436,12 @@ def _scored(found: DataFrame, counts: DataFrame, total: DataFrame) -> DataFrame:
 def top_collocations(df: DataFrame, first: int = 2000, **options) -> DataFrame:
     """The ``first`` collocations of each language by score, then a (both descending), then
     phrase, with their ``rank`` from 1: a report."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return collocations(df, **options).withColumn("rank", F.row_number().over(order).cast("long")) \
-        .filter(F.col("rank") <= first) \
+    best = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")
+    deal = F.pmod(F.xxhash64("phrase"), F.lit(_DEALS))
+    some = F.row_number().over(Window.partitionBy("lang", "deal").orderBy(*best))
+    # a language's first rows are among the first of its parts, which are found apart
+    few = collocations(df, **options).withColumn("deal", deal).withColumn("some", some) \
+        .filter(F.col("some") <= first)
+    return few.withColumn("rank", rank).filter(F.col("rank") <= first) \
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

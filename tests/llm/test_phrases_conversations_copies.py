@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import audits, conversations, copies, phrases
@@ -185,10 +186,9 @@ def made_texts(seed, n):
     return out
 
 
-@pytest.mark.parametrize("seed, rows_a_range", [(1, 2_000_000), (2, 5)])
-def test_phrases_made(spark, monkeypatch, seed, rows_a_range):
-    monkeypatch.setattr(phrases, "_ROWS", rows_a_range)  # many ranges: phrases cross their borders
-    monkeypatch.setattr(phrases, "_GROUP", 500)
+@pytest.mark.parametrize("seed, words_a_part", [(1, 32_000_000), (2, 400)])
+def test_phrases_made(spark, monkeypatch, seed, words_a_part):
+    monkeypatch.setattr(phrases, "_WORDS", words_a_part)  # many parts
     rows = made_texts(seed, 300)
     df = spark.createDataFrame([(*r, *EXTRA) for r in rows], "lang string, text string" + CLASH).repartition(5)
     for least in (3, 20):
@@ -203,6 +203,29 @@ def test_phrases_empty(spark):
     assert got(phrases.top_collocations(one)) == plain_phrases([("en", "a " * 5000)], 5, 100, 2000)
 
 
+def test_sums_that_go_out_in_pieces(monkeypatch):
+    monkeypatch.setattr(phrases, "_HELD", 10)
+    rnd = random.Random(4)
+    parts = [[(rnd.choice("abcdefghijklmnopqrst"), rnd.randint(1, 9)) for _ in range(7)] for _ in range(30)]
+    tables = (pa.table({"k": [k for k, _ in p], "n": [n for _, n in p]}) for p in parts)
+    got, want = collections.Counter(), collections.Counter()
+    for b in phrases._summed(tables, ["k"]):
+        keys = b.column("k").to_pylist()
+        assert len(keys) == len(set(keys))
+        for k, n in zip(keys, b.column("n").to_pylist()):
+            got[k] += n
+    for k, n in (x for p in parts for x in p):
+        want[k] += n
+    assert got == want
+    packed, want = collections.Counter(), collections.Counter()
+    for b in phrases._packed(iter([np.array([5, 70_000, 5]), np.arange(9), np.array([70_000])])):
+        for block, low, n in zip(*[c.to_pylist() for c in b.columns]):
+            for i, c in zip(np.frombuffer(low, "<u2"), np.frombuffer(n, "<u4")):
+                packed[(block << 16) + int(i)] += int(c)
+    want.update([5, 70_000, 5, *range(9), 70_000])
+    assert packed == want
+
+
 def test_quicksort_counts():
     rnd = np.random.default_rng(3)
     keys = rnd.integers(0, 4, (500, 5)).astype(np.int32)
