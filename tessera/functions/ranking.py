@@ -106,13 +106,13 @@ def positional_quantiles(df: DataFrame, value_col: str, qs: dict[str, float],
     return ranked.groupBy(*groups).agg(*aggs)
 
 
-def join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Inner join on ``groups`` in which null equals null."""
+def join_groups(df: DataFrame, per_group: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join (inner or left) on ``groups`` in which null equals null."""
     other = per_group.withColumnsRenamed({g: f"__{g}" for g in groups})
     cond = F.lit(True)
     for g in groups:
         cond = cond & df[g].eqNullSafe(other[f"__{g}"])
-    return df.join(other, cond).drop(*[f"__{g}" for g in groups])
+    return df.join(other, cond, how).drop(*[f"__{g}" for g in groups])
 
 
 def attach_totals(df: DataFrame, totals: DataFrame, groups: Sequence[str]) -> DataFrame:

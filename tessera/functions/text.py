@@ -82,3 +82,13 @@ def bigrams(arr: Column) -> Column:
 
 def uni_and_bigrams(arr: Column) -> Column:
     return F.concat(arr, bigrams(arr))
+
+
+def terms_sql(col: str) -> str:
+    """``uni_and_bigrams(tokens(col))`` as SQL text, for stages that are saved with a model."""
+    quoted = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    src, dst = accent_table()
+    low = f"translate(lower(coalesce(`{col}`, '')), {quoted(src)}, {quoted(dst)})"
+    toks = f"regexp_extract_all({low}, {quoted(TOKEN_PATTERN)}, 0)"
+    pairs = quoted(r"(?:^| )(?=(\S+ \S+))")
+    return f"concat({toks}, regexp_extract_all(array_join({toks}, ' '), {pairs}, 1))"

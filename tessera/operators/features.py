@@ -146,3 +146,12 @@ def override_by_class(df: DataFrame, classes: DataFrame, key: str, class_col: st
                 new = F.when(F.col("_class") == name, F.lit(values[c])).otherwise(new)
         out = out.withColumn(c, new)
     return out.drop("_class")
+
+
+#: The code points that Unicode counts as white space, as Python's ``str.strip`` does.
+WHITE_SPACE = "\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+
+
+def blank_text(col: str):
+    """Whether a text is null or holds nothing but white space of any script."""
+    return F.col(col).isNull() | ~F.rlike(F.col(col), F.lit(f"[^{WHITE_SPACE}]"))

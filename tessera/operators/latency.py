@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.ranking import positional_quantiles
+from tessera.functions.ranking import join_groups, positional_quantiles
 from tessera.functions.windows import epoch_us
 
 # Default client-library histogram buckets (seconds).
@@ -72,10 +72,11 @@ def outcome_share(df: DataFrame, outcome: str, groups: Sequence[str] = ()) -> Da
 def load_verdict(log: DataFrame, groups: Sequence[str], sla_ms: float, ok: str = "success",
                  lat: str = "latency_ms", min_success: float = 99.0) -> DataFrame:
     """PASS when success >= 99 % and P99 (of successful calls) < SLA; PARTIAL when
-    only the success rate holds; FAIL otherwise."""
+    only the success rate holds; FAIL otherwise.  A null group is a group; one without a
+    successful call has no P99."""
     sr = success_rate(log, groups, ok)
     p = latency_quantiles(log.where(F.col(ok)), groups, lat, {"p99": 0.99})
-    j = sr.join(p, list(groups), "left")
+    j = join_groups(sr, p, list(groups), "left")
     verdict = (F.when((F.col("success_rate") >= min_success) & (F.col("p99") < sla_ms), "PASS")
                .when(F.col("success_rate") >= min_success, "PARTIAL").otherwise("FAIL"))
     return j.select(*groups, "success_rate", "p99", verdict.alias("verdict"))
@@ -84,7 +85,7 @@ def load_verdict(log: DataFrame, groups: Sequence[str], sla_ms: float, ok: str =
 def method_comparison(log: DataFrame, method: str, lat: str = "latency_ms") -> DataFrame:
     s = latency_summary(log, [method], lat)
     q = latency_quantiles(log, [method], lat, {"p95": 0.95, "p99": 0.99})
-    return s.join(q, method)
+    return join_groups(s, q, [method], "left")
 
 
 def method_delta(log: DataFrame, method: str, a: str, b: str, target_ms: float,
@@ -108,22 +109,20 @@ def bucket_index(value_col: str, bounds: Sequence[float]):
 
 def histogram(log: DataFrame, groups: Sequence[str], value_col: str,
               bounds: Sequence[float] = DEFAULT_BUCKETS) -> DataFrame:
-    """Cumulative bucket counts ``le`` per group: each row is counted once in its
-    own bucket, then a running sum over at most len(bounds)+1 buckets."""
+    """Cumulative bucket counts ``le`` per group (a null group is one): one scan, one counter
+    per bucket and group."""
     les = [float(b) for b in bounds] + [float("inf")]
-    per = log.groupBy(*groups, bucket_index(value_col, bounds).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
-    full = (log.select(*groups).distinct()
-            .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(len(bounds))))))
-    full = full.join(per, [*groups, "_b"], "left").fillna(0, ["_c"])
-    w = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    le = F.element_at(F.array(*[F.lit(x) for x in les]), F.col("_b") + 1)
-    return full.select(*groups, le.alias("le"), F.sum("_c").over(w).alias("cumulative_count"))
+    at = bucket_index(value_col, bounds)
+    upto = [F.count(F.when(at <= i, 1)) for i in range(len(les))]
+    per = log.groupBy(*groups).agg(F.array(*[
+        F.struct(F.lit(x).alias("le"), c.alias("cumulative_count")) for x, c in zip(les, upto, strict=True)]).alias("_h"))
+    return per.select(*groups, F.inline("_h"))
 
 
 def histogram_quantile(hist: DataFrame, groups: Sequence[str], q: float) -> DataFrame:
     """Quantile from cumulative buckets with linear interpolation inside the bucket
     (lower edge 0 for the first bucket; the +Inf bucket answers its lower edge)."""
-    w = Window.partitionBy(*groups).orderBy("le")
+    w = Window.partitionBy(*groups).orderBy("le")  # at most len(bounds) + 1 rows a group
     h = (hist.withColumn("_prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
          .withColumn("_prev_c", F.coalesce(F.lag("cumulative_count").over(w), F.lit(0)))
          .withColumn("_total", F.max("cumulative_count").over(Window.partitionBy(*groups))))
@@ -137,6 +136,21 @@ def histogram_quantile(hist: DataFrame, groups: Sequence[str], q: float) -> Data
     return h.select(*groups, val.alias("quantile"))
 
 
+def bucket_quantile(counts: Sequence, bounds: Sequence[float], q: float):
+    """``histogram_quantile`` of one row that holds its buckets' counts as columns; null
+    where they are all 0."""
+    total = sum(counts[1:], counts[0])
+    rank, below, out = F.lit(q) * total, F.lit(0).cast("long"), None
+    edges = [0.0, *[float(b) for b in bounds]]
+    for i, c in enumerate(counts):
+        lo = F.lit(edges[i])
+        value = lo if i == len(bounds) else lo + (F.lit(edges[i + 1]) - lo) * (rank - below) / c
+        hit = (below + c >= rank) & (total > 0)
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+        below = below + c
+    return out
+
+
 def windowed_rates(log: DataFrame, ts: str, width: str, groups: Sequence[str] = (),
                    ok: str = "success", flag: str | None = None) -> DataFrame:
     """Per event-time window: requests per second, error ratio (and a flag ratio)."""
@@ -153,7 +167,22 @@ def windowed_rates(log: DataFrame, ts: str, width: str, groups: Sequence[str] =
 # Alert rules as (name, minutes it must hold, limit of the 99th
 # percentile in ms or None, limit of the error ratio or None).
 ALERT_RULES = (("p99_over_10ms_for_5m", 5, 10, None), ("p99_over_7ms_for_15m", 15, 7, None),
-               ("errors_over_5pct_for_1m", 1, None, 0.05))
+               ("errors_over_5pct_for_1m", 1, None, 0.05),
+               ("availability_under_99_9pct_for_5m", 5, None, 0.001),
+               ("inference_failures_over_1pct_for_5m", 5, None, 0.01))
+
+
+def rule_holds(latency_ms: str, ok: str, rules) -> list:
+    """One aggregate column per rule, of its name: whether it holds for the group."""
+    n = F.count(F.lit(1))
+    holds = []
+    for name, _, p99, errors in rules:
+        if p99 is not None:
+            within = F.count(F.when(F.col(latency_ms) <= p99, 1))
+            holds.append((within <= F.floor(n * 0.99)).alias(name))
+        else:
+            holds.append((F.count(F.when(~F.col(ok), 1)) / n > errors).alias(name))
+    return holds
 
 
 def alert_rules(log: DataFrame, ts: str, latency_ms: str, ok: str = "success", rules=ALERT_RULES) -> DataFrame:
@@ -165,15 +194,8 @@ def alert_rules(log: DataFrame, ts: str, latency_ms: str, ok: str = "success", r
     if no more than floor(0.99 n) requests are within it: a count, so no minute's
     latencies are gathered.  The runs are over minutes, not requests.
     """
-    n = F.count(F.lit(1))
-    holds = []
-    for name, _, p99, errors in rules:
-        if p99 is not None:
-            within = F.count(F.when(F.col(latency_ms) <= p99, 1))
-            holds.append((within <= F.floor(n * 0.99)).alias(name))
-        else:
-            holds.append((F.count(F.when(~F.col(ok), 1)) / n > errors).alias(name))
-    minutes = log.groupBy(F.window(ts, "1 minute").alias("_w")).agg(n.alias("requests"), *holds)
+    minutes = log.groupBy(F.window(ts, "1 minute").alias("_w")) \
+        .agg(F.count(F.lit(1)).alias("requests"), *rule_holds(latency_ms, ok, rules))
     out = None
     for name, periods, _, _ in rules:
         one = minutes.select(F.lit(name).alias("rule"), F.col("_w.start").alias("window_start"), "requests",

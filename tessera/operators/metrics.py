@@ -98,13 +98,60 @@ def roc_auc(df: DataFrame, label: str, score: str, groups: Sequence[str] = ()) -
     groups = list(groups)
     per = df.groupBy(*groups, score).agg(F.sum((F.col(label) == 1).cast("long")).alias("_pos"),
                                          F.sum((F.col(label) != 1).cast("long")).alias("_neg"))
+    return auc_of_counts(per, score, groups)
+
+
+def auc_of_counts(per: DataFrame, score: str, groups: Sequence[str], also: Sequence = ()) -> DataFrame:
+    """``roc_auc`` of one row per (groups, score) with its counts ``_pos`` and ``_neg``, and
+    the aggregates ``also`` over the same rows."""
     ranked = prefix_sums(per, score, ["_neg"], groups)
     part = ranked.groupBy(*groups).agg(
         F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") * 0.5)).alias("_u"),
-        F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
+        F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"), *also)
     auc = F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                  F.col("_u") / (F.col("n_pos") * F.col("n_neg")))
-    return part.select(*groups, "n_pos", "n_neg", auc.alias("auc"))
+    rest = [c for c in part.columns if c not in (*groups, "_u", "n_pos", "n_neg")]
+    return part.select(*groups, "n_pos", "n_neg", auc.alias("auc"), *rest)
+
+
+def slice_metrics(df: DataFrame, label: str, pred: str, score: str, slices: Sequence[Sequence[str]]) -> DataFrame:
+    """Binary metrics and AUC of every slice of every list of columns in ``slices`` (an empty
+    list: all rows), in one scan: (slice, slice_value, n, tp, fp, fn, tn, precision, recall, f1, auc).
+
+    GROUPING SETS reduce the rows to one per (list, values, score), from which confusion
+    counts and AUC follow.  ``slice`` names the columns (joined by a comma, '' for all rows);
+    ``slice_value`` is their values as an array of strings.  A null value is a slice of its own: rows
+    are told apart by the grouping's number, not by nulls.
+    """
+    y, p = F.col(label) == 1, F.col(pred) == 1
+    names = list(dict.fromkeys(c for s in slices for c in s))
+    base = df.select(*[F.col(c).cast("string").alias(f"_s{i}") for i, c in enumerate(names)],
+                     F.col(score).alias("_score"), F.coalesce(y, F.lit(False)).alias("_y"),
+                     F.coalesce(p, F.lit(False)).alias("_p"))
+    column = {c: f"_s{i}" for i, c in enumerate(names)}
+    sets = [[*[F.col(column[c]) for c in s], F.col("_score")] for s in slices]
+    n = lambda c: F.sum(c.cast("long"))
+    per = base.groupingSets(sets, *[F.col(column[c]) for c in names], F.col("_score")).agg(
+        F.grouping_id().alias("_set"), n(F.col("_y")).alias("_pos"), n(~F.col("_y")).alias("_neg"),
+        n(F.col("_y") & F.col("_p")).alias("_tp"), n(~F.col("_y") & F.col("_p")).alias("_fp"))
+    # the grouping's number has a bit for each column that the set leaves out, the score's last
+    number = {sum(0 if c in s else 1 << len(names) - i for i, c in enumerate(names)): s for s in slices}
+    if len(number) < len(slices):
+        raise ValueError("slices repeat a set of columns")
+    tag, value = None, None
+    for k, s in number.items():
+        is_set = F.col("_set") == k
+        text, values = F.lit(",".join(s)), F.array(*[F.col(column[c]) for c in s]).cast("array<string>")
+        tag = F.when(is_set, text) if tag is None else tag.when(is_set, text)
+        value = F.when(is_set, values) if value is None else value.when(is_set, values)
+    told = per.select(tag.alias("slice"), value.alias("slice_value"), "_score", "_pos", "_neg", "_tp", "_fp")
+    out = auc_of_counts(told, "_score", ["slice", "slice_value"],
+                        [F.sum("_tp").alias("tp"), F.sum("_fp").alias("fp")])
+    out = out.withColumn("fn", F.col("n_pos") - F.col("tp")).withColumn("tn", F.col("n_neg") - F.col("fp"))
+    prec, rec = _div(F.col("tp"), F.col("tp") + F.col("fp")), _div(F.col("tp"), F.col("n_pos"))
+    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
+    return out.select("slice", "slice_value", (F.col("n_pos") + F.col("n_neg")).alias("n"), "tp", "fp", "fn", "tn",
+                      prec.alias("precision"), rec.alias("recall"), f1.alias("f1"), "auc")
 
 
 def scorer_agreement(a: DataFrame, b: DataFrame, key: str, score: str, cut: float = 0.5) -> DataFrame:

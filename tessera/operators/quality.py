@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.ranking import attach_totals, interpolated_quantiles, positional_quantiles, prefix_sums  # noqa: F401
+from tessera.functions.ranking import (
+    attach_totals, interpolated_quantiles, join_groups, positional_quantiles, prefix_sums,
+)
 
 EPS = 1e-4
 
@@ -39,57 +41,61 @@ def bin_bounds(ref: DataFrame, feature_col: str, value_col: str, bins: int = 10)
     return q.select(feature_col, F.array(*[F.col(f"q{i}") for i in range(1, bins)]).alias("bounds"))
 
 
-def psi(ref: DataFrame, cur: DataFrame, feature_col: str, value_col: str, bins: int = 10) -> DataFrame:
-    """Population stability index per feature over reference-decile bins; an empty
-    bin's share is floored at 1e-4."""
-    bounds = bin_bounds(ref, feature_col, value_col, bins)
+def _value_counts(ref: DataFrame, cur: DataFrame, feature_col: str, value_col: str) -> DataFrame:
+    """(feature, value, n_r, n_c): both sides in one reduction, so that raw rows are
+    shuffled once and combined before it."""
+    u = (ref.select(feature_col, value_col, F.lit(1).alias("_r"), F.lit(0).alias("_c"))
+         .unionByName(cur.select(feature_col, value_col, F.lit(0).alias("_r"), F.lit(1).alias("_c"))))
+    return u.groupBy(feature_col, value_col).agg(F.sum("_r").alias("n_r"), F.sum("_c").alias("n_c"))
 
-    def shares(df, side):
-        b = df.join(bounds, feature_col).withColumn(
-            "bin", F.size(F.filter("bounds", lambda x: x < F.col(value_col))))
-        c = b.groupBy(feature_col, "bin").agg(F.count(F.lit(1)).alias(f"n_{side}"))
-        t = c.groupBy(feature_col).agg(F.sum(f"n_{side}").alias(f"t_{side}"))
-        return c.join(t, feature_col)
 
-    grid = bounds.select(feature_col, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    r, c = shares(ref, "r"), shares(cur, "c")
-    j = grid.join(r, [feature_col, "bin"], "left").join(c, [feature_col, "bin"], "left")
-    tr = F.max("t_r").over(Window.partitionBy(feature_col))
-    tc = F.max("t_c").over(Window.partitionBy(feature_col))
-    j = j.withColumn("p", F.greatest(F.coalesce(F.col("n_r"), F.lit(0)) / tr, F.lit(EPS))) \
-         .withColumn("q", F.greatest(F.coalesce(F.col("n_c"), F.lit(0)) / tc, F.lit(EPS)))
-    return j.groupBy(feature_col).agg(F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi"))
+def psi(ref: DataFrame, cur: DataFrame, feature_col: str, value_col: str, bins: int = 10) -> DataFrame:
+    """Population stability index per feature (a null feature is one) over reference-decile
+    bins; an empty bin's share is floored at 1e-4."""
+    bounds = bin_bounds(ref, feature_col, value_col, bins)
+    binned = join_groups(_value_counts(ref, cur, feature_col, value_col), bounds, [feature_col]) \
+        .withColumn("bin", F.size(F.filter("bounds", lambda x: x < F.col(value_col))))
+    in_bin = lambda side: [F.sum(F.when(F.col("bin") == i, F.col(side)).otherwise(0)) for i in range(bins)]
+    per = binned.groupBy(feature_col).agg(F.array(*in_bin("n_r")).alias("r"), F.array(*in_bin("n_c")).alias("c"))
+    total = lambda side: F.aggregate(side, F.lit(0).cast("long"), lambda a, x: a + x)
+    share = lambda x, n: F.greatest(F.try_divide(x, n), F.lit(EPS))
+    term = F.zip_with("r", "c", lambda r, c: (share(c, F.col("_tc")) - share(r, F.col("_tr")))
+                      * F.log(share(c, F.col("_tc")) / share(r, F.col("_tr"))))
+    return per.withColumn("_tr", total("r")).withColumn("_tc", total("c")) \
+        .select(feature_col, F.aggregate(term, F.lit(0.0), lambda a, x: a + x).alias("psi"))
 
 
 def ks_statistic(ref: DataFrame, cur: DataFrame, feature_col: str, value_col: str) -> DataFrame:
     """Two-sample KS: max |F_ref - F_cur| over the union of values (exact,
-    cumulative counts through distributed prefix sums)."""
-    u = (ref.select(feature_col, value_col, F.lit(1).alias("_a"), F.lit(0).alias("_b"))
-         .unionByName(cur.select(feature_col, value_col, F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
-    per = u.groupBy(feature_col, value_col).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    ranked = prefix_sums(per, value_col, ["_a", "_b"], [feature_col])
-    tot = per.groupBy(feature_col).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
-    j = ranked.join(tot, feature_col)
-    d = F.abs(F.col("_a_upto") / F.col("_na") - F.col("_b_upto") / F.col("_nb"))
+    cumulative counts through distributed prefix sums); a null feature is one."""
+    per = _value_counts(ref, cur, feature_col, value_col)
+    ranked = prefix_sums(per, value_col, ["n_r", "n_c"], [feature_col])
+    tot = per.groupBy(feature_col).agg(F.sum("n_r").alias("_na"), F.sum("n_c").alias("_nb"))
+    j = join_groups(ranked, tot, [feature_col])
+    d = F.abs(F.try_divide(F.col("n_r_upto"), F.col("_na")) - F.try_divide(F.col("n_c_upto"), F.col("_nb")))
     return j.groupBy(feature_col).agg(F.max(d).alias("ks"))
 
 
 def mean_shift(ref: DataFrame, cur: DataFrame, feature_col: str, value_col: str, k: float = 3.0) -> DataFrame:
+    """Shift of the mean in standard deviations of the reference, per feature of both sides
+    (a null feature is one)."""
     r = ref.groupBy(feature_col).agg(F.avg(value_col).alias("ref_mean"), F.stddev_samp(value_col).alias("ref_std"))
     c = cur.groupBy(feature_col).agg(F.avg(value_col).alias("cur_mean"))
-    j = r.join(c, feature_col)
-    shift = F.abs(F.col("cur_mean") - F.col("ref_mean")) / F.col("ref_std")
-    return j.select(feature_col, "ref_mean", "ref_std", "cur_mean", shift.alias("shift_sd"),
-                    (shift > k).alias("alert"))
+    shift = F.try_divide(F.abs(F.col("cur_mean") - F.col("ref_mean")), F.col("ref_std"))
+    return join_groups(r, c, [feature_col]).select(
+        feature_col, "ref_mean", "ref_std", "cur_mean", shift.alias("shift_sd"), (shift > k).alias("alert"))
 
 
 def outliers(df: DataFrame, group: str, value: str, id_col: str, z: float = 3.0) -> DataFrame:
-    """z-score and IQR-fence flags per row against its group's statistics."""
+    """z-score and IQR-fence flags per row against its group's statistics: a flag for every
+    row, those of a null group included; a null value is no outlier of its z-score and has
+    no answer to the fence."""
     st = df.groupBy(group).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
     q = interpolated_quantiles(df, value, {"_q1": 0.25, "_q3": 0.75}, [group])
-    j = df.join(st, group).join(q, group)
+    j = join_groups(df, join_groups(st, q, [group], "left"), [group])
     iqr = F.col("_q3") - F.col("_q1")
-    zf = F.when(F.col("_s") > 0, F.abs(F.col(value) - F.col("_m")) / F.col("_s") > z).otherwise(F.lit(False))
+    zf = F.when(F.col("_s") > 0, F.coalesce(F.abs(F.col(value) - F.col("_m")) / F.col("_s") > z, F.lit(False))) \
+        .otherwise(F.lit(False))
     fence = (F.col(value) < F.col("_q1") - 1.5 * iqr) | (F.col(value) > F.col("_q3") + 1.5 * iqr)
     return j.select(id_col, group, value, zf.alias("z_outlier"), fence.alias("iqr_outlier"))
 

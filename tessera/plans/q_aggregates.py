@@ -25,12 +25,16 @@ def class_balance(spark, sf_dir):
     return pr.class_balance(ad.transactions(Tables(spark, sf_dir)), "is_fraud")
 
 
-@query("label_distribution", sql=S.with_(S.SENTIMENT) + """
+@query("label_distribution", sql=S.with_(S.SENTIMENT, S.SECOND_CORPUS) + """
 SELECT category, CASE category WHEN -1 THEN 'Negative' WHEN 0 THEN 'Neutral' WHEN 1 THEN 'Positive' END AS name,
        count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct
-FROM sentiment WHERE clean_text IS NOT NULL AND category IS NOT NULL GROUP BY category""")
+FROM (SELECT clean_text AS t, category FROM sentiment UNION ALL SELECT clean_comment, category FROM comments)
+WHERE t IS NOT NULL AND category IS NOT NULL GROUP BY category""")
 def label_distribution(spark, sf_dir):
-    s = ad.sentiment_texts(Tables(spark, sf_dir)).na.drop("any")
+    """Labels of both corpora together, rows without text or label left out."""
+    t = Tables(spark, sf_dir)
+    s = ad.sentiment_texts(t).select(F.col("clean_text").alias("text"), "category").unionByName(
+        ad.second_corpus(t).select(F.col("clean_comment").alias("text"), "category")).na.drop("any")
     s = s.withColumn("category", F.col("category").cast("int"))
     return pr.value_counts(s, "category").withColumn("name", ft.label_name("category"))
 

@@ -277,7 +277,7 @@ SELECT conv_id, turn, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\x09
 FROM conversations""")
 def validate_text_requests(spark, sf_dir):
     c = Tables(spark, sf_dir).conversations
-    blank = F.col("text").isNull() | ~F.rlike("text", F.lit(r"[^\x09-\x0D\x20]"))
+    blank = ft.blank_text("text")
     return c.select("conv_id", "turn", F.when(blank, "rejected").otherwise("ok").alias("status"))
 
 

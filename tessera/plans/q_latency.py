@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.ranking import join_groups
 from tessera.operators import latency as lt
+from tessera.operators import sketches as sk
 from tessera.plans import sql as S
 from tessera.plans.registry import query
+from tessera.session import saved
 from tessera.sources import adapters as ad
 from tessera.sources.tables import Tables
 
@@ -162,7 +165,7 @@ def windowed_rates(spark, sf_dir):
     return lt.windowed_rates(log(spark, sf_dir), "ts", "1 hour", ["endpoint"])
 
 
-@query("histogram_quantile", sql=LOG + """
+QUANTILE_SQL = LOG + """
 , b AS (SELECT endpoint, date_trunc('day', ts) AS day,
                list_count(list_filter([0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0],
                                       lambda x: x < latency_ms / 1000.0)) AS i
@@ -180,7 +183,10 @@ hit AS (SELECT *, row_number() OVER (PARTITION BY endpoint, day ORDER BY i) AS r
         WHERE cc >= 0.95 * total AND total > 0)
 SELECT endpoint, day AS window_start,
        CASE WHEN hi = 'inf'::DOUBLE THEN lo ELSE lo + (hi - lo) * (0.95 * total - (cc - c)) / c END AS quantile
-FROM hit WHERE r = 1""")
+FROM hit WHERE r = 1"""
+
+
+@query("histogram_quantile", sql=QUANTILE_SQL)
 def histogram_quantile(spark, sf_dir):
     """Daily P95 per endpoint from cumulative buckets, interpolated inside the bucket."""
     lg = log(spark, sf_dir).withColumn("latency_s", F.col("latency_ms") / 1000.0) \
@@ -205,7 +211,7 @@ def sustained_alerts(spark, sf_dir):
         .select("window_start", "requests", "error_ratio", "sustained")
 
 
-def _alert_sql() -> str:
+def alert_sql() -> str:
     parts = []
     for name, periods, p99, errors in lt.ALERT_RULES:
         test = (f"count(*) FILTER (latency_ms <= {p99}) <= floor(count(*) * 0.99)" if p99 is not None
@@ -219,7 +225,7 @@ FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, count(*) AS req
     return LOG + " UNION ALL ".join(parts)
 
 
-@query("alert_rules", sql=_alert_sql())
+@query("alert_rules", sql=alert_sql())
 def alert_rules(spark, sf_dir):
     """The stated alerts on minute windows: slow for 5 and 15 minutes, failing for one."""
     return lt.alert_rules(log(spark, sf_dir), "ts", "latency_ms")
@@ -237,3 +243,57 @@ def minute_rates(spark, sf_dir):
     fraud = ad.transactions(t, with_velocity=False).select(
         F.col("transaction_id").cast("long").alias("request_id"), (F.col("is_fraud") == 1).alias("fraud"))
     return lt.windowed_rates(log(spark, sf_dir).join(fraud, "request_id"), "ts", "5 minutes", flag="fraud")
+
+
+def rates_sql(minutes: int) -> str:
+    return LOG + f"""
+SELECT time_bucket(INTERVAL {minutes} MINUTE, ts) AS window_start, endpoint, count(*) AS requests,
+       round(count(*) / {60.0 * minutes}, 6) AS rps, round(avg(CASE WHEN success THEN 0.0 ELSE 1.0 END), 6) AS error_ratio
+FROM request_log GROUP BY 1, 2"""
+
+
+@query("rates_1m", sql=rates_sql(1))
+def rates_1m(spark, sf_dir):
+    """Requests per second and error ratio per endpoint and minute."""
+    return lt.windowed_rates(log(spark, sf_dir), "ts", "1 minute", ["endpoint"])
+
+
+RANK_ERROR = 0.02
+SKETCH_QS = (0.5, 0.95, 0.99)
+
+
+@query("sketch_quantiles", sql=LOG + f"""
+SELECT days, endpoint, period, count(*) AS requests, q.q AS q, true AS within
+FROM (SELECT *, d.d AS days, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // d.d AS BIGINT) AS period
+      FROM request_log, (VALUES (1), (7), (30)) d(d)), (VALUES {", ".join(f"({q})" for q in SKETCH_QS)}) q(q)
+GROUP BY ALL""")
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles of days, weeks and months from sketches kept by endpoint and hour (read once as
+    rows, then never again), each held against its exact rank among the period's requests."""
+    calls = log(spark, sf_dir)
+    kept = saved(sk.hourly(calls, "ts", ["endpoint"], "latency_ms", "user_id"), "hourly-sketches")
+    day = lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
+    spans = F.explode(F.array(*[F.lit(d) for d in (1, 7, 30)])).alias("days")
+    period = lambda c: F.floor(day(c) / F.col("days")).cast("long").alias("period")
+    told = sk.merged(kept.select("*", spans).select("*", period("hour")), ["days", "endpoint", "period"]) \
+        .select("days", "endpoint", "period", F.inline(F.array(*[
+            F.struct(F.lit(q).alias("q"), sk.quantile(q).alias("value")) for q in SKETCH_QS])))
+    rows = calls.select("endpoint", "ts", "latency_ms", spans).select("*", period("ts"))
+    # a value's rank is anywhere between the shares of rows below it and up to it
+    held = rows.join(told, ["days", "endpoint", "period"]).groupBy("days", "endpoint", "period", "q").agg(
+        F.count(F.lit(1)).alias("requests"), F.avg((F.col("latency_ms") < F.col("value")).cast("double")).alias("under"),
+        F.avg((F.col("latency_ms") <= F.col("value")).cast("double")).alias("upto"))
+    within = (F.col("under") - RANK_ERROR <= F.col("q")) & (F.col("q") <= F.col("upto") + RANK_ERROR)
+    return held.select("days", "endpoint", "period", "requests", "q", within.alias("within"))
+
+
+@query("sketch_users", sql=LOG + """
+SELECT endpoint, count(*) AS requests, true AS within FROM request_log GROUP BY endpoint""")
+def sketch_users(spark, sf_dir):
+    """Distinct users per endpoint over all time from the hours' sketches, within 5 % of exact."""
+    calls = log(spark, sf_dir)
+    est = sk.merged(sk.hourly(calls, "ts", ["endpoint"], "latency_ms", "user_id"), ["endpoint"]) \
+        .select("endpoint", F.col("n").alias("requests"), sk.distinct().alias("users"))
+    exact = calls.groupBy("endpoint").agg(F.count_distinct("user_id").alias("exact"))
+    return join_groups(est, exact, ["endpoint"]).select(
+        "endpoint", "requests", (F.abs(F.col("users") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within"))

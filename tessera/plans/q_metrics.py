@@ -37,7 +37,7 @@ SENT_SQL = S.with_(S.SENTIMENT) + """
 
 
 def fraud_scored(t):
-    tx = ad.transactions(t)
+    tx = ad.transactions(t, with_velocity=False)
     score = F.round(F.col("amount") / (F.col("amount") + 100.0), 6)
     return tx.select("transaction_id", "is_fraud", "foreign_transaction", "merchant_category",
                      score.alias("score"), (score > 0.5).cast("int").alias("predicted"))
@@ -207,20 +207,13 @@ a AS (SELECT slice, slice_value, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
              THEN sum(pos * (neg_below + neg * 0.5)) / (sum(pos) * sum(neg)) END AS auc FROM cum GROUP BY ALL),
 m AS (""" + _bin_select("b") + """)
 SELECT m.slice, m.slice_value, m.tp + m.fp + m.fn + m.tn AS n, m.precision, m.recall, m.f1, a.auc
-FROM m JOIN a USING (slice, slice_value)""")
+FROM m JOIN a ON m.slice = a.slice AND m.slice_value IS NOT DISTINCT FROM a.slice_value""")
 def slice_metrics(spark, sf_dir):
-    """Binary metrics and AUC per slice (foreign transactions, merchant)."""
-    sc = fraud_scored(Tables(spark, sf_dir))
-    out = None
-    for name in ("foreign_transaction", "merchant_category"):
-        s = sc.withColumn("slice", F.lit(name)).withColumn("slice_value", F.col(name).cast("string"))
-        b = mt.binary_metrics(s, "is_fraud", "predicted", ["slice", "slice_value"])
-        a = mt.roc_auc(s, "is_fraud", "score", ["slice", "slice_value"])
-        part = b.join(a, ["slice", "slice_value"]).select(
-            "slice", "slice_value", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"),
-            r6("precision").alias("precision"), r6("recall").alias("recall"), r6("f1").alias("f1"), "auc")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Binary metrics and AUC per slice (foreign transactions, merchant): one scan."""
+    m = mt.slice_metrics(fraud_scored(Tables(spark, sf_dir)), "is_fraud", "predicted", "score",
+                         [["foreign_transaction"], ["merchant_category"]])
+    return m.select("slice", F.get("slice_value", F.lit(0)).alias("slice_value"), "n",
+                    *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "auc")
 
 
 COST_PER_1K = 0.25

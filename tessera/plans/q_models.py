@@ -21,21 +21,32 @@ from tessera.plans.registry import query
 from tessera.session import scratch_path
 from tessera.sources import adapters as ad
 from tessera.sources.schemas import FRAUD_MODEL_SCHEMA
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, table_path
 
 FEATURES = [f.name for f in FRAUD_MODEL_SCHEMA.fields]
 # Boosting rounds and L-BFGS iterations of the two models.
 GBT_ROUNDS = 100
 SENT_ITERS = 1000
-# Fits of this session, by application and folder: four queries use one model.
-_FITTED: dict[tuple, object] = {}
+# The last fit of each kind in this session, with what it was fitted on: four queries use one model.
+_FITTED: dict[str, tuple[tuple, object]] = {}
 
 
-def _once(kind: str, t: Tables, fit):
-    key = (kind, t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = fit()
-    return _FITTED[key]
+def _stamp(t: Tables, tables) -> tuple:
+    """The application, and name, size and time of every file that the tables consist of."""
+    jvm, out = t.spark.sparkContext._jvm, []
+    for name in tables:
+        p = jvm.org.apache.hadoop.fs.Path(table_path(t.sf_dir, name))
+        fs = p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+        out += [(str(x.getPath()), x.getLen(), x.getModificationTime()) for x in fs.listStatus(p)]
+    return (t.spark.sparkContext.applicationId, *sorted(out))
+
+
+def _once(kind: str, t: Tables, tables, fit):
+    """The model of ``fit``, fitted anew whenever a file of ``tables`` has changed."""
+    key = _stamp(t, tables)
+    if _FITTED.get(kind, (None, None))[0] != key:
+        _FITTED[kind] = (key, fit())
+    return _FITTED[kind][1]
 
 
 def _fraud_split(t):
@@ -48,7 +59,7 @@ def _fraud_split(t):
 
 def _fit_fraud(t):
     split, codes = _fraud_split(t)
-    model = _once("fraud", t, lambda: md.fraud_estimator(FEATURES, max_iter=GBT_ROUNDS).fit(
+    model = _once("fraud", t, ["events"], lambda: md.fraud_estimator(FEATURES, max_iter=GBT_ROUNDS).fit(
         split.where(F.col("split") == "train")))
     return model, split, codes
 
@@ -149,7 +160,7 @@ def _sentiment_fit(t):
         total_weight = train.agg(F.sum("weight")).first()[0]  # one scalar for the penalty scale
         return md.sentiment_model(total_weight, max_iter=SENT_ITERS).fit(train)
 
-    return _once("sentiment", t, fit), vec, vocab
+    return _once("sentiment", t, ["documents", "labels", "conversations"], fit), vec, vocab
 
 
 @query("train_sentiment")
@@ -200,6 +211,33 @@ def sentiment_response(spark, sf_dir):
     return out.withColumn("response", F.to_json(F.struct("request_id", "sentiment", "confidence", "probabilities")))
 
 
+@query("sentiment_roundtrip", sql="SELECT item_id, true AS same, true AS whole FROM benchmark")
+def sentiment_roundtrip(spark, sf_dir):
+    """The text model from raw text to probabilities as one artefact, saved, loaded and applied to
+    unseen texts: as before saving, and as the fitted stages one by one (to 1e-9)."""
+    t = Tables(spark, sf_dir)
+    model, _, vocab = _sentiment_fit(t)
+    whole = md.text_pipeline(vocab, "text", model)
+    loaded = md.save_and_load(whole, scratch_path(spark, "sentiment-model"))
+    told = lambda df, name: df.select("item_id", vector_to_array("probability").alias(name))
+    steps = model.transform(md.tfidf_vectors(t.benchmark, "item_id", "text", vocab, stop_words=SENT["stop_words"])[0])
+    both = told(whole.transform(t.benchmark), "a").join(told(loaded.transform(t.benchmark), "b"), "item_id") \
+        .join(told(steps, "c"), "item_id")
+    near = F.forall(F.arrays_zip("a", "c"), lambda x: F.abs(x["a"] - x["c"]) < 1e-9)
+    return both.select("item_id", (F.col("a") == F.col("b")).alias("same"), near.alias("whole"))
+
+
+@query("fit_log")
+def fit_log(spark, sf_dir):
+    """The run log of our own fraud fit: its parameters and its metrics on the held-out rows."""
+    model, _, _ = _fit_fraud(Tables(spark, sf_dir))
+    trees = model.stages[-1]
+    params = {p.name: v for p, v in trees.extractParamMap().items()
+              if p.name in ("maxDepth", "stepSize", "maxIter", "seed", "lossType", "subsamplingRate")}
+    return md.run_rows(trees.uid, {**params, "features": ",".join(FEATURES), "trees": trees.getNumTrees},
+                       train_fraud(spark, sf_dir))
+
+
 @query("run_metrics_long", sql=S.with_(S.RUN_LOG) + """
 SELECT run_id, experiment, 'metric' AS "key", CAST(metric AS VARCHAR) AS "value" FROM run_log
 UNION ALL SELECT run_id, experiment, 'status', status FROM run_log

@@ -20,11 +20,11 @@ START = "2023-11-21 00:00:00"
 TTL_DAYS = 365
 
 
-def transactions_in_range(t: Tables):
+def transactions_in_range(t: Tables, start: str = START, end: str = AS_OF):
     """Transactions of the window and of the 24 h before it, which their velocity
     looks back on: the time filter reaches the scan."""
-    lo = F.lit(START).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(24))
-    e = t.events.where((F.col("ts") >= lo) & (F.col("ts") <= F.lit(AS_OF).cast("timestamp_ntz")))
+    lo = F.lit(start).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(24))
+    e = t.events.where((F.col("ts") >= lo) & (F.col("ts") <= F.lit(end).cast("timestamp_ntz")))
     return ad.transactions_from(e)
 
 

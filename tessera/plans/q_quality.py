@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.ranking import join_groups
 from tessera.operators import latency as lt
 from tessera.operators import metrics as mt
 from tessera.operators import quality as qa
@@ -121,7 +122,7 @@ FROM psi JOIN ks USING (feature)""")
 def drift_report(spark, sf_dir):
     """All monitored columns: PSI, KS, a drift flag, and the share of drifted columns."""
     ref, cur = _sides(Tables(spark, sf_dir))
-    j = qa.psi(ref, cur, "feature", "v", BINS).join(qa.ks_statistic(ref, cur, "feature", "v"), "feature")
+    j = join_groups(qa.psi(ref, cur, "feature", "v", BINS), qa.ks_statistic(ref, cur, "feature", "v"), ["feature"])
     j = j.withColumn("drifted", (F.col("psi") > 0.2) | (F.col("ks") > 0.1))
     j = qa.share(j, "drifted")
     return j.select("feature", r6("psi").alias("psi"), r6("ks").alias("ks"), "drifted",
@@ -150,7 +151,7 @@ def low_confidence(spark, sf_dir):
 
 
 def _weekly_f1(t):
-    tx = ad.transactions(t)
+    tx = ad.transactions(t, with_velocity=False)
     score = F.round(F.col("amount") / (F.col("amount") + 100.0), 6)
     sc = tx.select(F.window("timestamp", "7 days").start.alias("week"), "is_fraud",
                    (score > 0.5).cast("int").alias("predicted"))
@@ -195,7 +196,7 @@ def feature_freshness(spark, sf_dir):
 SELECT t.transaction_id, t.merchant_category, t.amount,
        CASE WHEN st.s > 0 THEN abs(t.amount - st.m) / st.s > 3 ELSE false END AS z_outlier,
        (t.amount < st.q1 - 1.5 * (st.q3 - st.q1) OR t.amount > st.q3 + 1.5 * (st.q3 - st.q1)) AS iqr_outlier
-FROM transactions t JOIN st USING (merchant_category)""")
+FROM transactions t JOIN st ON t.merchant_category IS NOT DISTINCT FROM st.merchant_category""")
 def outliers(spark, sf_dir):
     tx = ad.transactions(Tables(spark, sf_dir), with_velocity=False)
     return qa.outliers(tx, "merchant_category", "amount", "transaction_id")
@@ -249,20 +250,26 @@ p AS (SELECT endpoint, min(CASE WHEN pos = least(floor(n * 0.99), n - 1) THEN la
         SELECT endpoint, latency_ms, row_number() OVER (PARTITION BY endpoint ORDER BY latency_ms) - 1 AS pos,
                count(*) OVER (PARTITION BY endpoint) AS n FROM request_log WHERE success) GROUP BY endpoint)
 SELECT sr.endpoint, sr.error_rate, p.p99, round((last.prev_f1 - last.f1) / last.prev_f1, 6) AS f1_drop,
-       (sr.error_rate > 5 OR p.p99 > 10 OR (last.prev_f1 - last.f1) / last.prev_f1 > 0.05) AS rollback
-FROM sr JOIN p USING (endpoint), last""")
+       (sr.error_rate > 5 OR coalesce(p.p99 > 10, false) OR coalesce((last.prev_f1 - last.f1) / last.prev_f1 > 0.05, false)) AS rollback
+FROM sr LEFT JOIN p ON sr.endpoint IS NOT DISTINCT FROM p.endpoint LEFT JOIN last ON true""")
 def rollback_triggers(spark, sf_dir):
     """Roll back when error rate > 5 %, P99 > 10 ms, or F1 fell > 5 % week over week."""
     t = Tables(spark, sf_dir)
-    log = ad.request_log(t)
-    sr = lt.success_rate(log, ["endpoint"]).select("endpoint", F.round(100.0 - F.col("success_rate"), 6).alias("error_rate"))
-    p = lt.latency_quantiles(log.where("success"), ["endpoint"], qs={"p99": 0.99})
     wk = _weekly_f1(t)
     last = wk.orderBy(F.col("week").desc()).limit(1).select(
         r6((F.col("prev_f1") - F.col("f1")) / F.col("prev_f1")).alias("f1_drop"),
         ((F.col("prev_f1") - F.col("f1")) / F.col("prev_f1") > 0.05).alias("_f1_bad"))
-    j = qa.attach_totals(sr.join(p, "endpoint"), last, [])
-    rb = (F.col("error_rate") > 5) | (F.col("p99") > 10) | F.col("_f1_bad")
+    return rollback(ad.request_log(t), last)
+
+
+def rollback(log, last):
+    """Every endpoint of ``log``, also one whose requests all failed (no P99: the error rate
+    alone decides) and a null one; ``last`` holds one row of f1_drop and _f1_bad or none."""
+    sr = lt.success_rate(log, ["endpoint"]).select("endpoint", F.round(100.0 - F.col("success_rate"), 6).alias("error_rate"))
+    p = lt.latency_quantiles(log.where("success"), ["endpoint"], qs={"p99": 0.99})
+    j = qa.attach_totals(join_groups(sr, p, ["endpoint"], "left"), last, [])
+    bad = lambda c: F.coalesce(c, F.lit(False))
+    rb = (F.col("error_rate") > 5) | bad(F.col("p99") > 10) | bad(F.col("_f1_bad"))
     return j.select("endpoint", "error_rate", "p99", "f1_drop", rb.alias("rollback"))
 
 
@@ -326,10 +333,9 @@ def feature_lineage(spark, sf_dir):
     """Feature -> models that read it: each model's inputs (the fraud model's
     eight columns, the fitted vocabularies of the two text models) as
     (model, feature) rows, grouped by feature."""
-    from tessera.plans.q_text import book_index, sentiment_vocab
+    from tessera.plans.q_text import book_vocabulary, sentiment_vocab
     t = Tables(spark, sf_dir)
-    _, _, bv, _ = book_index(t)
-    _, _, sv, _ = (*sentiment_vocab(t), None)
+    bv, sv = book_vocabulary(t)[2], sentiment_vocab(t)[2]
     # the fraud model's inputs are its eight typed columns, whatever the vocabularies hold
     fraud = spark.createDataFrame([("fraud", f) for f in S.FEATURES], "model string, feature string")
     uses = (bv.select(F.lit("recommendation").alias("model"), F.col("term").alias("feature"))

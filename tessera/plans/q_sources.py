@@ -9,11 +9,12 @@ from pyspark.sql import types as T
 
 from tessera.operators import online as on
 from tessera.plans import sql as S
-from tessera.plans.q_online import AS_OF, START, snapshot
+from tessera.plans.q_online import AS_OF, START, live_snapshot, snapshot, transactions_in_range
 from tessera.plans.registry import query
 from tessera.session import scratch_path
 from tessera.sources import adapters as ad
 from tessera.sources import files as fs
+from tessera.sources import store as st
 from tessera.sources.schemas import ONLINE_USER_SCHEMA, TABLE_SCHEMAS
 from tessera.sources.tables import Tables, read_table, table_path
 
@@ -217,7 +218,7 @@ def partition_pruned_scan(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity",
         F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
-    path = fs.write_parquet(li.repartition("year", "month"), scratch_path(spark, "lineitem-ym"),
+    path = fs.write_parquet(li.hint("rebalance", "year", "month"), scratch_path(spark, "lineitem-ym"),
                             partition_by=["year", "month"])
     back = spark.read.schema("l_orderkey long, l_linenumber int, l_quantity double, year int, month int") \
         .parquet(path)
@@ -266,19 +267,48 @@ MID = "2024-01-10 00:00:00"
 @query("upsert_snapshot", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte(START, AS_OF)) + "SELECT * FROM snapshot")
 def upsert_snapshot(spark, sf_dir):
     """Snapshot up to MID, then upsert the batch (MID, AS_OF]: equals the snapshot at AS_OF."""
-    t = Tables(spark, sf_dir)
-    tx = ad.transactions(t)
+    old, new = _versions(Tables(spark, sf_dir))
     path = scratch_path(spark, "snapshot-v1")
-    # create-if-absent with the typed schema, then write version 1
-    fs.write_parquet(on.materialize_latest(tx, START, MID), path)
-    current = spark.read.parquet(path)
-    batch = on.materialize_latest(tx.where(F.col("timestamp") > F.lit(MID)), START, AS_OF)
-    merged = on.upsert_snapshot(current, batch, "user_id", "event_timestamp", ["created_timestamp"])
+    fs.write_parquet(old, path)
+    merged = on.upsert_snapshot(spark.read.parquet(path), new, "user_id", "event_timestamp", ["created_timestamp"])
     out = scratch_path(spark, "snapshot-v2")  # a new version, the old one stays readable
     fs.write_parquet(merged, out)
     return spark.read.parquet(out)
 
 
+def _versions(t):
+    """The snapshot at MID and the newest row per user of (MID, AS_OF], each from its own part of
+    the events: the time filter reaches both scans."""
+    old = on.materialize_latest(transactions_in_range(t, START, MID), START, MID)
+    later = transactions_in_range(t, MID, AS_OF).where(F.col("timestamp") > F.lit(MID).cast("timestamp_ntz"))
+    return old, on.materialize_latest(later, START, AS_OF)
+
+
+@query("upsert_bucketed", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte(START, AS_OF)) + "SELECT * FROM snapshot")
+def upsert_bucketed(spark, sf_dir):
+    """The same in a bucketed store: created empty with its schema, filled, then merged with the
+    batch without an exchange of the stored rows."""
+    old, new = _versions(Tables(spark, sf_dir))
+    store = st.create_if_absent(spark, st.version_name("online_store"), old.schema, "user_id")
+    order = ["event_timestamp", "created_timestamp"]
+    first = st.upsert(store, old, st.version_name("online_store"), "user_id", order)
+    return st.upsert(first, new, st.version_name("online_store"), "user_id", order)
+
+
+@query("lookup_bucketed", sql=S.with_(S.TRANSACTIONS, S.REQUESTS, S.snapshot_cte(START, AS_OF)) + """
+SELECT r.transaction_id, r.user_id, r.amount, s.amount AS store_amount,
+       s.velocity_last_24h AS store_velocity_last_24h, s.event_timestamp AS store_event_timestamp,
+       s.user_id IS NOT NULL AS store_hit
+FROM requests r LEFT JOIN snapshot s ON r.user_id = s.user_id""")
+def lookup_bucketed(spark, sf_dir):
+    """Lookup in a bucketed store: only the requests are exchanged."""
+    t = Tables(spark, sf_dir)
+    store = st.write(live_snapshot(t), st.version_name("online_store"), "user_id")
+    j = on.online_lookup(ad.requests(t), store, "user_id")
+    return j.select("transaction_id", "user_id", "amount", "store_amount", "store_velocity_last_24h",
+                    "store_event_timestamp", "store_hit")
+
+
 @query("project_online_schema", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte(START, AS_OF)) + """
 SELECT user_id, amount, CAST(transaction_hour AS INTEGER) AS transaction_hour, merchant_category,
        CAST(foreign_transaction AS INTEGER) AS foreign_transaction,

@@ -1,4 +1,4 @@
-"""Queries: Structured Streaming (2.11 SR1-SR5), each run to completion with
+"""Queries: Structured Streaming (2.11 SR1-SR8), each run to completion with
 Trigger.AvailableNow over event files derived from the events table, then read
 back as a batch table."""
 
@@ -14,6 +14,8 @@ from tessera.session import scratch_path
 from tessera.sources import adapters as ad
 from tessera.sources.schemas import FRAUD_FEATURES, TABLE_SCHEMAS
 from tessera.sources.tables import Tables
+from tessera.plans import q_latency as ql
+from tessera.streaming import state as ks
 from tessera.streaming import streams as st
 
 N_FILES = 6
@@ -36,9 +38,10 @@ SNAP_SCHEMA = T.StructType([T.StructField("user_id", T.StringType()),
 ORDER = ["timestamp", "created_timestamp", "transaction_id"]
 
 
-def event_files(spark, sf_dir, where=None, path=None):
+def event_files(spark, sf_dir, where=None, path=None, late_seconds=0):
     """Write events as files in time order, so the file source (oldest file first)
-    replays them as an arriving stream.
+    replays them as an arriving stream.  With ``late_seconds`` an event arrives up to so much
+    later, by a hash of its id, and so out of order within and across files.
 
     One parallel write, a file per time range of about a million rows; the driver
     only sets the files' times, in the order of their ranges."""
@@ -51,7 +54,13 @@ def event_files(spark, sf_dir, where=None, path=None):
         return path
     files = max(N_FILES, -(-n // ROWS_PER_FILE))
     before = st.data_files(spark, path)
-    e.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.mode("append").parquet(path)
+    if late_seconds:
+        late = F.pmod(F.xxhash64("event_id"), F.lit(late_seconds)).cast("int")
+        e = e.withColumn("_arrival", F.col("ts") + F.make_dt_interval(secs=late.cast("decimal(18,6)")))
+    else:
+        e = e.withColumn("_arrival", F.col("ts"))
+    e.repartitionByRange(files, "_arrival").sortWithinPartitions("_arrival").drop("_arrival") \
+        .write.mode("append").parquet(path)
     st.set_arrival_order(spark, sorted(st.data_files(spark, path) - before))
     return path
 
@@ -121,19 +130,86 @@ def stream_velocity(spark, sf_dir):
     return st.read_snapshot(spark, root, ["user_id", "window_start"], ["_batch"], schema).drop("_batch")
 
 
+TTL_HOURS = 48
+LATE = 7_000  # seconds that events arrive late, under the watermarks' two hours
+
+
+def late_stream(spark, sf_dir):
+    """Events out of order within the lateness, and last a heartbeat without a user some days
+    after all others: what moves the watermark on when a source falls silent."""
+    src = event_files(spark, sf_dir, late_seconds=LATE)
+    before = st.data_files(spark, src)
+    e = Tables(spark, sf_dir).events
+    beat = e.agg(F.max("ts").alias("last")).where("last IS NOT NULL") \
+        .select((F.col("last") + F.expr("INTERVAL 4 DAYS")).alias("ts"))
+    beat.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in TABLE_SCHEMAS["events"].fields]).write.mode("append").parquet(src)
+    st.set_arrival_order(spark, sorted(st.data_files(spark, src) - before))
+    return event_stream(spark, src).withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need TIMESTAMP
+
+
+def finished(spark, frame, name):
+    """All rows that a streaming frame gives out, as a batch table."""
+    ks.use_keyed_state(spark)
+    root, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-ck")
+    st.run_available_now(frame, st.append_sink(root), ck)
+    return spark.read.schema(frame.schema).parquet(root).select(*frame.columns)
+
+
 @query("stream_velocity_exact", sql="""
 SELECT event_id, user_id,
        count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING) AS velocity_24h
 FROM events""")
 def stream_velocity_exact(spark, sf_dir):
-    """Exact trailing 24 h count per event, kept in keyed state across micro-batches."""
-    src = event_files(spark, sf_dir)
-    root, ck = scratch_path(spark, "exact-velocity"), scratch_path(spark, "exact-ck")
-    st.run_available_now(st.exact_velocity(event_stream(spark, src)), st.append_sink(root), ck)
-    return spark.read.schema(st.EXACT_OUT).parquet(root).select(*st.EXACT_OUT.fieldNames())
+    """Exact trailing 24 h count per event of a stream with late rows: keys dealt over slices of
+    six hours with carried counts, each slice's state gone when the watermark has passed it."""
+    out = ks.trailing_counts(late_stream(spark, sf_dir), "user_id", "ts", "event_id")
+    return finished(spark, out.withColumnRenamed("n", "velocity_24h"), "exact-velocity").where("event_id IS NOT NULL")
 
 
-TTL_HOURS = 48
+@query("stream_ttl_expiry", sql="""
+SELECT user_id, ts AS last_seen, ts + INTERVAL 48 HOUR AS expired_at
+FROM (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events)
+WHERE next IS NULL OR next > ts + INTERVAL 48 HOUR""")
+def stream_ttl_expiry(spark, sf_dir):
+    """Every time that a user's online row got 48 hours old, told by event-time timers on a
+    stream with late rows."""
+    out = ks.expired_rows(late_stream(spark, sf_dir), "user_id", "ts", TTL_HOURS)
+    return finished(spark, out, "expired").select(
+        "user_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("last_seen", "expired_at")]) \
+        .where("user_id IS NOT NULL")
+
+
+def _requests(spark, sf_dir):
+    return ad.request_log_from(late_stream(spark, sf_dir))
+
+
+def _plain_times(df):
+    """In the batch queries' type of times."""
+    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("stream_alert_rules", sql=ql.alert_sql())
+def stream_alert_rules(spark, sf_dir):
+    """The stated alerts on a stream with late rows: minute windows, then runs over them."""
+    out = finished(spark, ks.alert_runs(_requests(spark, sf_dir), "ts", "latency_ms"), "alerts")
+    return _plain_times(out)
+
+
+@query("stream_rates_1m", sql=ql.rates_sql(1))
+def stream_rates_1m(spark, sf_dir):
+    """Requests per second and error ratio per endpoint and minute, on a stream with late rows."""
+    out = finished(spark, ks.stream_rates(_requests(spark, sf_dir), "ts", "1 minute", ["endpoint"]), "rates")
+    return _plain_times(out)
+
+
+@query("stream_histogram_quantile", sql=ql.QUANTILE_SQL)
+def stream_histogram_quantile(spark, sf_dir):
+    """Daily P95 per endpoint from bucket counters, on a stream with late rows."""
+    calls = _requests(spark, sf_dir).withColumn("latency_s", F.col("latency_ms") / 1000.0)
+    out = finished(spark, ks.stream_quantiles(calls, "ts", "1 day", ["endpoint"], "latency_s", 0.95), "quantiles")
+    return _plain_times(out)
+
 
 
 @query("ttl_expire", sql=S.with_(S.TRANSACTIONS, S.snapshot_cte("2023-11-21 00:00:00", AS_OF)) + f"""

@@ -8,7 +8,7 @@ from tessera.operators import behavior as bh
 from tessera.operators import online as on
 from tessera.operators.asof import asof_join
 from tessera.plans import sql as S
-from tessera.plans.q_online import AS_OF, START, snapshot
+from tessera.plans.q_online import AS_OF, START, snapshot, transactions_in_range
 from tessera.plans.q_sources import MID
 from tessera.plans.registry import query
 from tessera.sources import adapters as ad
@@ -242,9 +242,8 @@ def store_consistency(spark, sf_dir):
     """Offline recomputation against the (older) online snapshot: keys on one side
     only and, per feature, keys whose values differ (null-safe)."""
     t = Tables(spark, sf_dir)
-    tx = ad.transactions(t)
-    off = on.materialize_latest(tx, START, AS_OF)
-    onl = on.materialize_latest(tx, START, MID)
+    off = on.materialize_latest(transactions_in_range(t, START, AS_OF), START, AS_OF)
+    onl = on.materialize_latest(transactions_in_range(t, START, MID), START, MID)
     o = onl.select("user_id", *[F.col(c).alias("o_" + c) for c in S.FEATURES]).withColumn("_o", F.lit(True))
     j = off.withColumn("_f", F.lit(True)).join(o, "user_id", "full_outer")
     both = F.col("_f").isNotNull() & F.col("_o").isNotNull()

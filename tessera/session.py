@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session gets.  AQE stays on so that join strategy, partition
 # coalescing and skew splitting are decided on runtime sizes.
@@ -62,6 +62,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read again: what is read several times is
+    worked out once, outlives executors and keeps nothing in their memory."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

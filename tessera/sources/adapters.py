@@ -85,9 +85,14 @@ def books(t: Tables) -> DataFrame:
 
 def request_log(t: Tables) -> DataFrame:
     """Call log of a scoring service from events."""
+    return request_log_from(t.events)
+
+
+def request_log_from(events: DataFrame) -> DataFrame:
+    """The same of an events frame (batch or stream)."""
     k = trust_score()
     ok = (k % 20) != 0
-    return t.events.select(
+    return events.select(
         F.col("event_id").alias("request_id"),
         F.col("ts"),
         F.col("user_id"),

@@ -1,6 +1,6 @@
 """Structured Streaming: keyed upserts into a versioned snapshot, sliding-window
-velocities, exact trailing velocity with keyed state, incremental
-materialisation with a checkpoint.
+velocities, incremental materialisation with a checkpoint (``state`` holds the
+operators with keyed state).
 
 Sinks write one delta per micro-batch under a shared folder (``v=<batch id>``):
 the newest row of each key the batch touched, so a batch costs what it brings and
@@ -13,11 +13,9 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tessera.operators.online import latest_per_key
 
@@ -97,43 +95,6 @@ def sliding_counts(stream: DataFrame, key: str, ts: str, width: str, slide: str,
             .select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events"))
 
 
-EXACT_OUT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-                          T.StructField("velocity_24h", T.LongType())])
-EXACT_STATE = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))])
-
-
-def exact_velocity(stream: DataFrame, key: str = "user_id", ts: str = "ts", id_col: str = "event_id",
-                   window_seconds: int = 86_400, lateness_seconds: int = 7_200) -> DataFrame:
-    """Per event, the number of the key's earlier events in [ts - w, ts), exact
-    across micro-batches with keyed state: the key's event times of the last ``w``
-    plus ``lateness``, so an event up to that late still counts all before it (rows
-    that went out earlier are not corrected for it).  Idle keys keep their state:
-    a processing-time timeout would keep an available-now run going for ever, and
-    an event-time one would drop late rows."""
-    w_us = window_seconds * 1_000_000
-    held_us = w_us + lateness_seconds * 1_000_000
-
-    def step(k, frames, state):
-        import numpy as np
-        prior = np.array(state.get[0] if state.exists else [], dtype="int64")
-        pdf = pd.concat(list(frames), ignore_index=True)
-        t = pdf["_us"].to_numpy(dtype="int64")
-        order = np.argsort(t, kind="stable")
-        t, ids = t[order], pdf[id_col].to_numpy()[order]
-        allt = np.concatenate([prior, t])
-        allt.sort(kind="stable")
-        hi = np.searchsorted(allt, t, side="left")
-        lo = np.searchsorted(allt, t - w_us, side="left")
-        newest = allt[-1] if len(allt) else 0
-        state.update((allt[allt >= newest - held_us].tolist(),))
-        yield pd.DataFrame({"event_id": ids.astype("int64"), "user_id": np.full(len(ids), k[0], dtype="int64"),
-                            "velocity_24h": (hi - lo).astype("int64")})
-
-    staged = stream.select(id_col, key, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
-    return staged.groupBy(key).applyInPandasWithState(
-        step, EXACT_OUT, EXACT_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
 def append_sink(root: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")

@@ -310,3 +310,74 @@ def test_override_by_class(spark):
     classes = spark.createDataFrame([("a", "high"), ("c", "low"), ("z", "low")], "k string, c string")
     out = override_by_class(df, classes, "k", "c", {"high": {"x": 9}, "low": {"x": 0, "y": 5}})
     assert {tuple(r) for r in out.collect()} == {("a", 9, 2), ("b", 1, 2), ("c", 0, 5), (None, 1, 2)}
+
+
+def test_null_groups_are_groups(spark):
+    """A null group gets what its twin gets, in every grouped operator."""
+    from tessera.operators import latency as lt
+    from tessera.operators import quality as qa
+    rnd = random.Random(8)
+    base = [(float(rnd.randint(1, 40)), rnd.random() > 0.02, rnd.choice(["ref", "cur"])) for _ in range(80)]
+    rows = [(i, g, *r) for i, (g, r) in enumerate((g, r) for g in ("twin", None) for r in base)] \
+        + [(1000, "failed", 5.0, False, "cur")]
+    log = spark.createDataFrame(rows, "id int, g string, latency_ms double, success boolean, side string")
+    ref, cur = (log.where((F.col("side") == s) & (F.coalesce("g", F.lit("")) != "failed")) for s in ("ref", "cur"))
+
+    def same(df, *rest):
+        per = {}
+        for r in df.collect():
+            per.setdefault(r["g"], []).append(tuple(r[c] for c in df.columns if c not in ("g", *rest)))
+        assert {"twin", None} <= per.keys()
+        assert sorted(per["twin"], key=repr) == sorted(per[None], key=repr)
+        return per
+
+    verdicts = same(lt.load_verdict(log, ["g"], 50.0, min_success=90.0))
+    assert verdicts["failed"] == [(0.0, None, "FAIL")] and verdicts[None][0][2] == "PASS"
+    assert same(lt.method_comparison(log, "g"))["failed"][0][0] == 1
+    hist = same(lt.histogram(log, ["g"], "latency_ms", [10.0, 20.0]))
+    assert sorted(hist[None])[-1] == (float("inf"), 80)
+    same(lt.histogram_quantile(lt.histogram(log, ["g"], "latency_ms"), ["g"], 0.5))
+    found = qa.outliers(log, "g", "latency_ms", "id")
+    assert found.count() == len(rows)
+    same(found, "id")
+    for df in (qa.psi(ref, cur, "g", "latency_ms"), qa.ks_statistic(ref, cur, "g", "latency_ms"),
+               qa.mean_shift(ref, cur, "g", "latency_ms")):
+        per = same(df)
+        assert None not in per[None][0]
+    for df in (lt.success_rate(log, ["g"]), lt.latency_quantiles(log, ["g"]), lt.sla_share(log, ["g"], 9.0),
+               lt.outcome_share(log, "success", ["g"])):
+        same(df)
+
+
+def test_an_endpoint_without_success_rolls_back(spark):
+    from tessera.plans.q_quality import rollback
+    rows = [("a", 1.0, True), ("a", 2.0, True), ("down", 3.0, False), ("down", 4.0, False), (None, 99.0, True)]
+    log = spark.createDataFrame(rows, "endpoint string, latency_ms double, success boolean")
+    last = spark.createDataFrame([(0.01, False)], "f1_drop double, _f1_bad boolean")
+    for weeks in (last, last.limit(0)):
+        got = {r["endpoint"]: (r["error_rate"], r["p99"], r["rollback"]) for r in rollback(log, weeks).collect()}
+        assert got == {"a": (0.0, 2.0, False), "down": (100.0, None, True), None: (0.0, 99.0, True)}
+
+
+def test_slices_in_one_scan(spark):
+    """Grouping sets against one pass per slice; null values are slices, and not all rows."""
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["x", "y", None]), rnd.choice([0, 1, None]), rnd.randint(0, 1), rnd.randint(0, 1),
+             rnd.randint(0, 5) / 5) for _ in range(200)]
+    df = spark.createDataFrame(rows, "m string, f int, y int, p int, s double")
+    slices = [["m"], ["f"], ["m", "f"], []]
+    got = mt.slice_metrics(df, "y", "p", "s", slices)
+    found = {(r["slice"], tuple(r["slice_value"])): r for r in got.collect()}
+    assert len(found) == 3 + 3 + 9 + 1
+    for cols in slices:
+        keys = {tuple(None if r[i] is None else str(r[i]) for i in (("m", "f").index(c) for c in cols)) for r in rows}
+        for key in keys:
+            own = [r for r in rows if all((None if r[("m", "f").index(c)] is None else str(r[("m", "f").index(c)])) == k
+                                          for c, k in zip(cols, key))]
+            r = found[",".join(cols), key]
+            pos, neg = [x for x in own if x[2] == 1], [x for x in own if x[2] == 0]
+            assert (r["n"], r["tp"], r["fp"]) == (len(own), sum(x[3] for x in pos), sum(x[3] for x in neg))
+            if pos and neg:
+                u = sum((a[4] > b[4]) + 0.5 * (a[4] == b[4]) for a in pos for b in neg)
+                assert abs(r["auc"] - u / (len(pos) * len(neg))) < 1e-12
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Expand") >= 1

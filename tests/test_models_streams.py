@@ -112,7 +112,31 @@ def test_conversion_keeps_failures_as_rows(spark):
     assert rep["good"]["status"] == "ok" and rep["good"]["rows"] == 2
     assert rep["bad"]["status"] == "failed" and rep["bad"]["error"] and rep["bad"]["saved_pct"] is None
     assert rep["total"]["rows"] == sum(r["rows"] for f, r in rep.items() if f != "total")
-    assert spark.read.parquet(f"{out}/good").where("id = 1").first()["t"] == 'a "quoted"\nline, x'
+    assert spark.read.parquet(out).where("file = 'good' AND id = 1").first()["t"] == 'a "quoted"\nline, x'
+
+
+def test_conversion_jobs_follow_headers_not_files(spark):
+    """Many small files in as many jobs as few; rows that do not parse are counted and kept."""
+    import os
+    from tessera.sources import files as fs
+
+    def jobs(n, root):
+        top = root.removeprefix("file:")
+        os.makedirs(top)
+        for i in range(n):
+            with open(f"{top}/f{i:03d}.csv", "w") as f:
+                f.write("a,b\n" + "".join(f"{i},{k}\n" for k in range(3)) + ("1,2,3,4\n" if i == 1 else ""))
+        with open(f"{top}/text.csv", "w") as f:
+            f.write('t,n\n"two\nlines",1\n"x ""y""",2\n')
+        spark.sparkContext.setJobGroup(root, "conversion")
+        rep = {r["file"]: r for r in fs.convert_csv(spark, f"{root}/*.csv", scratch_path(spark, "many-out")).collect()}
+        spark.sparkContext.setJobGroup("tests", "")
+        assert len(rep) == n + 2 and rep["text"]["rows"] == 2 and rep["text"]["corrupt"] == 0
+        assert rep["f000"]["rows"] == 3 and rep["f001"]["rows"] == 4 and rep["f001"]["corrupt"] == 1
+        assert rep["total"]["rows"] == 3 * n + 1 + 2 and all(r["parquet_bytes"] > 0 for r in rep.values())
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(root))
+
+    assert jobs(60, scratch_path(spark, "many")) <= jobs(4, scratch_path(spark, "few")) + 2
 
 
 def test_ndcg_against_brute_force(spark):
