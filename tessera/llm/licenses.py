@@ -3,8 +3,10 @@
 All rolling word bigrams of a text are joined to the positions at which license
 templates hold them.  Matches that lie on one diagonal (place in the text less
 place in the template) vote for one alignment; neighbouring diagonals, left by
-inserted or missing words, are merged, and a span counts when enough of its
-template has been matched.  Phrases count only when whole.
+inserted or missing words, are merged where they are also neighbours in the text.  A span is
+verified word by word: its words that no match covers and the template's that it lacks
+are edits, and the words that tell a template from its relatives must be there.  Of
+templates whose spans overlap the best count.  Phrases count only when whole.
 """
 
 from __future__ import annotations
@@ -20,20 +22,23 @@ from tessera.llm.common import NON_WORD, ascii_lower, keyed, on_document, words
 #: Phrases that count where their words stand consecutively.
 PHRASES = [("cc-by", "cc by"), ("gpl", "general public license"),
            ("reserved", "all rights reserved")]
-#: Templates of the method: a label and words of the usual notice.
+#: Templates of the method: a label, words of the usual notice, and those that a span
+#: must hold.
 TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("apache-2.0", "licensed under the apache license version 2 0", "apache 2"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this "
-            "software and associated documentation files"),
-    ("mit", "released under the mit license"),
+            "software and associated documentation files", "permission granted software"),
+    ("mit", "released under the mit license", "mit"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are "
-            "permitted provided that the following conditions are met"),
-    ("gpl-notice", "this work is licensed under the gnu general public license"),
-    ("cc-notice", "this work is licensed under a creative commons attribution license"),
-    ("cc-nc", "licensed under cc by nc 4 0"),
-    ("cc-sa", "licensed under cc by sa 4 0"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license"),
-    ("public-domain", "this work is dedicated to the public domain"),
+            "permitted provided that the following conditions are met", "redistribution permitted"),
+    ("gpl-notice", "this work is licensed under the gnu general public license", "gnu public"),
+    ("cc-notice", "this work is licensed under a creative commons attribution license",
+     "creative commons attribution"),
+    ("cc-by", "licensed under cc by 4 0", "cc by"),
+    ("cc-nc", "licensed under cc by nc 4 0", "cc nc"),
+    ("cc-sa", "licensed under cc by sa 4 0", "cc sa"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", "mozilla"),
+    ("public-domain", "this work is dedicated to the public domain", "public domain"),
 ]
 #: Templates are broadcast: all their bigrams together, at most.
 MAX_GRAMS = 100_000
@@ -41,12 +46,13 @@ MAX_GRAMS = 100_000
 
 def _bigrams(phrases, templates) -> list[tuple]:
     rows = []
-    texts = [(True, *p) for p in phrases] + [(False, *t) for t in templates]
-    for tid, (is_phrase, label, text) in enumerate(texts):
+    texts = [(True, *p, "") for p in phrases] + [(False, *t) for t in templates]
+    for tid, (is_phrase, label, text, must) in enumerate(texts):
         ws = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text)
-        if len(ws) < 2:
-            raise ValueError(f"a template needs two words: {text!r}")
-        rows += [(tid, label, is_phrase, len(ws) - 1, i, a, b)
+        if len(ws) < 2 or not set(must.split()) <= set(ws):
+            raise ValueError(f"a template needs two words, and those it must have: {text!r}")
+        needed = [ws.index(m) for m in must.split()]
+        rows += [(tid, label, is_phrase, len(ws) - 1, needed, i, a, b)
                  for i, (a, b) in enumerate(zip(ws, ws[1:], strict=False))]
     if len(rows) > MAX_GRAMS:
         raise ValueError(f"{len(rows)} bigrams of templates; at most {MAX_GRAMS} are broadcast")
@@ -59,13 +65,17 @@ def license_spans(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """Verified spans: ``_id``, ``_th`` (see ``keyed``), label, is_phrase, first
     (word, from 0), last (word, inclusive), share (of the template matched).
 
-    A phrase's span holds its words exactly.  A template's span joins diagonals
-    at most ``gap`` apart and has matched ``min_share`` of its bigrams.
+    A phrase's span holds its words exactly.  A template's span joins diagonals at most
+    ``gap`` apart that follow each other within ``gap`` words of the text.  Its share is one less
+    the edits (words of the span outside matches or template words outside them, whichever are
+    more) over the template's words; it counts from ``min_share`` on, with all words
+    that it must hold, unless a template of a larger share overlaps it (in a chain of overlapping
+    spans the largest share stays; equal ones all do).
     """
     spark = df.sparkSession
     grams = spark.createDataFrame(
         _bigrams(phrases, templates),
-        "tid int, label string, is_phrase boolean, n int, tpos int, ta string, tb string"
+        "tid int, label string, is_phrase boolean, n int, needed array<int>, tpos int, ta string, tb string"
     ).withColumn("g", F.xxhash64("ta", "tb"))
     docs = keyed(df, text_col, id_col)
     ws = docs.select("_id", "_th", words(ascii_lower(F.col("_text")), NON_WORD).alias("w"))
@@ -75,23 +85,36 @@ def license_spans(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     pairs = pairs.select("_id", "_th", "pos", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
     hits = (pairs.withColumn("g", F.xxhash64("a", "b")).join(F.broadcast(grams), "g")
             .filter("a = ta AND b = tb"))  # verifies the words behind the hash
-    key = ["_id", "_th", "tid", "label", "is_phrase", "n"]
+    key = ["_id", "_th", "tid", "label", "is_phrase", "n", "needed"]
     votes = (hits.groupBy(*key, (F.col("pos") - F.col("tpos")).alias("diag"))
-             .agg(F.collect_set("tpos").alias("seen"), F.min("pos").alias("first"),
-                  F.max("pos").alias("last")))
-    by_diag = Window.partitionBy("_id", "_th", "tid").orderBy("diag")
-    new = F.coalesce(F.col("diag") - F.lag("diag").over(by_diag) > gap, F.lit(True)) | \
-        F.col("is_phrase")
+             .agg(F.collect_set("tpos").alias("seen"), F.collect_set("pos").alias("places"),
+                  F.min("pos").alias("first"), F.max("pos").alias("last")))
+    # in the order of the text: diagonals that are near each other in both ways are one run
+    by_place = Window.partitionBy("_id", "_th", "tid").orderBy("first", "diag")
+    reach = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce((F.abs(F.col("diag") - F.lag("diag").over(by_place)) > gap)
+                     | (F.col("first") - reach > gap + 1), F.lit(True)) | F.col("is_phrase")
+    both = lambda c: F.array_distinct(F.concat(  # noqa: E731  a bigram covers two words
+        F.flatten(F.collect_list(c)), F.transform(F.flatten(F.collect_list(c)), lambda x: x + 1)))
     merged = (votes.withColumn("new", new.cast("int"))
-              .withColumn("run", F.sum("new").over(by_diag))
+              .withColumn("run", F.sum("new").over(by_place))
               .groupBy(*key, "run")
-              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("m"),
-                   F.min("first").alias("first"), F.max("last").alias("last")))
-    need = F.when(F.col("is_phrase"), F.lit(1.0)).otherwise(F.lit(min_share))
-    return (merged.withColumn("share", F.col("m") / F.col("n"))
-            .filter(F.col("share") >= need)
+              .agg(both("seen").alias("held"), both("places").alias("covered"),
+                   F.min("first").alias("first"), (F.max("last") + 1).alias("last")))
+    words_of = F.col("n") + 1
+    edits = F.greatest(words_of - F.size("held"), F.col("last") - F.col("first") + 1 - F.size("covered"))
+    verified = merged.withColumn("share", F.greatest(1 - edits / words_of, F.lit(0.0))).filter(
+        F.when(F.col("is_phrase"), F.size("held") == words_of)
+        .otherwise((F.col("share") >= min_share) & (F.size(F.array_except("needed", "held")) == 0)))
+    # templates' spans that overlap, one after the other, compete
+    order = Window.partitionBy("_id", "_th", "is_phrase").orderBy("first", F.desc("last"), "tid")
+    ahead = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    chained = verified.withColumn("fresh", F.coalesce(F.col("first") > ahead, F.lit(True)).cast("int")) \
+        .withColumn("chain", F.sum("fresh").over(order)) \
+        .withColumn("most", F.max("share").over(Window.partitionBy("_id", "_th", "is_phrase", "chain")))
+    return (chained.filter("is_phrase OR share = most")
             .select("_id", "_th", "label", "is_phrase", F.col("first").cast("long"),
-                    (F.col("last") + 1).cast("long").alias("last"), "share"))
+                    F.col("last").cast("long"), "share"))
 
 
 def _labels(c: Column) -> Column:
