@@ -109,23 +109,43 @@ def records(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return r.select(F.concat(head, block).alias("value"))
 
 
-def write_archives(recs: DataFrame, path: str) -> None:
-    """Each task writes one gzip stream of records."""
-    recs.write.option("compression", "gzip").option("lineSep", _END).text(path)
+def write_archives(recs: DataFrame, path: str, per_file: int = 20_000) -> None:
+    """Each task writes gzip streams of up to ``per_file`` records: a reader takes a whole archive
+    as one value, so archives must stay below 2 GB."""
+    recs.write.option("compression", "gzip").option("lineSep", _END) \
+        .option("maxRecordsPerFile", per_file).text(path)
+
+
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """The bytes of a gzip file of one member or many, piece by piece (zero bytes between
+    members are padding); a member without its end is an error."""
+    at, inflate = 0, None
+    while at < len(content):
+        if inflate is None:
+            if content[at] == 0:
+                at += 1
+                continue
+            inflate = zlib.decompressobj(31)
+        piece = content[at:at + _CHUNK]
+        out = inflate.decompress(piece)
+        at += len(piece) - len(inflate.unused_data)
+        if inflate.eof:
+            inflate = None
+        yield out
+    if inflate is not None:
+        raise ValueError("a gzip stream is cut off")
 
 
 def _cut(content: bytes) -> Iterator[bytes]:
-    """The records of one gzip stream, inflated piece by piece."""
-    inflate = zlib.decompressobj(31)
+    """The records of a gzip file, inflated piece by piece."""
     held = bytearray()
-    pieces = (content[i:i + _CHUNK] for i in range(0, len(content), _CHUNK))
+    pieces = _inflated(content)
     need, ended = 0, False
 
     def more() -> bool:
         for p in pieces:
-            held.extend(inflate.decompress(p))
+            held.extend(p)
             return True
-        held.extend(inflate.flush())
         return False
 
     while True:
@@ -154,8 +174,20 @@ def _headers(record: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _archive_name(path: str) -> str:
+    """A name for each file: its part number where it has one, and a digest of its path."""
     m = re.search(r"part-(\d+)-.*?(?:-c(\d+))?\.[^/]*$", path)
-    return f"{m[1]}-{m[2] or '000'}" if m else re.sub(r"\W+", "-", path.rsplit("/", 1)[-1])
+    name = f"{m[1]}-{m[2] or '000'}" if m else re.sub(r"\W+", "-", path.rsplit("/", 1)[-1])[:80]
+    return f"{name}-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
+_EMPTY_MEMBER = gzip.compress(b"", 6, mtime=0)
+
+
+def _own_member(record: bytes) -> bytes:
+    """The record as a gzip member that ends with a zero byte, as the size of less than 16 MB
+    does; a larger one is followed by an empty member."""
+    member = gzip.compress(record, 6, mtime=0)
+    return member if member[-1] == 0 else member + _EMPTY_MEMBER
 
 
 def _own_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,36 +197,37 @@ def _own_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in zip(b.column("path"), b.column("content"), strict=True):
             name, at, seq, index, out, size = _archive_name(path.as_py()), 0, 0, [], [], 0
             for record in _cut(content.as_py()):
-                member = gzip.compress(record, 6, mtime=0)
+                member = _own_member(record)
                 fields, _ = _headers(record)
                 index.append(json.dumps({
                     "offset": at, "length": len(member), "id": fields.get("warc-record-id"),
                     "type": fields.get("warc-type"), "uri": fields.get("warc-target-uri"),
                     "digest": fields.get("warc-payload-digest")}))
                 out.append(("warc", name, seq, member))
-                # the writer ends each value with a zero byte: a member's own last
-                # one, or padding where a record is over 16 MB
-                at += len(member) + (member[-1] != 0)
+                at += len(member)
                 seq, size = seq + 1, size + len(member)
                 if size > _CHUNK:
                     yield _rows(out, schema)
                     out, size = [], 0
             index.append("")
-            out.append(("index", name, seq, gzip.compress("\n".join(index).encode(), 6, mtime=0)))
+            out.append(("index", name, seq, _own_member("\n".join(index).encode())))
             yield _rows(out, schema)
 
 
 def _rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     kind, name, seq, value = zip(*out, strict=True)
-    ended = [v[:-1] if v[-1] == 0 else v for v in value]
+    ended = [v[:-1] for v in value]  # the writer ends each value with a zero byte: its own last one
     return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(name), pa.array(seq, pa.int64()),
                                        pa.array(ended, pa.binary())], schema=schema)
 
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite every monolithic archive below ``source``: one gzip member per
-    record below ``target``/kind=warc/archive=NAME, and its index, JSON lines in
-    a gzip file, below ``target``/kind=index/archive=NAME."""
+    """Rewrite every archive below ``source``, of one gzip stream or of several members: one
+    gzip member per record below ``target``/kind=warc/archive=NAME, and its index, JSON lines in
+    a gzip file, below ``target``/kind=index/archive=NAME.  NAME holds a digest of the
+    archive's path, so files of one name in several folders or writes stay apart.  A
+    stream or record that is cut off is an error; an archive without records has an empty
+    index; archives of 2 GB or more cannot be read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source) \
         .select("path", "content")
     members = files.mapInArrow(_own_members,
@@ -210,12 +243,10 @@ def member(content: bytes, offset: int, length: int) -> bytes:
 
 
 def _members(content: bytes) -> Iterator[bytes]:
+    """The records of a normalised archive (empty members are none)."""
     at = 0
     view = memoryview(content)
     while at < len(content):
-        if view[at] == 0:
-            at += 1
-            continue
         inflate, out = zlib.decompressobj(31), []
         while not inflate.eof and at < len(content):
             piece = view[at:at + (1 << 16)]
@@ -223,7 +254,8 @@ def _members(content: bytes) -> Iterator[bytes]:
             at += len(piece) - len(inflate.unused_data)
         if not inflate.eof:
             raise ValueError("a member is cut off")
-        yield b"".join(out)
+        if record := b"".join(out):
+            yield record
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
