@@ -136,7 +136,7 @@ def _convert_table(spark: SparkSession, paths: list[str], file_of: dict[str, str
     names = spark.createDataFrame(list(file_of.items()), "_path string, file string")
     named = rows.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(names), "_path").drop("_path")
     named.write.mode("overwrite").option("compression", codec).partitionBy("file").parquet(out)
-    back = spark.read.parquet(out).select("file", F.col(_CORRUPT).isNotNull().alias("bad"),
+    back = spark.read.schema(named.schema).parquet(out).select("file", F.col(_CORRUPT).isNotNull().alias("bad"),
                                           F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("b"))
     # one row per written file first, so that its size counts once
     per = back.groupBy("file", "p", "b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))

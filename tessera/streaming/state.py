@@ -206,7 +206,8 @@ class Newest(StatefulProcessor):
 def online_changes(stream: DataFrame, key: str, ts: str, ttl_hours: float = 48) -> DataFrame:
     """(``key``, ``ts``, known): the newest time of each key that a micro-batch moved forward, and
     whether the store still knew the key.  Its state has a time-to-live by the clock: a key
-    unchanged for ``ttl_hours`` is forgotten by the store itself."""
+    unchanged for ``ttl_hours`` is forgotten by the store itself.  A query over it is for running
+    triggers: by the clock there is always one more batch, so available-now runs do not end."""
     rows = stream.where(F.col(ts).isNotNull()).select(_coded(key).alias("key"), F.unix_micros(ts).alias("at"))
     return rows.groupBy("key").transformWithStateInPandas(
         Newest(int(ttl_hours * 3_600_000)), "key string, at bigint, known boolean", "update", "ProcessingTime") \

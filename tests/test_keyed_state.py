@@ -15,7 +15,7 @@ from tessera.streaming import streams as st
 T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
 
-def arriving(spark, rows, schema, per_file=40):
+def arriving(spark, rows, schema, per_file=60):
     """Files of ``rows`` in the given order, replayed one by one."""
     src = scratch_path(spark, "arriving")
     for at in range(0, len(rows), per_file):
@@ -29,7 +29,7 @@ def arriving(spark, rows, schema, per_file=40):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
-def made_events(seed, n=240, keys=("hot", "hot", "hot", "a", "b", None), late=3_000):
+def made_events(seed, n=170, keys=("hot", "hot", "hot", "a", "b", None), late=3_000):
     """(id, key, time) in order of arrival, up to ``late`` seconds after their time; last a
     heartbeat far ahead."""
     rnd = random.Random(seed)
@@ -48,12 +48,12 @@ def last_state_rows(spark, checkpoint):
 def test_trailing_counts_with_late_rows_and_a_hot_key(spark):
     rows, arrived = made_events(1)
     stream = arriving(spark, arrived, "id bigint, k string, t timestamp")
-    for width, slices in ((86_400, 4), (7_200, 1)):
-        out = ks.trailing_counts(stream, "k", "t", "id", width, "1 hour", slices)
-        got = {r["id"]: (r["k"], r["n"]) for r in finished(spark, out, "counts").collect() if r["id"] is not None}
-        want = {i: (k, sum(1 for _, k2, t2 in rows if k2 == k and t - dt.timedelta(seconds=width) <= t2 < t))
-                for i, k, t in rows}
-        assert got == want
+    width = 86_400
+    out = ks.trailing_counts(stream, "k", "t", "id", width, "1 hour", 2)
+    got = {r["id"]: (r["k"], r["n"]) for r in finished(spark, out, "counts").collect() if r["id"] is not None}
+    want = {i: (k, sum(1 for _, k2, t2 in rows if k2 == k and t - dt.timedelta(seconds=width) <= t2 < t))
+            for i, k, t in rows}
+    assert got == want
 
 
 def run_kept(spark, frame, mode="append"):
@@ -66,7 +66,7 @@ def run_kept(spark, frame, mode="append"):
 
 
 def test_state_is_gone_after_the_horizon(spark):
-    _, arrived = made_events(2, 120)
+    _, arrived = made_events(2, 60)
     out = ks.trailing_counts(arriving(spark, arrived, "id bigint, k string, t timestamp"), "k", "t", "id", 7_200,
                              "1 hour", 1)
     ops = run_kept(spark, out).lastProgress["stateOperators"]
@@ -87,7 +87,7 @@ def test_a_key_is_dealt_over_tasks(spark):
 
 
 def test_expired_rows_against_plain(spark):
-    rows, arrived = made_events(4, 150)
+    rows, arrived = made_events(4, 110)
     out = ks.expired_rows(arriving(spark, arrived, "id bigint, k string, t timestamp"), "k", "t", 12, "1 hour", 3_600)
     got = sorted((str(r["k"]), r["expired_at"] - r["last_seen"], r["last_seen"].timestamp())
                  for r in finished(spark, out, "gone").collect() if r["k"] != "beat")
@@ -105,16 +105,16 @@ def test_online_state_is_forgotten_by_the_clock(spark):
     def step(name, rows):
         spark.createDataFrame(rows, "k string, t timestamp").coalesce(1).write.mode("append").parquet(src)
         stream = spark.readStream.schema("k string, t timestamp").parquet(src)
-        out = ks.online_changes(stream, "k", "t", ttl_hours=8 / 3600)
+        out = ks.online_changes(stream, "k", "t", ttl_hours=30 / 3600)
         q = (out.writeStream.foreachBatch(lambda df, i: df.write.mode("append").parquet(f"{root}/{name}"))
-             .outputMode("update").option("checkpointLocation", ck).trigger(availableNow=True).start())
-        q.awaitTermination()
+             .outputMode("update").option("checkpointLocation", ck).trigger(once=True).start())
+        assert q.awaitTermination(120)
         return {r["k"]: r["known"] for r in spark.read.parquet(f"{root}/{name}").collect()}
 
     at = lambda h: T0 + dt.timedelta(hours=h)
     assert step("a", [("x", at(0)), ("x", at(1)), (None, at(1))]) == {"x": False, None: False}
     assert step("b", [("x", at(2)), (None, at(0))]) == {"x": True}  # an older row changes nothing
-    time.sleep(10)
+    time.sleep(31)
     assert step("c", [("x", at(3))]) == {"x": False}  # forgotten
 
 
@@ -129,7 +129,7 @@ def test_alert_runs_with_gaps_and_mixed_files(spark):
                                                     rnd.random() > (0.5 if bad else 0.0))))
     rows = [r for _, r in sorted(rows, key=lambda x: x[0])]
     schema = "t timestamp, ms double, success boolean"
-    stream = arriving(spark, rows + [(T0 + dt.timedelta(days=2), 1.0, True)], schema, 25)
+    stream = arriving(spark, rows + [(T0 + dt.timedelta(days=2), 1.0, True)], schema, 60)
     got = finished(spark, ks.alert_runs(stream, "t", "ms", lateness="30 minutes"), "alerts")
     want = lt.alert_rules(spark.createDataFrame(rows, schema), "t", "ms")
     cols = ["rule", "window_start", "requests", "holds", "firing"]

@@ -136,7 +136,8 @@ def test_conversion_jobs_follow_headers_not_files(spark):
         assert rep["total"]["rows"] == 3 * n + 1 + 2 and all(r["parquet_bytes"] > 0 for r in rep.values())
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(root))
 
-    assert jobs(60, scratch_path(spark, "many")) <= jobs(4, scratch_path(spark, "few")) + 2
+    # from 33 paths on Spark lists them by a job of its own for each read: both are beyond that
+    assert jobs(80, scratch_path(spark, "many")) == jobs(40, scratch_path(spark, "few"))
 
 
 def test_ndcg_against_brute_force(spark):
