@@ -98,6 +98,17 @@ def links(distinct: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
+def _components(df: DataFrame, text_col: str, id_col: str, shingle: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' (``_id``, ``_th``, fp), and of each distinct fp its (fp, label, least): the
+    least fingerprint of its component and the least id of its rows."""
+    fps = save(fingerprints(df, text_col, id_col, shingle, seed), "fingerprints")
+    distinct = save(fps.groupBy("fp").agg(F.min("_id").alias("least")), "distinct")
+    parts = connected(links(distinct.select("fp")))
+    named = distinct.join(parts, distinct["fp"] == parts["node"], "left") \
+        .select("fp", F.coalesce("label", "fp").alias("label"), "least")
+    return fps, named
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     shingle: int = 3, seed: int = 42) -> DataFrame:
     """(``id_col``, ``_th`` hash of the text, fp long, component_id) per row of ``df``.
@@ -106,32 +117,34 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     bits or fewer), itself included; null ids count for nothing in it.  Texts
     that are null, empty or without words have fingerprint zero and are linked
     like any other.  Equal fingerprints meet before the join, so groups of
-    copies cost one row; repeated rows repeat; an empty table gives none.
+    copies cost one row; repeated rows repeat; an empty table gives none.  Texts of any
+    length count whole; other columns of ``df`` are not read, whatever their names.
     """
-    fps = save(fingerprints(df, text_col, id_col, shingle, seed), "fingerprints")
-    reps = fps.groupBy("fp").agg(F.min("_id").alias("least"))
-    distinct = save(reps, "distinct")
-    parts = connected(links(distinct.select("fp")))
-    label = F.coalesce("label", "fp")
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left") \
-        .select("fp", label.alias("label"), "least")
+    fps, named = _components(df, text_col, id_col, shingle, seed)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_fp = named.select("fp", "label").join(least, "label").select("fp", "component_id")
     return fps.join(of_fp, "fp").select(F.col("_id").alias(id_col), "_th", "fp", "component_id")
 
 
-def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` with the least id of their group, with its own columns.
+def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
+             seed: int = 42) -> DataFrame:
+    """One row of ``df`` for each group of near-duplicates, with its own columns: that of the
+    least id (rows without an id last), among equal ids that of the least hash of its text,
+    then of all its columns.
 
-    Rows without an id stay (nothing names one of them).  Of rows that share the
-    least id one stays, chosen by a hash of all its columns.
+    Groups are the components of linked fingerprints, so rows that share an id but not a
+    group are different documents and both stay, and of copies without an id one stays.
+    Texts without words are one group; an empty table gives none; columns of ``df`` keep
+    their names, whatever they are.
     """
     cols = df.columns
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
                      F.col(f"`{id_col}`").alias("_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("_th"))
-    found = near_duplicates(df, text_col, id_col, **options)
-    kept = found.filter(F.col(id_col) == F.col("component_id")) \
-        .select(F.col(id_col).alias("_id"), "_th").distinct()
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("_row")))
-    one = rows.join(kept, ["_id", "_th"], "left_semi").withColumn("_k", first).filter("_k = 1")
-    return one.select("_row.*").unionByName(rows.filter("_id IS NULL").select("_row.*"))
+    fps, named = _components(df, text_col, id_col, shingle, seed)
+    # a group shrinks to one row per fingerprint and task before its label brings it together
+    order = F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("_id"), F.col("_th").alias("_th"))
+    first = fps.groupBy("fp").agg(F.min(order).alias("first")).join(named.select("fp", "label"), "fp") \
+        .groupBy("label").agg(F.min("first").alias("first")).select("first.*")
+    same = rows["_id"].eqNullSafe(first["_id"]) & (rows["_th"] == first["_th"])
+    again = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.xxhash64("_row")))
+    return rows.join(first, same, "left_semi").withColumn("_k", again).filter("_k = 1").select("_row.*")
