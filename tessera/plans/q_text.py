@@ -228,7 +228,7 @@ total AS (SELECT q.request_id, CAST(sum(df.df) AS BIGINT) AS postings FROM q JOI
 SELECT request_id, postings, true AS within FROM total""")
 def index_reads(spark, sf_dir):
     """Per request the postings of its terms, and that the index read and scored no more of
-    them; the shares themselves are in the log of ``tests/test_topk.py``."""
+    them (that the share read falls as a catalog grows is asserted in ``tests/test_topk.py``)."""
     _, cost = indexed_search(Tables(spark, sf_dir))
     return cost.select(F.col("qid").alias("request_id"), "postings",
                        ((F.col("read") <= F.col("postings")) & (F.col("scored") <= F.col("read"))).alias("within"))
