@@ -40,8 +40,11 @@ class QualityRules:
     common words are further than ``max_common`` from every language (lists and
     tables have few common words, so this alone is no fault, unless
     ``max_common_alone`` is given: then a text of ``min_alone_words`` words whose
-    common words are further than this from every language fails by it alone,
-    and with it a text in a language without a reference)."""
+    common words are further than this from every language is near no reference.  It
+    fails if its character classes are further than ``max_chars_alone`` too, or over
+    ``max_sign_words`` of its words have neither letter nor digit (cells of a table); else
+    it is running text in a language without a reference, and stays unless
+    ``keep_unknown`` is false)."""
 
     min_words: int = 50
     max_repeat_pct: int = 50
@@ -52,6 +55,9 @@ class QualityRules:
     max_common: float = 0.25
     min_alone_words: int = 50
     max_common_alone: float | None = None
+    max_chars_alone: float = 0.113
+    max_sign_words: float = 0.1
+    keep_unknown: bool = True
     chars: dict = field(default_factory=lambda: CHAR_REFERENCE)
     common: dict = field(default_factory=lambda: WORD_REFERENCES)
 
@@ -60,7 +66,8 @@ class QualityRules:
 #: tables are not.  The distance is the one that one in a hundred texts of
 #: ``min_alone_words`` words drawn from a language reference exceeds (0.263 to 0.278,
 #: by language); of 60 words, under five in a thousand do.  A text without any
-#: common word is 0.284 away.
+#: common word is 0.284 away.  The character distance is the one that one in a thousand texts
+#: of 250 code points, hardly more than ``min_alone_words`` words, drawn from the reference exceeds.
 RUNNING_TEXT = QualityRules(max_common_alone=0.278)
 
 
@@ -158,7 +165,8 @@ def repeated_words(h: Column) -> Column:
 def measure(df: DataFrame, text_col: str = "text", rules: QualityRules | None = None) -> DataFrame:
     """``df`` with a struct column ``quality``: n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words (long), char_distance, word_distance (double),
-    base_failed, kept (boolean).
+    base_failed, near_reference (whether its common words are near a language's; null where the
+    text is too short or no rule asks), kept (boolean).
 
     A null text counts as empty: no words, all counts 0, distances null, and it
     fails by ``min_words``.  Rows are judged one by one, so repeated rows all
@@ -180,7 +188,7 @@ def measure(df: DataFrame, text_col: str = "text", rules: QualityRules | None =
          .withColumn("_q_hash", window_hashes(ws))
          .withColumn("_q_rep", repeated_words(F.col("_q_hash")))
          .withColumn("_q_n", F.length(F.array_join(ws, "")))
-         .withColumn("_q_cs", F.when(F.length(text) >= r.min_chars,
+         .withColumn("_q_cs", F.when((F.length(text) >= r.min_chars) | F.lit(alone) & (F.size(ws) >= least),
                                      class_shares(text, F.col("_q_n"))))
          .withColumn("_q_ws", F.when(F.size(ws) >= least, word_shares(ws, common)))
          .withColumn("_q_cd", F.when(F.col("_q_cs").isNotNull(),
@@ -188,20 +196,25 @@ def measure(df: DataFrame, text_col: str = "text", rules: QualityRules | None =
          .withColumn("_q_wd", F.when(F.col("_q_ws").isNotNull(),
                                      word_distance(F.col("_q_ws"), r.common, common))))
     failed = (n < r.min_words) | (100 * F.col("_q_rep") > r.max_repeat_pct * n)
-    far = (F.coalesce(F.col("_q_cd") > r.max_chars, F.lit(False))
+    cd = F.when(F.length(text) >= r.min_chars, F.col("_q_cd"))
+    far = (F.coalesce(cd > r.max_chars, F.lit(False))
            | F.coalesce((n >= r.min_common_words) & (F.col("_q_wd") > r.max_common)
-                        & (F.col("_q_cd") > r.max_chars_odd), F.lit(False)))
+                        & (cd > r.max_chars_odd), F.lit(False)))
+    near = F.lit(None).cast("boolean")
     if alone:
-        far = far | F.coalesce((n >= r.min_alone_words) & (F.col("_q_wd") > r.max_common_alone),
-                               F.lit(False))
+        near = F.when(n >= r.min_alone_words, F.col("_q_wd") <= r.max_common_alone)
+        signs = F.size(F.filter(ws, lambda w: ~F.rlike(w, F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]"))))
+        odd = F.lit(True) if not r.keep_unknown else (
+            (F.col("_q_cd") > r.max_chars_alone) | (signs > r.max_sign_words * n))
+        far = far | F.when(~near, odd).otherwise(False)  # signs are counted for these only
     out = F.struct(
         n.alias("n_words"),
         F.col("_q_n").cast("long").alias("word_chars"),
         (F.size(F.split(text, f"[{SYMBOLS}]", -1)) - 1).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.col("_q_rep").alias("n_repeat_words"),
-        F.col("_q_cd").alias("char_distance"), F.col("_q_wd").alias("word_distance"),
-        failed.alias("base_failed"), (~failed & ~far).alias("kept"))
+        cd.alias("char_distance"), F.col("_q_wd").alias("word_distance"),
+        near.alias("near_reference"), failed.alias("base_failed"), (~failed & ~far).alias("kept"))
     return d.withColumn("quality", out).drop(
         "_q_words", "_q_lines", "_q_hash", "_q_rep", "_q_n", "_q_cs", "_q_ws", "_q_cd", "_q_wd")
 
