@@ -335,7 +335,7 @@ def feature_lineage(spark, sf_dir):
     (model, feature) rows, grouped by feature."""
     from tessera.plans.q_text import book_vocabulary, sentiment_vocab
     t = Tables(spark, sf_dir)
-    bv, sv = book_vocabulary(t)[2], sentiment_vocab(t)[2]
+    bv, sv = book_vocabulary(t)[1], sentiment_vocab(t)
     # the fraud model's inputs are its eight typed columns, whatever the vocabularies hold
     fraud = spark.createDataFrame([("fraud", f) for f in S.FEATURES], "model string, feature string")
     uses = (bv.select(F.lit("recommendation").alias("model"), F.col("term").alias("feature"))

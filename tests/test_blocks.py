@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import blocks, similar
+from tessera.operators import text as tt
 from tessera.session import saved
 
 
@@ -109,3 +110,52 @@ def test_dense_search_is_scored_by_matrix_products(spark, sf_dir):
     emb = Tables(spark, sf_dir).embeddings
     p = similar.nearest(emb, emb.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding", 5)._jdf.queryExecution().toString()
     assert "FlatMapCoGroupsInArrow" in p and "zip_with" not in p and "scalar-subquery" not in p
+
+
+def many_texts(spark, n=300):
+    """Few common words and many rare ones; some ids twice, null texts, a null id."""
+    rnd = random.Random(5)
+    word = lambda: f"w{min(int(rnd.paretovariate(0.5)), 4000)}x"
+    rows = [(i, " ".join(word() for _ in range(30))) for i in range(n)] + [(7, "w1x w1x w2x"), (7, "w1x w9x"), (None, "w1x w3x"), (9000, None)]
+    return spark.createDataFrame(rows, "id bigint, text string")
+
+
+def test_pruned_vocabulary_is_the_whole_one(spark, monkeypatch):
+    docs = many_texts(spark)
+    key = lambda df: sorted((r["term"], r["df"], r["tf_total"], round(r["idf"], 9)) for r in df.collect())
+    calls = []
+    counted = tt.fit_vocabulary
+    monkeypatch.setattr(tt, "fit_vocabulary", lambda *a: calls.append(1) or counted(*a))
+    again = 0
+    # many terms in a bucket, bounds that drop the commonest, more features than there are, a cut that falls
+    for buckets, cut, max_df, features in ((1 << 20, 4, 0.8, 40), (64, 1, 1.0, 20), (1 << 14, 1, 0.02, 30), (1 << 14, 1, 0.9, 10 ** 6), (4096, 2, 1.0, 200)):
+        monkeypatch.setattr(tt, "BUCKETS", buckets)
+        monkeypatch.setattr(tt, "CUT", cut)
+        calls.clear()
+        got = key(tt.fit_text_vocabulary(docs, "id", "text", min_df=2, max_df=max_df, max_features=features))
+        again += len(calls) > 1
+        assert got == key(counted(docs, tt.doc_terms(docs, "id", "text"), "id", 2, max_df, features)) and got
+    assert again  # the cut had to fall at least once
+
+
+def test_only_terms_of_the_vocabulary_are_counted_per_text(spark, sf_dir):
+    """The (id, term) count and its shuffle see no other term, and all others are sums of a fixed number."""
+    docs = many_texts(spark)
+    vocab = tt.fit_text_vocabulary(docs, "id", "text", min_df=2, max_df=0.9, max_features=15)
+    terms = tt.doc_terms(docs, "id", "text", among=tt.only(vocab, 15))
+    p = terms._jdf.queryExecution().executedPlan().toString()
+    count, semi = p.index("HashAggregate"), p.index("LeftSemi")
+    assert count < semi < p.index("Generate")  # printed from the top: the rows are kept before they are counted
+    assert {r["term"] for r in terms.select("term").distinct().collect()} == {r["term"] for r in vocab.collect()}
+    from tessera.plans.q_text import book_index
+    from tessera.sources.tables import Tables
+    p = book_index(Tables(spark, sf_dir))[2]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in p
+
+
+def test_stop_words_are_looked_up(spark):
+    from tessera.functions import text as tx
+    df = spark.createDataFrame([(["the", "cat", "then", "and", "the", "i'm", "über"],), ([],), (None,)], "t array<string>")
+    kept = df.select(tx.remove_stop_words(F.col("t")).alias("k"))
+    assert [r["k"] for r in kept.collect()] == [["cat", "über"], [], None]
+    assert "regexp_replace" not in kept._jdf.queryExecution().toString()
