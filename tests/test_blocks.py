@@ -159,3 +159,53 @@ def test_stop_words_are_looked_up(spark):
     kept = df.select(tx.remove_stop_words(F.col("t")).alias("k"))
     assert [r["k"] for r in kept.collect()] == [["cat", "über"], [], None]
     assert "regexp_replace" not in kept._jdf.queryExecution().toString()
+
+
+def test_recommendations_of_all_users_in_blocks(spark, monkeypatch):
+    """Factors of very uneven length, ties and users without one: as every pair scored; and long items end the scan."""
+    import numpy as np
+    rnd = np.random.default_rng(6)
+    items = rnd.normal(size=(500, 5)) * rnd.pareto(1.0, size=(500, 1))
+    items[7], items[9] = items[3], 0.0
+    users = np.r_[rnd.normal(size=(60, 5)), np.zeros((1, 5))]
+    monkeypatch.setattr(blocks, "CELLS", 900)
+    monkeypatch.setattr(blocks, "SCORES", 2000)
+    df = lambda m, a, b: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], f"{a} int, {b} array<double>")
+    got = {}
+    for r in blocks.dense_best(df(users, "q", "qv"), df(items, "id", "v"), 4, 25, 5).collect():
+        got.setdefault(r["q"], []).append((-round(r["similarity"], 10), r["id"]))
+    for u, s in enumerate(users @ items.T):
+        assert sorted(got[u])[:4] == sorted((-round(x, 10), i) for i, x in enumerate(s))[:4], u
+    seen = []
+    scan = np.nonzero
+    monkeypatch.setattr(blocks.np, "nonzero", lambda x: seen.append(x.size) or scan(x))
+    blocks._scan(users[:60], items, np.arange(500), 4)
+    assert sum(seen) < 0.7 * 60 * 500
+
+
+def test_als_ranks_as_the_model_does(spark, monkeypatch):
+    from tessera.operators import models as md
+    rnd = random.Random(7)
+    rows = [(u, i, rnd.randint(1, 9)) for u in range(30) for i in rnd.sample(range(40), 8)]
+    model = md.als_model(rank=4, max_iter=3).fit(spark.createDataFrame(rows, "customer_id_code int, item_id_code int, quantity int"))
+    got, want = {}, {}
+    found = md.recommend(model, 5)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()
+    for r in found.collect():
+        got.setdefault(r["customer_id_code"], []).append((r["rank"], r["item_id_code"], r["score"]))
+    for r in model.recommendForAllUsers(5).collect():
+        want[r["customer_id_code"]] = [(x["item_id_code"], x["rating"]) for x in r["recommendations"]]
+    assert got.keys() == want.keys()
+    for u, best in got.items():
+        assert [k for k, _, _ in sorted(best)] == [1, 2, 3, 4, 5]
+        assert all(abs(s - x) < 1e-5 for (_, _, s), (_, x) in zip(sorted(best), want[u], strict=True))
+
+
+def test_ratings_are_worked_out_once(spark, sf_dir, monkeypatch):
+    from tessera.plans import q_models as qm
+    from tessera.sources.tables import Tables
+    calls = []
+    monkeypatch.setattr(qm.ad, "ratings", lambda t, was=qm.ad.ratings: calls.append(1) or was(t))
+    r = qm._coded_ratings(Tables(spark, sf_dir))
+    p = r._jdf.queryExecution().executedPlan().toString()
+    assert calls == [1] and "Join" not in p and "Aggregate" not in p
