@@ -9,6 +9,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -40,55 +42,62 @@ def _decoded(stream: DataFrame, key: str):
 # exact trailing counts ------------------------------------------------------------
 
 _EVENT, _LEAVES, _CARRIED = 0, 1, 2
+_PACKED = ("key", "kind", "at", "id", "n")
 
 
 class TrailingCount(StatefulProcessor):
-    """One (key, slice): its events, the times at which earlier events leave the window
-    inside it, and how many the window held when it began.  When the watermark has
-    passed the slice no row of it can still come: the counts go out, the state goes."""
+    """One (bucket of keys, slice): the keys' events, the times at which earlier events leave the
+    window inside it, and how many the window held when it began, as packed columns (a state
+    call for some thousand rows).  When the watermark has passed the slice no row of it can
+    still come: the counts go out, the state goes."""
 
     def __init__(self, slice_us: int):
         self.slice_us = slice_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", "at bigint, id bigint")
-        self.leaving = handle.getListState("leaving", "at bigint")
-        self.held = handle.getValueState("held", "n bigint")
+        self.rows = handle.getListState("rows", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        p = pd.concat(list(rows), ignore_index=True)
-        kind, at = p["kind"].to_numpy(), p["at"].to_numpy()
-        own = kind == _EVENT
-        if own.any():
-            self.events.appendList(list(zip(at[own].tolist(), p["id"].to_numpy()[own].tolist(), strict=True)))
-        out = kind == _LEAVES
-        if out.any():
-            self.leaving.appendList([(x,) for x in at[out].tolist()])
-        carried = int(p["n"].to_numpy()[kind == _CARRIED].sum())
-        if carried:
-            n = self.held.get()[0] if self.held.exists() else 0
-            self.held.update((n + carried,))
+        for p in rows:
+            self.rows.appendList([(_pack(p[list(_PACKED)]),)])
         self.handle.registerTimer(-(-(int(key[1]) + 1) * self.slice_us // 1000))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.held.get()[0] if self.held.exists() else 0
-        events = sorted(self.events.get())
-        gone = np.sort(np.array([x[0] for x in self.leaving.get()], np.int64))
-        for state in (self.events, self.leaving, self.held):
-            state.clear()
-        if events:
-            at = np.array([x[0] for x in events], np.int64)
-            n = held + np.searchsorted(at, at, "left") - np.searchsorted(gone, at, "left")
-            yield pd.DataFrame({"key": key[0], "id": [x[1] for x in events], "n": n.astype(np.int64)})
+        t = pa.concat_tables([_unpacked(x[0]) for x in self.rows.get()])
+        self.rows.clear()
+        keys = pc.dictionary_encode(t["key"].combine_chunks())
+        kind, at, n = (t[c].to_numpy() for c in ("kind", "at", "n"))
+        code, own = keys.indices.to_numpy().astype(np.int64), kind == _EVENT
+        if own.any():
+            held = np.zeros(len(keys.dictionary), np.int64)
+            np.add.at(held, code[kind == _CARRIED], n[kind == _CARRIED])
+            # all times lie in the slice, so (key, time) is one number
+            place = code * self.slice_us + (at - int(key[1]) * self.slice_us)
+            mine, first = place[own], code[own] * self.slice_us
+            before = lambda x: np.searchsorted(x, mine, "left") - np.searchsorted(x, first, "left")
+            n = held[code[own]] + before(np.sort(mine)) - before(np.sort(place[kind == _LEAVES]))
+            yield pd.DataFrame({"key": keys.dictionary.take(pa.array(code[own])).to_pandas(),
+                                "id": t["id"].to_numpy()[own], "n": n.astype(np.int64)})
 
     def close(self) -> None:
         pass
 
 
+def _pack(rows: pd.DataFrame) -> bytes:
+    t, out = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, t.schema) as w:
+        w.write_table(t)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
+
+
 def trailing_counts(stream: DataFrame, key: str, ts: str, id_col: str, width: int = 86_400,
-                    lateness: str = "2 hours", slices: int = 4) -> DataFrame:
+                    lateness: str = "2 hours", slices: int = 4, buckets: int = 32) -> DataFrame:
     """(``key``, ``id_col``, n): per event the number of its key's events in [ts - width, ts),
     once and for all: it goes out when the watermark has passed the event's slice, so
     every row that is less than ``lateness`` late has been counted, whenever it came.
@@ -96,7 +105,8 @@ def trailing_counts(stream: DataFrame, key: str, ts: str, id_col: str, width: in
     Keys are dealt over time slices (``width`` seconds hold ``slices``), so no task holds a
     key's whole window: a window aggregate (combined before its shuffle) counts each slice
     and carries the number to the slices after it; an event also goes to the slice in which
-    it leaves the window.  Null times are dropped, a null key is a key; the state of a slice
+    it leaves the window.  The keys of a slice share the state of ``buckets``: state calls follow
+    the buckets, not the keys.  Null times are dropped, a null key is a key; the state of a slice
     lives from its first row until the watermark passes its end.  ``id_col`` is a long.
     """
     if width % slices:
@@ -107,18 +117,22 @@ def trailing_counts(stream: DataFrame, key: str, ts: str, id_col: str, width: in
     marked = stream.where(F.col(ts).isNotNull()).withWatermark(ts, lateness)
     nothing = F.lit(0).cast("long")
     at = F.unix_micros(ts)
+    # the window's last moment tells late rows as the window does, and passes to Python as one number
+    ends, bucket = F.window_time("w").alias("ends"), F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket")
 
     def rows(kind: int, when):
         return marked.select(w.alias("w"), _coded(key).alias("key"), F.floor(when / slice_us).cast("long").alias("slice"),
                              F.lit(kind).alias("kind"), when.alias("at"),
-                             F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), nothing.alias("n"))
+                             F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), nothing.alias("n")) \
+            .select(ends, bucket, "slice", *_PACKED)
 
-    counted = marked.groupBy(w.alias("w"), _coded(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    counted = marked.groupBy(w.alias("w"), _coded(key).alias("key")).agg(F.count(F.lit(1)).alias("n")) \
+        .select("w", ends, "key", "n")
     first = F.floor(F.unix_micros("w.start") / slice_us).cast("long")
-    carried = counted.select("w", "key", F.explode(F.sequence(first + 1, first + slices)).alias("slice"),
+    carried = counted.select("ends", bucket, F.explode(F.sequence(first + 1, first + slices)).alias("slice"), "key",
                              F.lit(_CARRIED).alias("kind"), nothing.alias("at"), nothing.alias("id"), "n")
     every = rows(_EVENT, at).unionByName(rows(_LEAVES, at + width * _SECOND)).unionByName(carried)
-    return every.groupBy("key", "slice").transformWithStateInPandas(
+    return every.groupBy("bucket", "slice").transformWithStateInPandas(
         TrailingCount(slice_us), "key string, id bigint, n bigint", "append", "EventTime") \
         .select(_decoded(stream, key), F.nullif(F.col("id"), F.lit(_NO_ID)).alias(id_col), "n")
 

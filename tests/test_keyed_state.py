@@ -86,6 +86,18 @@ def test_a_key_is_dealt_over_tasks(spark):
     assert "TransformWithState" in plan and "slice" in plan.split("TransformWithState")[1].split("\n")[0]
 
 
+def test_state_calls_follow_buckets_not_keys(spark):
+    """Many keys of one slice share the state of a few buckets; their counts stay their own."""
+    keys = 300
+    rows = [(i, f"k{i % keys}", T0 + dt.timedelta(seconds=7 * i)) for i in range(2 * keys)]
+    stream = arriving(spark, rows + [(None, "beat", T0 + dt.timedelta(hours=12))], "id bigint, k string, t timestamp", 1_000)
+    out = ks.trailing_counts(stream, "k", "t", "id")
+    ops = [o for p in run_kept(spark, out).recentProgress for o in p["stateOperators"] if "ransformWithState" in o["operatorName"]]
+    assert ops and max(o["numRowsTotal"] for o in ops) < 1_000  # with a state for each key over 3,000
+    got = {r["id"]: (r["k"], r["n"]) for r in finished(spark, out, "buckets").collect()}
+    assert {i: (k, i // keys) for i, k, _ in rows} == {i: x for i, x in got.items() if i is not None}
+
+
 def test_expired_rows_against_plain(spark):
     rows, arrived = made_events(4, 110)
     out = ks.expired_rows(arriving(spark, arrived, "id bigint, k string, t timestamp"), "k", "t", 12, "1 hour", 3_600)
