@@ -58,3 +58,17 @@ def test_the_trees_read_a_table_in_as_many_partitions_as_cores(spark, tmp_path,
     frauds = sum(i % 100 < 40 and i % 100 > 60 or (i % 20 < 3 and i % 10 == 0) for i in range(2000))
     held = -(-frauds // 5), -(-(2000 - frauds) // 5)  # a fifth of each label is held out
     assert sorted(r["label"] for r in rows) == [0.0] * (2000 - frauds - held[1]) + [1.0] * (frauds - held[0])
+
+
+def test_the_text_model_reads_a_table_in_as_many_partitions_as_cores(spark, tmp_path, monkeypatch):
+    table(spark, tmp_path, "documents", [{"doc_id": i, "text": f"word w{i % 5} and x{i % 7} more", "lang": "en",
+                                          "source": "s", "n_chars": 20} for i in range(300)])
+    table(spark, tmp_path, "labels", [{"doc_id": i, "quality": i % 2, "toxic": int(i % 5 == 0)} for i in range(300)])
+    table(spark, tmp_path, "conversations", [{"conv_id": i, "turn": 0, "role": ("user", "assistant", "system")[i % 3],
+                                              "text": f"word of y{i % 6}"} for i in range(60)])
+    n, plan, rows = fitted_on(spark, monkeypatch, "sentiment_model", lambda: qm._sentiment_fit(Tables(spark, str(tmp_path))))
+    assert n <= spark.sparkContext.defaultParallelism
+    assert "Join" not in plan and "Aggregate" not in plan
+    # toxic 60 + system 20, quality 120 + assistant 20, the others 120 + user 20: a fifth of each is held out
+    assert sorted(r["label"] for r in rows) == [0.0] * 64 + [1.0] * 112 + [2.0] * 112
+    assert all(abs(r["features"].norm(2) - 1) < 1e-9 for r in rows)
