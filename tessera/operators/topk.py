@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import join_groups
+from tessera.operators import blocks
+from tessera.session import saved
 
 BLOCK = 512  # postings in a block, about
 STEP = 4  # weight classes between a weight and its half
@@ -37,8 +39,7 @@ def build(weights: DataFrame, id_col: str) -> DataFrame:
 def _exact(pairs: DataFrame, queries: DataFrame, weights: DataFrame, id_col: str) -> DataFrame:
     """(qid, id, score) of (qid, id) pairs, from the items' own vectors."""
     items = weights.select(F.col(id_col).alias("id"), "term", F.col("weight").alias("w"))
-    return pairs.join(items, "id").join(queries.select("qid", "term", "qw"), ["qid", "term"]) \
-        .groupBy("qid", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
+    return blocks.pair_scores(pairs, queries, items)
 
 
 def _best(scored: DataFrame, by: Column, k: Column | str, most: int) -> DataFrame:
@@ -84,27 +85,30 @@ def search(queries: DataFrame, weights: DataFrame, index: DataFrame, id_col: str
     first = Window.partitionBy("qid").orderBy((F.col("qw") * F.col("top")).desc(), "term", "part")
     chosen = heads.withColumn("r", F.row_number().over(first)).where(F.col("r") <= SEEDS * max_k) \
         .where(F.col("r") <= SEEDS * F.col("k")).drop("top", "r")
-    seeds = chosen.join(index.select("term", "cls", "part", "posts"), ["term", "cls", "part"]) \
+    chosen = saved(chosen, "first-blocks")
+    few = F.broadcast(chosen) if chosen.count() <= blocks.FEW else chosen  # then the postings stay where they are
+    seeds = few.join(index.select("term", "cls", "part", "posts"), ["term", "cls", "part"]) \
         .select("qid", "own", "k", "qw", F.inline("posts")) \
         .where(~F.col("id").eqNullSafe(F.col("own"))) \
         .groupBy("qid", "k", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("part"))
-    some = _best(seeds, F.col("part"), 2 * F.col("k"), 2 * max_k).select("qid", "k", "id")
+    some = saved(_best(seeds, F.col("part"), 2 * F.col("k"), 2 * max_k).select("qid", "k", "id"), "first-pairs")
     exact = _exact(some.select("qid", "id"), queries, weights, id_col).join(about.select("qid", "k"), "qid")
     # k scores at or above the floor are known
     floors = _best(exact, F.col("score"), F.col("k"), max_k).groupBy("qid", "k") \
         .agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).where("n = k").select("qid", "floor")
 
-    # 2. the postings above the cuts
-    cut = with_cuts(queries, terms, floors)
-    need = cut.where(~F.col("skip")).join(index.withColumnRenamed("top", "block_top"), "term") \
-        .where(F.col("block_top") > F.col("cut"))
-    room = F.col("floor") - F.col("used") - SLACK
+    # 2. the postings above the cuts: blocks that no query needs are not read
+    cut = saved(with_cuts(queries, terms, floors), "query-cuts")
+    wanted = cut.where(~F.col("skip"))
+    need = wanted.join(index.withColumnRenamed("top", "block_top"), "term").where(F.col("block_top") > F.col("cut"))
     used = cut.groupBy("qid").agg(F.sum(F.col("qw") * F.col("cut")).alias("used"), F.first("floor").alias("floor"))
-    over = F.sum(F.col("qw") * (F.col("w") - F.col("cut"))).alias("over")
-    seen = need.select("qid", "own", "qw", "cut", F.inline("posts")) \
-        .where((F.col("w") > F.col("cut")) & ~F.col("id").eqNullSafe(F.col("own"))).groupBy("qid", "id").agg(over)
+    least = wanted.groupBy("term").agg(F.min("cut").alias("least"))
+    posts = index.join(least, "term").where(F.col("top") > F.col("least")) \
+        .select("term", "least", F.inline("posts")).where(F.col("w") > F.col("least")).drop("least")
     # what is not above a term's cut adds the cut at most
-    viable = seen.join(used, "qid").where(F.col("over") >= room).select("qid", "id")
+    room = (F.col("floor") - F.col("used") - SLACK).alias("room")
+    viable = saved(blocks.above_cuts(wanted.drop("floor").join(used, "qid").select("qid", "own", "term", "qw", "cut", room),
+                                     posts, index.agg(F.sum("n")).first()[0] or 0), "viable-pairs")
 
     # 3. exact scores of what is left
     scored = _exact(viable, queries, weights, id_col).join(about, "qid")

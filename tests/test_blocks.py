@@ -209,3 +209,31 @@ def test_ratings_are_worked_out_once(spark, sf_dir, monkeypatch):
     r = qm._coded_ratings(Tables(spark, sf_dir))
     p = r._jdf.queryExecution().executedPlan().toString()
     assert calls == [1] and "Join" not in p and "Aggregate" not in p
+
+
+def test_pair_scores_and_cuts_are_those_of_the_joins(spark):
+    rnd = random.Random(5)
+    items = [(i, f"t{t}", rnd.random()) for i in range(60) for t in rnd.sample(range(30), 6)] + [(7, "t1", 0.5), (7, "t1", 0.25)]
+    queries = [(100 + q, None if q == 3 else q, f"t{t}", rnd.random(), rnd.random() / 2) for q in range(8) for t in rnd.sample(range(34), 9)]
+    pairs = [(100 + q, i) for q in range(8) for i in range(0, 66, q + 1)]
+    room = {100 + q: 0.1 * q for q in range(8)}
+    i = spark.createDataFrame(items, "id bigint, term string, w double")
+    q = spark.createDataFrame([(a, o, t, w, c, room[a]) for a, o, t, w, c in queries],
+                              "qid bigint, own bigint, term string, qw double, cut double, room double")
+    score, over = {}, {}
+    for a, own, term, qw, cut in queries:
+        for id_, t, w in items:
+            if t == term:
+                score[a, id_] = score.get((a, id_), 0) + qw * w
+                if w > cut and id_ != own:
+                    over[a, id_] = over.get((a, id_), 0) + qw * (w - cut)
+    few = blocks.FEW
+    try:
+        for blocks.FEW in (few, 0):
+            got = blocks.pair_scores(spark.createDataFrame(pairs * 2, "qid bigint, id bigint"), q, i).collect()
+            assert len(got) == len({(r["qid"], r["id"]) for r in got}) == sum(p in score for p in set(pairs))
+            assert all(abs(r["score"] - score[r["qid"], r["id"]]) < 1e-12 for r in got)
+    finally:
+        blocks.FEW = few
+    found = sorted((r["qid"], r["id"]) for r in blocks.above_cuts(q, i, len(items)).collect())
+    assert found == sorted(p for p, x in over.items() if x >= room[p[0]])
