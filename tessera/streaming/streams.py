@@ -88,8 +88,9 @@ def run_available_now(stream: DataFrame, sink, checkpoint: str, output_mode: str
 
 def sliding_counts(stream: DataFrame, key: str, ts: str, width: str, slide: str, watermark: str) -> DataFrame:
     """Events per key per sliding event-time window; late rows beyond the
-    watermark are dropped and their windows' state is released."""
-    return (stream.withWatermark(ts, watermark)
+    watermark are dropped and their windows' state is released.  The events are dealt by key
+    before each becomes a row a window: a task holds its own keys' windows, not a file's."""
+    return (stream.select(key, ts).repartition(key).withWatermark(ts, watermark)
             .groupBy(key, F.window(ts, width, slide).alias("w"))
             .agg(F.count(F.lit(1)).alias("events"))
             .select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events"))
