@@ -35,7 +35,8 @@ def accent_table() -> tuple[str, str]:
 def strip_accents(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     s, d = accent_table()
-    return F.translate(c, s, d)
+    # in ASCII texts nothing is looked up
+    return F.when(F.octet_length(c) > F.char_length(c), F.translate(c, s, d)).otherwise(c)
 
 
 def tokens(col: str | Column, accents: bool = True) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.functions.joins import bounded_broadcast
 from tessera.functions.ranking import attach_totals
+from tessera.operators import grams
 from tessera.session import saved
 from tessera.sources.tables import spread
 
@@ -42,7 +43,7 @@ def doc_terms(docs: DataFrame, id_col: str, text_col: str, stop_words: bool = Fa
 
 
 def only(terms: DataFrame, bound: int | None):
-    """For ``doc_terms``: occurrences of the ``terms`` (at most ``bound``) alone."""
+    """Of occurrences or counts those of the ``terms`` (at most ``bound``) alone, also for ``doc_terms``."""
     return lambda rows: rows.join(bounded_broadcast(terms.select("term"), BUCKETS, bound), "term", "left_semi")
 
 
@@ -61,36 +62,45 @@ def fit_vocabulary(docs: DataFrame, terms: DataFrame, id_col: str, min_df: int =
     return kept.select("term", "df", "tf_total", idf.alias("idf"), "n_docs")
 
 
-def _bucket(col: str = "term"):
-    return F.pmod(F.xxhash64(col), F.lit(BUCKETS)).cast("int")
-
-
-def fit_text_vocabulary(docs: DataFrame, id_col: str, text_col: str, min_df: int, max_df: float,
-                        max_features: int, stop_words: bool = False) -> DataFrame:
-    """``fit_vocabulary`` of all terms of the texts, as a table, without counting most of them.
+def fit_text(docs: DataFrame, id_col: str, text_col: str, min_df: int, max_df: float,
+             max_features: int, stop_words: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``fit_vocabulary`` of all terms of the texts, without counting most of them, and the (id, term, tf)
+    it was fitted on, which has at least all terms of the vocabulary; both are tables.
 
     First the occurrences of all terms are counted by hash bucket, a fixed number of sums.  A term
     occurs at most as often as its bucket, so only terms of buckets above a cut are counted one by
     one.  Where ``max_features`` of them stay within the bounds and none is rarer than the cut, no
     other term can be among the first; else the cut falls, to what the last of them has or to
-    nothing, and they are counted again.  The result is exact with any cut."""
-    texts = docs.select(id_col, text_col)
-    tasks = docs.sparkSession.sparkContext.defaultParallelism
-    sums = saved(occurrences(spread(texts, id_col, tasks), id_col, text_col, stop_words)
-                 .groupBy(_bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")), "term-buckets")
+    nothing, and they are counted again.  The result is exact with any cut.
+
+    So the texts are taken apart twice, and counted where they lie; counts are sent by (id, term) only
+    where an id has several texts."""
+    spark, stop = docs.sparkSession, list(tx.english_stop_words()) if stop_words else []
+    texts = spread(docs.select(id_col, text_col), id_col, spark.sparkContext.defaultParallelism) \
+        .select(id_col, tx.tokens(text_col).alias("_tok"))
+    sums = saved(grams.bucket_sums(texts, "_tok", BUCKETS, stop), "term-buckets")
     largest = sums.orderBy(F.col("n").desc()).limit(CUT * max_features)
     cut = largest.agg(F.min("n")).first()[0] or 0
     while True:
-        heavy = F.broadcast(sums.where(F.col("n") >= cut).select("b"))  # at most ``BUCKETS`` numbers
-        terms = doc_terms(texts, id_col, text_col, stop_words, among=lambda rows, heavy=heavy: rows.join(
-            heavy, _bucket() == F.col("b"), "left_semi"))
-        vocab = saved(fit_vocabulary(docs, terms, id_col, min_df, max_df, max_features), "vocabulary")
+        # at most ``BUCKETS`` numbers, as one bit each in the tasks; none where all are counted
+        heavy = sums.where(F.col("n") >= cut).select("b").toArrow()["b"].to_numpy() if cut > 1 else None
+        rows = saved(grams.counts(texts, id_col, "_tok", BUCKETS, heavy, stop), "term-counts")
+        marks, terms = rows.where("term IS NULL"), rows.where("term IS NOT NULL")
+        if marks.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            terms = terms.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
+        vocab = saved(fit_vocabulary(marks, terms, id_col, min_df, max_df, max_features), "vocabulary")
         n, last = vocab.agg(F.count(F.lit(1)), F.min("tf_total")).first()
         if cut <= 1 or (n == max_features and last >= cut):
-            return vocab
+            return vocab, terms
         cut = last if n == max_features else 0
 
 
+def fit_text_vocabulary(docs: DataFrame, id_col: str, text_col: str, min_df: int, max_df: float,
+                        max_features: int, stop_words: bool = False) -> DataFrame:
+    """The vocabulary of ``fit_text``."""
+    return fit_text(docs, id_col, text_col, min_df, max_df, max_features, stop_words)[0]
+
+
 def tfidf(terms: DataFrame, vocab: DataFrame, id_col: str, vocab_bound: int | None = None) -> DataFrame:
     """(id, term, weight) with unit L2 norm per id.  The vocabulary is bounded by
     ``max_features`` and broadcast after a size check; the norm is a window per

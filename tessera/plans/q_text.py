@@ -61,18 +61,22 @@ BOOK_CTES = [S.BOOKS, WEIGHTED_SQL,
              weights_sql("bweights", "bterms", "bvocab", "book_id")]
 
 
+def _book_fit(t):
+    """Weighted catalog text, its vocabulary and counts, both tables."""
+    wb = ft.weighted_text(ad.books(t)).select("book_id", "combined_features")
+    return wb, *tt.fit_text(wb, "book_id", "combined_features", **RECO)
+
+
 def book_vocabulary(t):
     """Weighted catalog text and its vocabulary, a table."""
-    wb = ft.weighted_text(ad.books(t)).select("book_id", "combined_features")
-    return wb, tt.fit_text_vocabulary(wb, "book_id", "combined_features", **RECO)
+    return _book_fit(t)[:2]
 
 
 def book_index(t):
-    """The recommendation index: weighted catalog text -> vocabulary -> weights.  Only
-    occurrences of the vocabulary's terms are counted per book."""
-    wb, vocab = book_vocabulary(t)
-    terms = tt.doc_terms(wb, "book_id", "combined_features", stop_words=RECO["stop_words"],
-                         among=tt.only(vocab, RECO["max_features"]))
+    """The recommendation index: weighted catalog text -> vocabulary -> weights, from the counts
+    that the vocabulary was fitted on."""
+    wb, vocab, terms = _book_fit(t)
+    terms = tt.only(vocab, RECO["max_features"])(terms)
     return wb, vocab, tt.tfidf(terms, vocab, "book_id", vocab_bound=RECO["max_features"])
 
 
