@@ -185,16 +185,17 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY round(s
 MAX_RECOMMENDATIONS = 20
 
 
-def resolved_requests(t):
+def resolved_requests(t, resolved=None):
+    """The requests to be answered; ``resolved``: what ``resolve_items`` found, if it is there already."""
     req = reco_requests(t)
-    res = resolve_items(req, ad.books(t))
+    res = resolve_items(req, ad.books(t)) if resolved is None else resolved
     n = F.coalesce(F.col("num_recommendations"), F.lit(5))
     return (res.where(F.col("status") == 200).join(req.select("request_id", n.alias("n")), "request_id")
             .where(F.col("n").between(1, MAX_RECOMMENDATIONS)).select("request_id", "query_book_id", "n"))
 
 
-def similar_items_df(t):
-    return similar_to(resolved_requests(t), book_weights(t), "book_id", MAX_RECOMMENDATIONS)
+def similar_items_df(t, resolved=None):
+    return similar_to(resolved_requests(t, resolved), book_weights(t), "book_id", MAX_RECOMMENDATIONS)
 
 
 @query("similar_items", sql=SIMILAR_SQL + """
@@ -250,10 +251,11 @@ def index_roundtrip(spark, sf_dir):
 
 def reco_answers(t):
     """One row per request: status_code 200, 400 (invalid) or 404 (no such book),
-    error, the query book (score 1.0) and the ranked recommendations (maybe none)."""
+    error, the query book (score 1.0) and the ranked recommendations (maybe none).  Titles are
+    looked into once, and only the books of an answer meet it."""
     req = reco_requests(t)
-    asked = validated_requests(req).join(
-        resolve_items(req, ad.books(t)).select("request_id", "query_book_id"), "request_id")
+    resolved = saved(resolve_items(req, ad.books(t)), "resolved")
+    asked = validated_requests(req).join(resolved.select("request_id", "query_book_id"), "request_id")
     code = (F.when(F.col("status") != "ok", 400).when(F.col("query_book_id").isNull(), 404).otherwise(200))
     asked = asked.withColumn("status_code", code).select(
         "request_id", "status_code", F.when(code == 400, F.col("status")).when(code == 404, "not_found").alias("error"),
@@ -262,14 +264,17 @@ def reco_answers(t):
                                ft.truncate_text("description").alias("description"),
                                F.lit(None).cast("string").alias("thumbnail"))
     fields = books.columns
-    recs = similar_items_df(t).join(books, "book_id").groupBy("request_id").agg(
+    found = saved(similar_items_df(t, resolved), "recommended")
+    needed = saved(found.select("book_id").union(resolved.select("query_book_id")).distinct(), "answer-ids")
+    books = saved(books.join(needed, "book_id", "left_semi"), "answer-books")
+    recs = found.join(books, "book_id").groupBy("request_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", *fields, F.round("similarity", 6).alias("similarity_score")))) \
         .alias("recommendations"))
     own = books.select(F.col("book_id").alias("query_book_id"),
                        F.struct(*fields, F.lit(1.0).alias("similarity_score")).alias("query_book"))
-    found = asked.join(own, "query_book_id", "left").join(recs, "request_id", "left")
+    answers = asked.join(own, "query_book_id", "left").join(recs, "request_id", "left")
     none = F.array().cast(recs.schema["recommendations"].dataType)
-    return found.withColumn("recommendations", F.coalesce("recommendations", none)) \
+    return answers.withColumn("recommendations", F.coalesce("recommendations", none)) \
         .withColumn("num_results", F.size("recommendations"))
 
 
