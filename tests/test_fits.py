@@ -72,3 +72,13 @@ def test_the_text_model_reads_a_table_in_as_many_partitions_as_cores(spark, tmp_
     # toxic 60 + system 20, quality 120 + assistant 20, the others 120 + user 20: a fifth of each is held out
     assert sorted(r["label"] for r in rows) == [0.0] * 64 + [1.0] * 112 + [2.0] * 112
     assert all(abs(r["features"].norm(2) - 1) < 1e-9 for r in rows)
+
+
+def test_partitions_of_a_fit_are_even(spark):
+    """One file with most of the rows is dealt out: no partition holds more than its share."""
+    from tessera.session import for_fit, saved
+    uneven = saved(spark.range(20_000).repartition(1), "large").union(saved(spark.range(3).repartition(1), "small"))
+    df = for_fit(uneven, "even")
+    sizes = [len(x) for x in df.rdd.glom().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 20_003 and max(sizes) < 1.05 * min(sizes)
