@@ -74,11 +74,20 @@ def test_the_text_model_reads_a_table_in_as_many_partitions_as_cores(spark, tmp_
     assert all(abs(r["features"].norm(2) - 1) < 1e-9 for r in rows)
 
 
-def test_partitions_of_a_fit_are_even(spark):
-    """One file with most of the rows is dealt out: no partition holds more than its share."""
-    from tessera.session import for_fit, saved
-    uneven = saved(spark.range(20_000).repartition(1), "large").union(saved(spark.range(3).repartition(1), "small"))
-    df = for_fit(uneven, "even")
-    sizes = [len(x) for x in df.rdd.glom().collect()]
-    assert len(sizes) == spark.sparkContext.defaultParallelism
-    assert sum(sizes) == 20_003 and max(sizes) < 1.05 * min(sizes)
+def test_partitions_of_a_fit_are_even(spark, monkeypatch):
+    """Of more files than cores, one with most of the rows, no partition gets more than its share; fewer stay as they are."""
+    from tessera import session
+    was = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # each file is a partition
+    try:
+        small = [session.saved(spark.range(3).repartition(1), "small") for _ in range(spark.sparkContext.defaultParallelism)]
+        uneven = session.saved(spark.range(20_000).repartition(1), "large")
+        few = uneven.union(small[0])
+        for df in small:
+            uneven = uneven.union(df)
+        sizes = [len(x) for x in session.for_fit(uneven, "even").rdd.glom().collect()]
+        assert len(sizes) == len(small)
+        assert sum(sizes) == 20_000 + 3 * len(small) and max(sizes) < 1.05 * min(sizes)
+        assert sorted(len(x) for x in session.for_fit(few, "few").rdd.glom().collect()) == [3, 20_000]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", was)
