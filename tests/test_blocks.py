@@ -237,3 +237,33 @@ def test_pair_scores_and_cuts_are_those_of_the_joins(spark):
         blocks.FEW = few
     found = sorted((r["qid"], r["id"]) for r in blocks.above_cuts(q, i, len(items)).collect())
     assert found == sorted(p for p, x in over.items() if x >= room[p[0]])
+
+
+def test_all_items_against_all_in_packed_blocks(spark, monkeypatch):
+    """More queries than a group holds: no side is sent for each block of the other, and every item has its best."""
+    blocks_of(monkeypatch, cells=1_500)
+    rows = unit_rows(7, 300) + [(900, "alone", 1.0)]
+    w = saved(spark.createDataFrame(rows, "book_id bigint, term string, weight double"), "w")
+    asked = [(i, i, 3) for i in [*range(300), 900]] + [(1_000, 5, 3), (1_001, None, 3), (1_002, 77_777, 3)]
+    q = spark.createDataFrame(asked, "request_id int, query_book_id bigint, n int")
+    found = similar.similar_to(q, w, "book_id", 3)
+    assert "CoGroup" not in found._jdf.queryExecution().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["request_id"], []).append((r["rank"], r["book_id"], round(r["similarity"], 9)))
+    for name, own, n in asked[:-2]:
+        best = sorted(plain(rows, own).items(), key=lambda x: (-round(x[1], 10), x[0]))[:n]
+        assert sorted(got.pop(name, [])) == [(k, i, round(s, 9)) for k, (i, s) in enumerate(best, 1)], name
+    assert not got
+
+
+def test_all_items_top_n_is_for_every_item(spark, tmp_path):
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["river", "stone", "cloud", "lamp", "bread", "horse", "paper", "glass"]) for _ in range(12))
+             for _ in range(60)]
+    rows = [(i, "en", "src", t, len(t)) for i, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string, n_chars bigint") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    import __spark_entry__ as E
+    got = {r["book_id"] for r in E.queries()["all_items_top_n"](spark, str(tmp_path)).collect()}
+    assert got == set(range(1, 61))
