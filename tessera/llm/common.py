@@ -48,6 +48,13 @@ def on_document(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
     return a.join(b, cond, how).drop("_id2", "_th2")
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that grows with the input: both sides are shuffled and sorted.
+    Spark sizes a saved table by its compressed files and counts no rows that an explode
+    makes, so it would send a large side to the driver and to every task."""
+    return df.hint("merge")
+
+
 def save(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table below the shared checkpoint folder and read it again: cuts
     the lineage with files that outlive any executor."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import by_shuffle, save
 
 
 def _least_neighbour(e: DataFrame) -> DataFrame:
@@ -26,10 +26,10 @@ def connected(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_least_neighbour(both), "u").filter("v > u")
+        large = (both.join(by_shuffle(_least_neighbour(both)), "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = _least_neighbour(large)
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
+        small = large.join(by_shuffle(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(least.select("u", F.col("m").alias("v")))
         e = save(small.filter("u <> v").distinct(), "edges")
         mark = e.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import groups_of_bytes, save
+from tessera.llm.common import by_shuffle, groups_of_bytes, save
 from tessera.llm.components import connected
 
 _SEGMENTS = (21, 21, 22)
@@ -93,7 +93,7 @@ def links(distinct: DataFrame) -> DataFrame:
             .select(F.lit(i).alias("i"), F.col("k").bitwiseOR(F.col("x")).alias("key"), "a")
         index = own if index is None else index.unionByName(own)
         probes = tried if probes is None else probes.unionByName(tried)
-    return (probes.join(index, ["i", "key"])
+    return (by_shuffle(probes).join(index, ["i", "key"])
             .filter("a <> b AND bit_count(a ^ b) <= 2")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
@@ -104,7 +104,7 @@ def _components(df: DataFrame, text_col: str, id_col: str, shingle: int, seed: i
     fps = save(fingerprints(df, text_col, id_col, shingle, seed), "fingerprints")
     distinct = save(fps.groupBy("fp").agg(F.min("_id").alias("least")), "distinct")
     parts = connected(links(distinct.select("fp")))
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left") \
+    named = distinct.join(by_shuffle(parts), distinct["fp"] == parts["node"], "left") \
         .select("fp", F.coalesce("label", "fp").alias("label"), "least")
     return fps, named
 
@@ -122,8 +122,8 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """
     fps, named = _components(df, text_col, id_col, shingle, seed)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_fp = named.select("fp", "label").join(least, "label").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select(F.col("_id").alias(id_col), "_th", "fp", "component_id")
+    of_fp = named.select("fp", "label").join(by_shuffle(least), "label").select("fp", "component_id")
+    return fps.join(by_shuffle(of_fp), "fp").select(F.col("_id").alias(id_col), "_th", "fp", "component_id")
 
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
@@ -143,8 +143,8 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", shin
     fps, named = _components(df, text_col, id_col, shingle, seed)
     # a group shrinks to one row per fingerprint and task before its label brings it together
     order = F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("_id"), F.col("_th").alias("_th"))
-    first = fps.groupBy("fp").agg(F.min(order).alias("first")).join(named.select("fp", "label"), "fp") \
+    first = fps.groupBy("fp").agg(F.min(order).alias("first")).join(by_shuffle(named.select("fp", "label")), "fp") \
         .groupBy("label").agg(F.min("first").alias("first")).select("first.*")
     same = rows["_id"].eqNullSafe(first["_id"]) & (rows["_th"] == first["_th"])
     again = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.xxhash64("_row")))
-    return rows.join(first, same, "left_semi").withColumn("_k", again).filter("_k = 1").select("_row.*")
+    return rows.join(by_shuffle(first), same, "left_semi").withColumn("_k", again).filter("_k = 1").select("_row.*")

@@ -32,3 +32,14 @@ def test_one_row_of_each_component(spark):
     label = {t: min(f for f in set(group.values()) if bin((f ^ group[t]) % (1 << 64)).count("1") <= 2) for t in group}
     got = kept(spark, rows)
     assert len(got) == len({label[t] for _, t in rows}) == len({label[t] for _, t in got})
+
+
+def test_no_side_that_grows_is_broadcast(spark):
+    """The probes of a small table are many rows by their explode: its size says nothing of them."""
+    rows = [(i, f"the words {i} {i * 7} and {i % 5} of a text") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    fps = simhash.save(simhash.fingerprints(df), "fingerprints")
+    for frame in (simhash.links(fps.select("fp").distinct()), simhash.near_duplicates(df), simhash.keep_one(df)):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
