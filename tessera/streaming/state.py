@@ -86,7 +86,11 @@ class TrailingCount(StatefulProcessor):
 
 
 def _pack(rows: pd.DataFrame) -> bytes:
-    t, out = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+    return _packed_table(pa.Table.from_pandas(rows, preserve_index=False))
+
+
+def _packed_table(t: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
     with pa.ipc.new_stream(out, t.schema) as w:
         w.write_table(t)
     return out.getvalue().to_pybytes()
@@ -140,57 +144,75 @@ def trailing_counts(stream: DataFrame, key: str, ts: str, id_col: str, width: in
 # time-to-live -----------------------------------------------------------------------
 
 class Expiry(StatefulProcessor):
-    """The times of a key whose row may yet expire: those without a later one within the
-    time-to-live, and those that a late row could still come before."""
+    """One bucket of keys: the times of those whose row may yet expire, as packed columns: the times
+    without a later one within the time-to-live, and those that a late row could still come before.
+    One timer, for the first expiry of the bucket, so state calls follow the buckets, not the keys."""
 
     def __init__(self, ttl_us: int, lateness_us: int):
         self.ttl_us, self.lateness_us = ttl_us, lateness_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.times = handle.getListState("times", "at bigint")
-
-    def _timer(self, at: int) -> int:
+        self.times = handle.getListState("times", "packed binary")
+
+    def _sorted(self, new: list[pa.Table]):
+        """Keys, each row's place among them and its time, by key and time, and which rows have no later one
+        of their key within the time-to-live."""
+        t = pa.concat_tables([_unpacked(x[0]) for x in self.times.get()] + new).select(["key", "at"])
+        coded = pc.dictionary_encode(t["key"].combine_chunks())
+        code, at = coded.indices.to_numpy().astype(np.int64), t["at"].to_numpy()
+        order = np.lexsort((at, code))
+        code, at = code[order], at[order]
+        once = np.append(True, (np.diff(code) != 0) | (np.diff(at) != 0))[:len(at)]
+        code, at = code[once], at[once]
+        last = np.append((np.diff(code) != 0) | (np.diff(at) > self.ttl_us), True)[:len(at)]
+        return coded.dictionary, code, at, last
+
+    def _due(self, at: np.ndarray) -> np.ndarray:
         return -(-(at + self.ttl_us) // 1000)
 
+    def _keep(self, keys: pa.Array, code: np.ndarray, at: np.ndarray, last: np.ndarray, keep: np.ndarray) -> None:
+        if not keep.any():
+            self.times.clear()
+            return
+        self.times.put([(_packed_table(pa.table({"key": keys.take(pa.array(code[keep])), "at": at[keep]})),)])
+        if last[keep].any():
+            self.handle.registerTimer(int(self._due(at[keep & last].min())))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = np.concatenate([p["at"].to_numpy() for p in rows])
-        at = np.unique(np.concatenate([np.array([x[0] for x in self.times.get()], np.int64), new]))
-        last = np.append(np.diff(at) > self.ttl_us, True)
+        keys, code, at, last = self._sorted([pa.Table.from_pandas(
+            p[["key", "at"]], pa.schema([("key", pa.string()), ("at", pa.int64())]), preserve_index=False) for p in rows])
         recent = at > timerValues.getCurrentWatermarkInMs() * 1000 - self.lateness_us
-        self.times.put([(x,) for x in at[last | recent].tolist()])
-        for x in at[last].tolist():
-            self.handle.registerTimer(self._timer(x))
+        self._keep(keys, code, at, last, last | recent)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        at = np.sort(np.array([x[0] for x in self.times.get()], np.int64))
-        follows = np.append(np.diff(at) <= self.ttl_us, False)
-        due = (-(-(at + self.ttl_us) // 1000) == now) & ~follows
-        # what lies before an expired row has gone with it
-        keep = at > at[due].max() if due.any() else np.ones(len(at), bool)
-        if keep.any():
-            self.times.put([(x,) for x in at[keep].tolist()])
-        else:
-            self.times.clear()
+        if not self.times.exists():
+            return
+        keys, code, at, last = self._sorted([])
+        due = last & (self._due(at) <= timerValues.getCurrentWatermarkInMs())
+        # what lies before an expired row of its key has gone with it
+        gone = np.full(len(keys), np.iinfo(np.int64).min)
+        np.maximum.at(gone, code[due], at[due])
+        self._keep(keys, code, at, last, at > gone[code])
         if due.any():
-            yield pd.DataFrame({"key": key[0], "last_us": at[due].tolist()})
+            yield pd.DataFrame({"key": keys.take(pa.array(code[due])).to_pandas(), "last_us": at[due]})
 
     def close(self) -> None:
         pass
 
 
 def expired_rows(stream: DataFrame, key: str, ts: str, ttl_hours: int = 48,
-                 lateness: str = "2 hours", lateness_seconds: int = 7_200) -> DataFrame:
+                 lateness: str = "2 hours", lateness_seconds: int = 7_200, buckets: int = 32) -> DataFrame:
     """(``key``, last_seen, expired_at): every time that a key's online row got older than the
     time-to-live without a newer one, told when the watermark has passed that moment.  Rows
     in any order within ``lateness`` give the same result; a key's state is a few times and goes
-    with its expiry."""
+    with its expiry.  The keys share the state of ``buckets``: state calls follow these."""
     ttl_us = ttl_hours * 3600 * _SECOND
     marked = stream.where(F.col(ts).isNotNull()).withWatermark(ts, lateness)
-    rows = marked.select(F.col(ts), _coded(key).alias("key"), F.unix_micros(ts).alias("at"))
-    gone = rows.groupBy("key").transformWithStateInPandas(
+    rows = marked.select(F.col(ts), _coded(key).alias("key"), F.unix_micros(ts).alias("at")) \
+        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    gone = rows.groupBy("bucket").transformWithStateInPandas(
         Expiry(ttl_us, lateness_seconds * _SECOND), "key string, last_us bigint", "append", "EventTime")
     return gone.select(_decoded(stream, key), F.timestamp_micros("last_us").alias("last_seen"),
                        F.timestamp_micros(F.col("last_us") + ttl_us).alias("expired_at"))

@@ -109,6 +109,20 @@ def test_expired_rows_against_plain(spark):
     assert got == want and len(want) > 5
 
 
+def test_expiry_calls_follow_buckets_not_keys(spark):
+    """Many keys share the state and the timer of a few buckets; each expires at its own time."""
+    keys = 400
+    rows = [(i, f"k{i % keys}", T0 + dt.timedelta(seconds=97 * i)) for i in range(2 * keys)]
+    rows.insert(0, (None, None, T0))
+    stream = arriving(spark, rows + [(None, "beat", T0 + dt.timedelta(days=6))], "id bigint, k string, t timestamp", 250)
+    out = ks.expired_rows(stream, "k", "t", 8, "1 hour", 3_600)
+    ops = [o for p in run_kept(spark, out).recentProgress for o in p["stateOperators"]]
+    assert ops and max(o["numRowsTotal"] for o in ops) < keys  # with a state and a timer for each key three times as many
+    got = {(r["k"], r["last_seen"].timestamp()) for r in finished(spark, out, "expiry-buckets").collect()}
+    ttl = dt.timedelta(hours=8)
+    assert got == {(k, t.timestamp()) for _, k, t in rows if not any(k2 == k and t < t2 <= t + ttl for _, k2, t2 in rows)}
+
+
 def test_online_state_is_forgotten_by_the_clock(spark):
     src, ck = scratch_path(spark, "clock"), scratch_path(spark, "clock-ck")
     root = scratch_path(spark, "clock-out")
