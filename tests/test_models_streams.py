@@ -162,3 +162,18 @@ def test_als_ranks_and_held_out_ndcg(spark, sf_dir):
     assert per.count() <= orders and per.count() > 0
     got = q["als_ndcg"](spark, sf_dir).first()
     assert got["n_customers"] > 0 and 0.0 < got["ndcg_at_10"] <= 1.0
+
+
+def test_als_blocks_follow_the_ratings(spark, monkeypatch):
+    """No block of a large fit holds more ratings than stated; small fits keep MLlib's ten blocks."""
+    from tessera.operators import models as md
+    from tessera.session import checkpoint_root
+    assert [md.als_model(ratings=n).getNumUserBlocks() for n in (0, 80_000_000, 216_000_000)] == [10, 10, 27]
+    monkeypatch.setattr(md, "BLOCK_RATINGS", 100)
+    checkpoint_root(spark)
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(60) for i in range(40) if (u + i) % 2]
+    r = spark.createDataFrame(rows, "customer_id_code int, item_id_code int, quantity double")
+    als = md.als_model(max_iter=3, ratings=len(rows))
+    assert als.getNumUserBlocks() == als.getNumItemBlocks() == 12 and als.getCheckpointInterval() == 2
+    model = als.fit(r)
+    assert model.userFactors.count() == 60 and model.itemFactors.count() == 40
